@@ -17,6 +17,9 @@ LOCAL_SCRATCH = "/tmp/checkpoints/playbill"
 def scratch(spark: SparkSession, label: str) -> str:
     """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{LOCAL_SCRATCH}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    base = f"{full.getScheme()}://{full.getAuthority() or ''}{full.getPath()}"
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from playbill.llm import line_dedup, simhash
+from playbill.llm import embeddings, line_dedup, simhash, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_simhash": simhash.op2_simhash,
+    "op3_embeddings": embeddings.op3_embeddings,
+    "op5_token_store": token_store.op5_token_store,
+    "op9_warc": warc.op9_warc,
 }
-ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL}
+ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL}
