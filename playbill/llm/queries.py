@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from playbill.llm import embeddings, line_dedup, simhash, token_store, warc
+from playbill.llm import embeddings, line_dedup, packing, simhash, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_simhash": simhash.op2_simhash,
     "op3_embeddings": embeddings.op3_embeddings,
     "op5_token_store": token_store.op5_token_store,
+    "op7_packing": packing.op7_packing,
     "op9_warc": warc.op9_warc,
 }
 ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL}

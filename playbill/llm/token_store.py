@@ -110,8 +110,9 @@ def _write_bytes(root: str, name: str, data: bytes) -> None:
 RECORDS = pa.schema([("part", pa.int32()), ("file", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _shard_writer(root: str, tokenizer: str, end_id: int):
-    end = int(end_id).to_bytes(4, "little")
+def shard_writer(root: str, tokenizer: str, end_id: int, width: int = 4):
+    """Task function over (doc_id, text): writes one shard a task, ids of `width` bytes, and returns its records."""
+    end = int(end_id).to_bytes(width, "little")
 
     def run(batches):
         from pyspark import TaskContext
@@ -125,7 +126,7 @@ def _shard_writer(root: str, tokenizer: str, end_id: int):
             first, sizes = len(lengths), []
             for i in range(0, batch.num_rows, 256):
                 for ids in encoder(tokenizer).encode(batch.column(1).slice(i, 256).to_pylist()):
-                    out.write(ids + end)
+                    out.write((ids if width == 4 else np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes()) + end)
                     sizes.append(len(ids) // 4 + 1)
             lengths += sizes
             n = len(sizes)
@@ -145,7 +146,8 @@ def shard_end(bounds: np.ndarray) -> bytes:
 class Shard:
     """An open shard: bounds of its records, and their ids."""
 
-    def __init__(self, root: str, name: str) -> None:
+    def __init__(self, root: str, name: str, width: int = 4) -> None:
+        self.width = width
         fs, base = _open(root)
         self.file = fs.open_input_file(f"{base}/{name}")
         size = self.file.size()
@@ -153,13 +155,15 @@ class Shard:
         n, total, magic = SHARD_FOOTER.unpack(self.file.read(SHARD_FOOTER.size))
         if magic != SHARD_MAGIC:
             raise ValueError(f"{name} is no shard")
-        self.file.seek(4 * total)
+        self.file.seek(width * total)
         self.bounds = np.frombuffer(self.file.read(8 * (n + 1)), "<u8").astype(np.int64)
 
     def ids(self, record: int) -> bytes:
+        """A record's ids as little-endian unsigned 32-bit bytes."""
         a, b = int(self.bounds[record]), int(self.bounds[record + 1])
-        self.file.seek(4 * a)
-        return self.file.read(4 * (b - a))
+        self.file.seek(self.width * a)
+        data = self.file.read(self.width * (b - a))
+        return data if self.width == 4 else np.frombuffer(data, f"<u{self.width}").astype("<u4").tobytes()
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -215,7 +219,7 @@ class TokenStore:
         tokenizer = tokenizer or default_tokenizer()
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
         laid = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("tie")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").select("doc_id", "text")
-        laid.mapInArrow(_shard_writer(f"{root}/payload", tokenizer, end_id), "part int, file string, record long, doc_id long, n_tokens long").write.parquet(f"{root}/records")
+        laid.mapInArrow(shard_writer(f"{root}/payload", tokenizer, end_id), "part int, file string, record long, doc_id long, n_tokens long").write.parquet(f"{root}/records")
         records = spark.read.parquet(f"{root}/records")
         files = records.groupBy("part", "file").agg(F.count("*").alias("n_records"), F.sum("n_tokens").alias("n_tokens")).collect()  # one row a file
         base, shards = 0, []
