@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playbill.llm.common import scratch
-from playbill.llm.token_store import Shard, shard_writer
+from playbill.llm.token_store import Shard, id_width, shard_writer
 from playbill.llm.tokens import default_tokenizer
 
 WINDOW = 4096
@@ -115,7 +115,7 @@ class Plan:
 PIECES = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-def _pieces(root: str, width: int, plan: Plan, full_base: dict[str, int]):
+def _pieces(root: str, plan: Plan, full_base: dict[str, int]):
     def run(batches):
         held = shard = None
         for batch in batches:
@@ -127,7 +127,7 @@ def _pieces(root: str, width: int, plan: Plan, full_base: dict[str, int]):
             out = []
             for i, file in enumerate(files):
                 if file != held:
-                    held, shard = file, Shard(root, file, width)
+                    held, shard = file, Shard(root, file)
                 ids, n = memoryview(shard.ids(int(record[i]))), int(tokens[i])
                 whole = n - int(rest[i])
                 cuts = [(s, plan.window, full_base[file] + int(full[i]) + s // plan.window, 0) for s in range(0, whole, plan.window)]
@@ -155,7 +155,7 @@ def pack(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "te
     """
     spark, root = docs.sparkSession, root.rstrip("/")
     tokenizer = tokenizer or default_tokenizer()
-    width = 2 if _vocabulary(tokenizer, end_id) <= 1 << 16 else 4
+    width = id_width(tokenizer, end_id)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     rows.mapInArrow(shard_writer(f"{root}/payload", tokenizer, end_id, width), "part int, file string, record long, doc_id long, n_tokens long").write.parquet(f"{root}/records")
     records = spark.read.parquet(f"{root}/records").select("file", "record", "doc_id", "n_tokens", (F.col("n_tokens") % window).cast("int").alias("rest"), F.floor(F.col("n_tokens") / window).alias("full"))
@@ -175,13 +175,7 @@ def pack(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "te
     local = local.withColumn("full_before", F.sum("full").over(Window.partitionBy("file").orderBy("record")) - F.col("full"))
     ranked = local.join(before, ["rest", "file"]).select("file", "record", "doc_id", "n_tokens", (F.col("nth") + F.col("before")).alias("rank"), "full_before")
     laid = ranked.repartition("file").sortWithinPartitions("file", "record")
-    return laid.mapInArrow(_pieces(f"{root}/payload", width, plan, full_base), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
-
-
-def _vocabulary(tokenizer: str, end_id: int) -> int:
-    from tokenizers import Tokenizer
-
-    return max(Tokenizer.from_file(tokenizer).get_vocab_size(), end_id + 1)
+    return laid.mapInArrow(_pieces(f"{root}/payload", plan, full_base), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op7_packing(spark, sf_dir: str) -> DataFrame:

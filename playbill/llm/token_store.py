@@ -1,7 +1,8 @@
 """Token-id shards with a minimal perfect hash index from document keys to records.
 
-A shard is raw little-endian unsigned 32-bit ids, then the records' bounds (unsigned 64-bit, in
-ids, one more than there are records) and a footer. Shards follow each other in ascending key
+A shard is raw little-endian unsigned ids, of 16 bits where the vocabulary fits and else of 32,
+then the records' bounds (unsigned 64-bit, in ids, one more than there are records) and a footer
+that states the width. Shards follow each other in ascending key
 order. The index is split by key hash into parts of bounded size; each is a level-wise minimal
 perfect hash and a table of slots (fingerprint, shard, record, copies), so a key costs one part,
 one slot and one read of its ids.
@@ -23,7 +24,7 @@ from playbill.llm.common import run_starts, scratch, whole_runs
 from playbill.llm.tokens import default_tokenizer, encoder
 
 SHARD_MAGIC, INDEX_MAGIC = b"TIDSHRD1", b"TIDMPHF1"
-SHARD_FOOTER = struct.Struct("<QQ8s")
+SHARD_FOOTER = struct.Struct("<QQQ8s")
 INDEX_HEAD = struct.Struct("<8sQI")
 SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("record", "<u4"), ("copies", "<u4")])
 #: Keys in one part of the index, on average.
@@ -110,7 +111,7 @@ def _write_bytes(root: str, name: str, data: bytes) -> None:
 RECORDS = pa.schema([("part", pa.int32()), ("file", pa.string()), ("record", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def shard_writer(root: str, tokenizer: str, end_id: int, width: int = 4):
+def shard_writer(root: str, tokenizer: str, end_id: int, width: int):
     """Task function over (doc_id, text): writes one shard a task, ids of `width` bytes, and returns its records."""
     end = int(end_id).to_bytes(width, "little")
 
@@ -133,29 +134,35 @@ def shard_writer(root: str, tokenizer: str, end_id: int, width: int = 4):
             yield pa.RecordBatch.from_arrays([pa.array([part] * n, pa.int32()), pa.array([name] * n), pa.array(range(first, first + n), pa.int64()), batch.column(0), pa.array(sizes, pa.int64())], schema=RECORDS)
         if out is not None:
             bounds = np.concatenate([[0], np.cumsum(lengths, dtype=np.uint64)]).astype("<u8")
-            out.write(shard_end(bounds))
+            out.write(shard_end(bounds, width))
             out.close()
 
     return run
 
 
-def shard_end(bounds: np.ndarray) -> bytes:
-    return bounds.tobytes() + SHARD_FOOTER.pack(len(bounds) - 1, int(bounds[-1]), SHARD_MAGIC)
+def shard_end(bounds: np.ndarray, width: int) -> bytes:
+    return bounds.tobytes() + SHARD_FOOTER.pack(len(bounds) - 1, int(bounds[-1]), width, SHARD_MAGIC)
+
+
+def id_width(tokenizer: str, *more: int) -> int:
+    """Bytes for each id of the tokenizer's vocabulary and of `more` ids."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(tokenizer).get_vocab_size(), *more) < 1 << 16 else 4
 
 
 class Shard:
     """An open shard: bounds of its records, and their ids."""
 
-    def __init__(self, root: str, name: str, width: int = 4) -> None:
-        self.width = width
+    def __init__(self, root: str, name: str) -> None:
         fs, base = _open(root)
         self.file = fs.open_input_file(f"{base}/{name}")
         size = self.file.size()
         self.file.seek(size - SHARD_FOOTER.size)
-        n, total, magic = SHARD_FOOTER.unpack(self.file.read(SHARD_FOOTER.size))
+        n, total, self.width, magic = SHARD_FOOTER.unpack(self.file.read(SHARD_FOOTER.size))
         if magic != SHARD_MAGIC:
             raise ValueError(f"{name} is no shard")
-        self.file.seek(width * total)
+        self.file.seek(self.width * total)
         self.bounds = np.frombuffer(self.file.read(8 * (n + 1)), "<u8").astype(np.int64)
 
     def ids(self, record: int) -> bytes:
@@ -219,7 +226,7 @@ class TokenStore:
         tokenizer = tokenizer or default_tokenizer()
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).withColumn("tie", F.xxhash64("text"))
         laid = rows.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("tie")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "tie").select("doc_id", "text")
-        laid.mapInArrow(shard_writer(f"{root}/payload", tokenizer, end_id), "part int, file string, record long, doc_id long, n_tokens long").write.parquet(f"{root}/records")
+        laid.mapInArrow(shard_writer(f"{root}/payload", tokenizer, end_id, id_width(tokenizer, end_id)), "part int, file string, record long, doc_id long, n_tokens long").write.parquet(f"{root}/records")
         records = spark.read.parquet(f"{root}/records")
         files = records.groupBy("part", "file").agg(F.count("*").alias("n_records"), F.sum("n_tokens").alias("n_tokens")).collect()  # one row a file
         base, shards = 0, []
