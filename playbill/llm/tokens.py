@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
-#: Words remembered by one Python worker, and the longest that is; about 250 MB at most.
-CACHE_WORDS, CACHE_CHARS = 1_000_000, 40
+#: Words, and lower-cased letter runs, remembered by one Python worker, and the longest that is; about 200 MB at most.
+CACHE_WORDS, CACHE_CHARS = 500_000, 40
+#: A run of letters that lower-case one to one and are in composed form, then ASCII marks: two tokens' worth of text.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|()\-]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it prints, else the next free one."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {b: chr(b) for b in prints} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
 class Encoder:
@@ -15,7 +25,8 @@ class Encoder:
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its
     words one after the other. Texts are cut at spaces and newlines only, which every reading
-    of white space includes; repeated words are looked up.
+    of white space includes; repeated words are looked up. A word of plain letters and marks
+    is the lower-cased letters' ids and the marks' ids; other words take the whole tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -23,32 +34,49 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.known: dict[str, bytes] = {}
+        self.bases: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _base(self, letters: str) -> bytes:
+        ids = self.bases.get(letters)
+        if ids is None:
+            raw = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+            ids = np.array([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
+            if len(letters) <= CACHE_CHARS:
+                self.bases[letters] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        plain = PLAIN.fullmatch(word)
+        if not plain:
+            return self._ids([word])[0]
+        base, marks = plain[1].lower(), plain[2]
+        if marks and marks not in self.bases:
+            self.bases[marks] = self._ids([marks])[0]
+        return self._base(base) + (self.bases[marks] if marks else b"")
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, done, late = self.known, [], []
-        if len(known) > CACHE_WORDS:
-            known.clear()
+        known, done = self.known, []
+        for cache in (known, self.bases):
+            if len(cache) > CACHE_WORDS:
+                cache.clear()
         for t in texts:
             words = (t or "").replace("\n", " ").split(" ")
             parts = list(map(known.get, words))
             if None in parts:
-                late.append((len(done), words, parts))
-                done.append(b"")
-            else:
-                done.append(b"".join(parts))
-        new = list({w for _, words, parts in late for w, p in zip(words, parts, strict=True) if p is None})
-        rest: dict[str, bytes] = {}
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            rest.update(zip(part, self._ids(part), strict=True))
-        for at, words, parts in late:
-            done[at] = b"".join([rest[w] if p is None else p for w, p in zip(words, parts, strict=True)])
-        known.update((w, ids) for w, ids in rest.items() if len(w) <= CACHE_CHARS)
+                for i, ids in enumerate(parts):
+                    if ids is None:
+                        word = words[i]
+                        parts[i] = ids = self._word(word)
+                        if len(word) <= CACHE_CHARS:
+                            known[word] = ids
+            done.append(b"".join(parts))
         return done
 
 
