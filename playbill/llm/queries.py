@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playbill.llm import embeddings, line_dedup, packing, simhash, token_store, warc
+from playbill.llm import embeddings, line_dedup, packing, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_embeddings": embeddings.op3_embeddings,
     "op5_token_store": token_store.op5_token_store,
     "op7_packing": packing.op7_packing,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_warc": warc.op9_warc,
 }
 ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL}
