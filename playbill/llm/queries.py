@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from playbill.llm import embeddings, line_dedup, packing, simhash, suffix_dedup, token_store, warc
+from playbill.llm import decontaminate, embeddings, line_dedup, packing, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_simhash": simhash.op2_simhash,
     "op3_embeddings": embeddings.op3_embeddings,
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op5_token_store": token_store.op5_token_store,
     "op7_packing": packing.op7_packing,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
