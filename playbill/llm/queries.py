@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playbill.llm import decontaminate, embeddings, line_dedup, packing, simhash, suffix_dedup, token_store, warc
+from playbill.llm import decontaminate, embeddings, line_dedup, packing, quality, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_embeddings": embeddings.op3_embeddings,
     "op4_decontamination": decontaminate.op4_decontamination,
     "op5_token_store": token_store.op5_token_store,
+    "op6_quality": quality.op6_quality,
     "op7_packing": packing.op7_packing,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_warc": warc.op9_warc,
