@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playbill.llm import decontaminate, embeddings, line_dedup, packing, quality, simhash, suffix_dedup, token_store, warc
+from playbill.llm import decontaminate, embeddings, licenses, line_dedup, packing, quality, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -14,5 +14,6 @@ QUERIES = {
     "op7_packing": packing.op7_packing,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_warc": warc.op9_warc,
+    "op10_licenses": licenses.op10_licenses,
 }
 ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL}
