@@ -7,8 +7,8 @@ import re
 
 import numpy as np
 
-#: Words, and lower-cased letter runs, remembered by one Python worker, and the longest that is; about 200 MB at most.
-CACHE_WORDS, CACHE_CHARS = 500_000, 40
+#: Words, and lower-cased letter runs, remembered by one Python worker, and the longest that is; about 150 MB at most.
+CACHE_WORDS, CACHE_CHARS = 200_000, 40
 #: A run of letters that lower-case one to one and are in composed form, then ASCII marks: two tokens' worth of text.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|()\-]*)")
 
