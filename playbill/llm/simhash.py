@@ -17,6 +17,8 @@ from playbill.llm.components import connected_components
 BITS = 64
 #: Fingerprints compared in one block; larger buckets are refined, then cut into blocks.
 BLOCK = 1024
+#: Buckets of more blocks than this are split by further bits first.
+REFINE = 8
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -116,8 +118,9 @@ def _linker(ring: Ring, min_ratio: float):
             forest = Forest(len(seg))
             for i, j in run_pairs(run_starts(seg, key, block_a, block_b), len(seg)):
                 meet = (block_a[i] == block_b[i]) | (side[i] != side[j])
-                if min_ratio:
-                    meet &= np.minimum(n[i], n[j]) >= min_ratio * np.maximum(n[i], n[j])
+                if min_ratio:  # rows from the class below have -n; they met each other there
+                    a, b = np.abs(n[i]), np.abs(n[j])
+                    meet &= (np.minimum(a, b) >= min_ratio * np.maximum(a, b)) & ((n[i] > 0) | (n[j] > 0))
                 i, j = i[meet], j[meet]
                 x = bits[i] ^ bits[j]
                 for l in range(2, ring.most + 1):  # chains that go over their budget leave
@@ -141,22 +144,24 @@ def links(nodes: DataFrame, max_distance: int, min_ratio: float = 0.0, block: in
     """Edges (a, b) that connect all fingerprints within max_distance bits of each other.
 
     nodes: distinct fp, and n. With min_ratio, the smaller n must also be at least that share of
-    the larger, and buckets are split by size class. In each bucket only a spanning forest of its
-    links is returned, never all pairs. Buckets over `block` are refined with the bits of the next
-    segments, and what is still larger is compared chunk by chunk, so none is dropped or sampled.
+    the larger (n is positive then), and buckets are split by size class. In each bucket only a
+    spanning forest of its links is returned, never all pairs. Buckets over `block` are compared
+    chunk by chunk, and those over REFINE blocks are first split by bits of the next segments, so
+    none is dropped or sampled.
     """
     ring = Ring(max_distance)
     size_class = F.lit(0)
     if min_ratio:
         # a partner's n is within 1 / min_ratio: it is in the same class or the next
         size_class = F.floor(F.log(F.greatest("n", F.lit(1)).cast("double")) / float(-np.log(min_ratio) + 1e-9)).cast("int")
-        nodes = nodes.withColumn("class", F.explode(F.array(size_class, size_class + 1)))
+        placed = F.array(F.struct(size_class.alias("class"), F.col("n").alias("n")), F.struct((size_class + 1).alias("class"), (-F.col("n")).alias("n")))
+        nodes = nodes.select("fp", F.explode(placed).alias("at")).select("fp", "at.n", "at.class")
     else:
         nodes = nodes.withColumn("class", size_class)
     at = [F.struct(F.lit(i).alias("seg"), _turned(s).alias("bits"), _turned(s).bitwiseAND(F.lit(_long(ring.chain(i, 1)))).alias("first")) for i, s in enumerate(ring.start)]
     keyed = nodes.select("fp", "n", "class", F.explode(F.array(*at)).alias("at")).select("fp", "n", "at.seg", "at.bits", "class", F.xxhash64("class", "at.first").alias("key") if min_ratio else F.col("at.first").alias("key"))
     if masks := {i: m for i in range(max_distance + 1) if (m := ring.refined(i))}:
-        hot = keyed.groupBy("seg", "key").count().where(F.col("count") > block).select("seg", "key", F.lit(True).alias("hot"))
+        hot = keyed.groupBy("seg", "key").count().where(F.col("count") > REFINE * block).select("seg", "key", F.lit(True).alias("hot"))
         finer = F.expr("case seg " + " ".join(f"when {i} then array({', '.join(f'{_long(m)}L' if _long(m) != -(2**63) else 'bigint(-9223372036854775808)' for m in ms)})" for i, ms in masks.items()) + " end")
         parts = F.when(F.col("hot"), F.transform(finer, lambda m, k: F.xxhash64("class", F.col("bits").bitwiseAND(m), k))).otherwise(F.array("key"))
         keyed = keyed.join(hot, ["seg", "key"], "left").withColumn("key", F.explode(parts)).drop("hot")
