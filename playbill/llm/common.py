@@ -1,50 +1,14 @@
-"""Shared helpers: the shared scratch folder, lineage cuts, runs of equal keys, bounded groups."""
+"""Shared helpers: runs of equal keys, groups of bounded size, forests."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Only where the session names no shared folder, as in tests on one machine.
-LOCAL_SCRATCH = "/tmp/checkpoints/playbill"
-
-
-def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the folder that driver and executors share (spark.checkpoint.dir)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"file://{LOCAL_SCRATCH}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(base)
-    full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
-    base = f"{full.getScheme()}://{full.getAuthority() or ''}{full.getPath()}"
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a frame that materialize() wrote and that nothing reads any more."""
-    spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def ship(spark: SparkSession, *roots: str) -> None:
-    """Let Python workers of later queries import the given source folders."""
-    env = spark.sparkContext.environment
-    known = [p for p in env.get("PYTHONPATH", "").split(":") if p]
-    env["PYTHONPATH"] = ":".join(dict.fromkeys([*roots, *known]))
-
-
 def run_starts(*keys: np.ndarray) -> np.ndarray:
     """Indices at which a new run of equal keys begins."""
     if not len(keys[0]):

@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import Forest, bounded_groups, materialize, run_pairs, run_starts, whole_runs
+from playbill.llm.common import Forest, bounded_groups, run_pairs, run_starts, whole_runs
+from playbill.storage import materialize
 from playbill.llm.components import connected_components
 
 #: Vectors from which the rotation is learnt: those with the smallest content hashes. The bound

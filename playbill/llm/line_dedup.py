@@ -57,8 +57,8 @@ def _joined(lines: list[str], drop: np.ndarray) -> str:
     return "\n".join(x for x, gone in zip(lines, drop.tolist(), strict=True) if not gone)
 
 
-def _filter(min_chars: int, text_at: int, schema: pa.Schema, known: np.ndarray | None):
-    """known: sorted frequent hashes; else the batch carries each row's own frequent hashes in `_drop`."""
+def _filter(min_chars: int, text_at: int, schema: pa.Schema, known: np.ndarray | None, names: tuple[str, str, str], drop_name: str):
+    """known: frequent hashes; else the batch carries each row's own frequent hashes in drop_name."""
 
     def members(h: np.ndarray, own) -> np.ndarray:
         among = known if known is not None else np.array(sorted({(x["h1"], x["h2"]) for x in own or ()}), np.int64).reshape(-1, 2).view(PAIR).ravel()
@@ -67,7 +67,7 @@ def _filter(min_chars: int, text_at: int, schema: pa.Schema, known: np.ndarray |
     def run(batches):
         for batch in batches:
             texts = batch.column(text_at)
-            own = batch.column(batch.schema.get_field_index("_drop")).to_pylist() if known is None else [None] * len(texts)
+            own = batch.column(batch.schema.get_field_index(drop_name)).to_pylist() if known is None else [None] * len(texts)
             hs = list(_hashes(texts, min_chars))
             if known is not None and hs:  # one look-up for the whole batch
                 all_gone = members(np.concatenate(hs), None)
@@ -76,7 +76,7 @@ def _filter(min_chars: int, text_at: int, schema: pa.Schema, known: np.ndarray |
                 gone = [members(h, o) for h, o in zip(hs, own, strict=True)]
             kept = [_joined((t.as_py() or "").split("\n"), g) if g.any() else (t.as_py() or "") for t, g in zip(texts, gone, strict=True)]
             columns = [batch.column(batch.schema.get_field_index(f.name)) if f.name in batch.schema.names else None for f in schema]
-            made = {"_kept": pa.array(kept, pa.string()), "_n_lines": pa.array([len(g) for g in gone], pa.int64()), "_n_dropped": pa.array([int(g.sum()) for g in gone], pa.int64())}
+            made = dict(zip(names, (pa.array(kept, pa.string()), pa.array([len(g) for g in gone], pa.int64()), pa.array([int(g.sum()) for g in gone], pa.int64())), strict=True))
             yield pa.RecordBatch.from_arrays([made[f.name] if f.name in made else c for f, c in zip(schema, columns, strict=True)], schema=schema)
 
     return run
@@ -100,7 +100,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    spark = docs.sparkSession
+    # names of our own that no column of docs begins with
+    mark = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in docs.columns))
+    kept_name, lines_name, dropped_name, doc_name, drop_name = (mark + x for x in ("kept", "n_lines", "n_dropped", "doc", "drop"))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     base = docs.select(*(F.col(f"`{c}`") for c in rest))
     frequent = frequent_lines(base, id_col, text_col, min_chars, min_docs)
@@ -108,7 +110,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     outer = base.drop(text_col)
     from pyspark.sql.types import LongType, StringType, StructType
 
-    fields = StructType([*outer.schema.fields]).add("_kept", StringType()).add("_n_lines", LongType()).add("_n_dropped", LongType())
+    fields = StructType([*outer.schema.fields]).add(kept_name, StringType()).add(lines_name, LongType()).add(dropped_name, LongType())
     schema = to_arrow_schema(fields)
     if found.num_rows <= broadcast_lines:
         pairs = np.empty(found.num_rows, PAIR)
@@ -118,13 +120,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     else:
         ids = base.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("doc"), F.col(text_col).alias("text"))
         lines = ids.mapInArrow(_document_lines(min_chars), "h1 long, h2 long, doc long")
-        drops = lines.join(frequent, ["h1", "h2"]).groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("_drop"))
-        source = base.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))).join(drops.withColumnRenamed("doc", "_doc"), "_doc", "left").select(*base.columns, "_drop")
+        drops = lines.join(frequent, ["h1", "h2"]).groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias(drop_name))
+        source = base.withColumn(doc_name, F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)))).join(drops.withColumnRenamed("doc", doc_name), doc_name, "left").select(*(F.col(f"`{c}`") for c in base.columns), drop_name)
         known = None
     text_at = source.columns.index(text_col)
-    done = source.mapInArrow(_filter(min_chars, text_at, schema, known), fields)
-    named = [F.col("_kept").alias(c) if c == text_col else F.col(f"`{c}`") for c in rest]
-    return done.select(*named, F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
+    done = source.mapInArrow(_filter(min_chars, text_at, schema, known, (kept_name, lines_name, dropped_name), drop_name), fields)
+    named = [F.col(kept_name).alias(c) if c == text_col else F.col(f"`{c}`") for c in rest]
+    return done.select(*named, F.col(lines_name).alias("n_lines"), F.col(dropped_name).alias("n_dropped"))
 
 
 def op1_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.llm.common import scratch
+from playbill.storage import scratch
 from playbill.llm.token_store import Shard, id_width, shard_writer
 from playbill.llm.tokens import default_tokenizer
 

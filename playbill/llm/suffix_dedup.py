@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import materialize, scratch
+from playbill.storage import materialize, scratch
 
 #: A perfect difference set: each shift modulo PERIOD is the difference of exactly one pair.
 PERIOD, COVER = 133, (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)

@@ -20,7 +20,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm.common import run_starts, scratch, whole_runs
+from playbill.llm.common import run_starts, whole_runs
+from playbill.storage import scratch
 from playbill.llm.tokens import default_tokenizer, encoder
 
 SHARD_MAGIC, INDEX_MAGIC = b"TIDSHRD1", b"TIDMPHF1"

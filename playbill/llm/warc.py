@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import scratch
+from playbill.storage import scratch
 
 # Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
