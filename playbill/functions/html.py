@@ -21,7 +21,7 @@ def lines(html: Column | str) -> Column:
     """The text's lines: block ends and breaks end one."""
     x = F.regexp_replace(col(html), r"(?i)<(?:br|/p|/div|/li|/tr|/h[1-6]|/td|/dd|/dt)[^>]*>", "\n")
     x = F.regexp_replace(x, "<[^>]+>", " ")
-    return F.filter(F.transform(F.split(x, "\n"), clean_text), lambda s: s != "")
+    return F.filter(F.transform(F.split(x, "\n"), lambda s: clean_text(s)), lambda s: s != "")
 
 
 def label_value(html: Column | str, *labels: str) -> Column:

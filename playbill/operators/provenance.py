@@ -33,7 +33,7 @@ def provider_rank(name: Column | str) -> Column:
 
 def canonical_providers(names: Column | str) -> Column:
     """Distinct canonical providers of an array of names (each may hold several, by bars), in the providers' order, others by name."""
-    each = F.flatten(F.transform(col(names), lambda n: F.split(n, r"\|")))
+    each = F.flatten(F.transform(F.filter(col(names), lambda n: n.isNotNull()), lambda n: F.split(n, r"\|")))
     known = F.array_distinct(F.filter(F.transform(each, canonical_provider), lambda p: p.isNotNull()))
     return F.transform(F.array_sort(F.transform(known, lambda p: F.struct(provider_rank(p).alias("rank"), p.alias("name")))), lambda s: s["name"])
 
