@@ -107,7 +107,7 @@ def link_lists(pages: DataFrame, pattern: str) -> DataFrame:
     """Distinct links of the pattern's first group, sorted; their details fill the rest."""
     links = F.array_sort(F.array_distinct(F.transform(F.regexp_extract_all("html", F.lit(pattern), 1), lambda x: absolute(x, F.col("base_url")))))
     rows = pages.select(*PAGE, F.posexplode(links).alias("place", "url"))
-    return items(rows, link=F.col("url"))
+    return items(rows, link=F.col("url"), venue=F.lit(""))
 
 
 def blocks(pages: DataFrame, pattern: str, groups: dict[str, int], fallback: str = ANCHOR) -> DataFrame:
