@@ -332,3 +332,61 @@ def event_hours(t, spark):
     from playbill.streaming.lifecycle import hourly
 
     return hourly(t("events"))
+
+
+@query("select doc_id, array_to_string(list_sort(list_distinct([source, lang])), ', ') as provider_label, len(list_distinct([source, lang])) as n_providers from documents")
+def provider_payload(t, spark):
+    """Canonical providers, tags and label from a row's names."""
+    from playbill.operators import provenance
+
+    rows = t("documents").select("doc_id", F.array("source", "lang", F.lit("unknown")).alias("providers"), F.array().cast("array<string>").alias("source_urls"), F.array().cast("array<string>").alias("candidate_texts"))
+    return provenance.payload(rows).select("doc_id", "provider_label", F.size("providers").cast("long").alias("n_providers"))
+
+
+_MONTHS_SQL = str(dates.MONTH_SHORT)
+
+
+@query(f"select o_orderkey, day(o_orderdate) || ' ' || {_MONTHS_SQL}[month(o_orderdate)] || ' ' || year(o_orderdate) as shown from orders")
+def display_dates(t, spark):
+    return t("orders").select("o_orderkey", dates.display_date(F.to_date("o_orderdate")).alias("shown"))
+
+
+@query("select page_id, case when h like 'http%://%' then h when starts_with(h, '/') then regexp_extract(url, '^[^:]+://[^/?#]*') || h end as link from (select page_id, url, regexp_extract(html, '(?i)<a[^>]+href=\"([^\"]+)', 1) as h from pages) where h like 'http%://%' or (starts_with(h, '/') and not starts_with(h, '//'))")
+def absolute_links(t, spark):
+    """The first link of each page as seen from the page."""
+    first = t("pages").select("page_id", "url", F.regexp_extract("html", '(?i)<a[^>]+href="([^"]+)', 1).alias("h"))
+    return first.where("h like 'http%://%' or (h like '/%' and h not like '//%')").select("page_id", urls.absolute("h", "url").alias("link"))
+
+
+@query(f"with g as (select {KEY_SQL} as k, list_distinct(list(source)) as providers from documents group by 1) select (select count(*) from documents) as total_before, count(*) as total_after, count(*) filter (where len(providers) > 1) as multi_provider, (select count(*) from documents) - count(*) as overlap from g")
+def merge_counts(t, spark):
+    """Rows before and after grouping by match key, and groups of several sources."""
+    docs = t("documents").select("source", text.normalize_for_match("text").alias("k"))
+    return stats.merge_stats(docs, docs.groupBy("k").agg(F.collect_set("source").alias("providers")))
+
+
+@query("with a as (select event_id, value, 'old' as run_id from events where event_id % 2 = 0), b as (select event_id, -value as value, 'new' as run_id from events where event_type = 'click') select event_id, value, run_id from b union all select event_id, value, run_id from a where event_id not in (select event_id from b)")
+def run_upsert(t, spark):
+    """A run's rows over the stored ones of the same id."""
+    from playbill.streaming.lifecycle import upsert
+
+    e = t("events")
+    stored = e.where("event_id % 2 = 0").select("event_id", "value", F.lit("old").alias("run_id"))
+    return upsert(stored, e.where("event_type = 'click'").select("event_id", (-F.col("value")).alias("value")), ["event_id"], "new").select("event_id", "value", "run_id")
+
+
+@query("select l_orderkey, l_linenumber, case when l_discount = 0 then 'Ucretsiz' else printf('%.2f TRY', cast(l_extendedprice as decimal(12, 2))) end as shown from lineitem")
+def price_shown(t, spark):
+    """Price texts: one amount, or free."""
+    amount = F.when(F.col("l_discount") == 0, F.lit(0.0)).otherwise(F.col("l_extendedprice").cast("decimal(12,2)").cast("double"))
+    return t("lineitem").select("l_orderkey", "l_linenumber", prices.price_text(amount, amount, F.lit("TRY")).alias("shown"))
+
+
+@query("with b as (select user_id, event_type, cast(ts as date) as day, count(*) as n from events group by 1, 2, 3), s as (select user_id, event_type, day, case when event_type in ('purchase', 'signup') then 1 else 0 end as hit, n from b), r as (select *, max(hit) over (partition by user_id, day) > 0 as trending from s) select user_id, strftime(day, '%Y-%m-%d') as day, event_type, row_number() over (partition by user_id, day order by hit desc, n desc, event_type) as place from r where hit = 1 or not trending qualify place <= 2")
+def scored_top(t, spark):
+    """Matching rows first, else all, and of those the top of each cell: the report's choice."""
+    base = t("events").groupBy("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+    cell = Window.partitionBy("user_id", "day")
+    scored = base.withColumn("hit", F.col("event_type").isin("purchase", "signup").cast("int")).withColumn("trending", F.max("hit").over(cell) > 0)
+    chosen = scored.where((F.col("hit") == 1) | ~F.col("trending"))
+    return dedup.top_k(chosen, ["user_id", "day"], 2, F.desc("hit"), F.desc("n"), F.col("event_type")).select("user_id", "day", "event_type", F.col("place").cast("long").alias("place"))
