@@ -208,18 +208,23 @@ def _by_file(batches) -> Iterator[tuple[str, dict[int, dict[int, bytes]]]]:
         yield held, found
 
 
-def suspects(texts: Texts, length: int, n_buckets: int, marks: dict[int, bytes]) -> np.ndarray:
-    """Ascending positions that can start a repeat: a cover position with a repeated name is at most PERIOD - 1 on."""
+def suspect_runs(texts: Texts, length: int, n_buckets: int, marks: dict[int, bytes]) -> np.ndarray:
+    """Runs (start, end) of positions that can start a repeat: a cover position with a repeated name is at most PERIOD - 1 on."""
     short = length - PERIOD + 1
     cover = texts.cover(short)
     cover = cover[marked(texts.names(cover, short), n_buckets, marks)]
     if not len(cover):
-        return cover
+        return np.empty((0, 2), np.int64)
     begin = np.maximum(cover - PERIOD + 1, 0)
     new = np.concatenate([[True], begin[1:] > cover[:-1]])
-    starts, ends = begin[new], np.append(cover[:-1][new[1:]], cover[-1]) + 1
+    return np.stack([begin[new], np.append(cover[:-1][new[1:]], cover[-1]) + 1], axis=1)
+
+
+def suspects(texts: Texts, length: int, runs: bytes) -> np.ndarray:
+    """The runs' positions from which a window is within a document, ascending."""
+    starts, ends = np.frombuffer(runs, np.int64).reshape(-1, 2).T
     sizes = ends - starts
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum()) if len(sizes) else np.empty(0, np.int64)
     return at[texts.fits(at, length)]
 
 
@@ -245,25 +250,39 @@ def _emit_cover(root: str, length: int, n_buckets: int):
     return run
 
 
-def _emit_suspects(root: str, length: int, n_cover: int, n_buckets: int, buckets: range):
+RUNS = pa.schema([("file", pa.string()), ("runs", pa.binary())])
+
+
+def _find_suspects(root: str, length: int, n_cover: int):
     def run(batches):
         for file, marks in _by_file(batches):
-            texts = read_shard(root, file)
-            at = suspects(texts, length, n_cover, marks.get(0, {}))
-            names = texts.names(at, length)
-            lo, hi = (buckets.start << 64) // n_buckets, ((buckets.stop << 64) // n_buckets) - 1
-            yield from bucket_rows(file, names[(names >= np.uint64(lo)) & (names <= np.uint64(hi))], n_buckets, buckets)
+            runs = suspect_runs(read_shard(root, file), length, n_cover, marks.get(0, {}))
+            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([runs.tobytes()], pa.binary())], schema=RUNS)
+
+    return run
+
+
+def _emit_suspects(root: str, length: int, n_buckets: int, buckets: range):
+    lo, hi = (buckets.start << 64) // n_buckets, ((buckets.stop << 64) // n_buckets) - 1
+
+    def run(batches):
+        for batch in batches:
+            for file, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if runs:
+                    texts = read_shard(root, file)
+                    names = texts.names(suspects(texts, length, runs), length)
+                    yield from bucket_rows(file, names[(names >= np.uint64(lo)) & (names <= np.uint64(hi))], n_buckets, buckets)
 
     return run
 
 
-def _finish(root: str, length: int, n_cover: int, n_buckets: int, with_text: bool):
+def _finish(root: str, length: int, n_buckets: int, with_text: bool):
     schema = pa.schema(RESULT if with_text else RESULT[:-1])
 
     def run(batches):
         for file, marks in _by_file(batches):
             texts = read_shard(root, file)
-            at = suspects(texts, length, n_cover, marks.get(0, {}))
+            at = suspects(texts, length, marks[0][-1])
             if len(at):
                 at = at[marked(texts.names(at, length), n_buckets, marks.get(1, {}))]
             a, b = removed_runs(texts, at, length)
@@ -314,17 +333,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spread = files.select("file").repartition(max(1, n_files))
     cover = _ranked(spark, spread.mapInArrow(_emit_cover(root, length - PERIOD + 1, n_cover), "bucket int, file string, names binary, many binary"))
     name = files.select("file", F.lit(-1).alias("stage"), F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("marks"))
-    marks = name.union(cover.select("file", F.lit(0).alias("stage"), "bucket", "marks"))
+    by_shard = name.union(cover.select("file", F.lit(0).alias("stage"), "bucket", "marks")).repartition("file").sortWithinPartitions("file", "stage", "bucket")
+    runs = materialize(by_shard.mapInArrow(_find_suspects(root, length, n_cover), "file string, runs binary"), "suspects")
+    marks = runs.select("file", F.lit(0).alias("stage"), F.lit(-1).alias("bucket"), F.col("runs").alias("marks"))
     per_pass = n_buckets // PASSES
     for i in range(PASSES):  # one range of suffix buckets at a time bounds what is on disk
-        laid = marks.where("stage <= 0").repartition("file").sortWithinPartitions("file", "stage", "bucket")
-        emitted = laid.mapInArrow(_emit_suspects(root, length, n_cover, n_buckets, range(i * per_pass, (i + 1) * per_pass)), "bucket int, file string, names binary, many binary")
+        emitted = runs.repartition(max(1, n_files)).mapInArrow(_emit_suspects(root, length, n_buckets, range(i * per_pass, (i + 1) * per_pass)), "bucket int, file string, names binary, many binary")
         done = _ranked(spark, emitted)
         spark._jvm.System.gc()  # lets Spark drop the pass's shuffle files
         marks = marks.union(done.select("file", F.lit(1).alias("stage"), "bucket", "marks"))
     laid = marks.repartition("file").sortWithinPartitions("file", "stage", "bucket")
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return laid.mapInArrow(_finish(root, length, n_cover, n_buckets, with_text), fields)
+    return laid.mapInArrow(_finish(root, length, n_buckets, with_text), fields)
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
