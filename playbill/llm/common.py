@@ -9,6 +9,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+def hash_sample(df: DataFrame, n: int, salt: str, *keys: str) -> DataFrame:
+    """At most n rows, those with the smallest hashes of the keys; about n if there are as many.
+
+    Rows are counted and all but about 2 n cut by their hash before any is sorted, so that what
+    meets in one task is bounded whatever the number of partitions.
+    """
+    total = df.count()
+    h = F.xxhash64(F.lit(salt), *keys)
+    if total > 2 * n:
+        df = df.where(h < -(2**63) + (2**64) * 2 * n // total)
+    return df.orderBy(h, *keys).limit(n)
+
+
 def run_starts(*keys: np.ndarray) -> np.ndarray:
     """Indices at which a new run of equal keys begins."""
     if not len(keys[0]):
