@@ -10,12 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playbill.llm.common import hash_sample
+
 #: Most labelled and unlabelled rows that the classifier is fitted on, by the hash of their id.
 #: All documents are scored, and read whole.
-LABELLED, UNLABELLED = 6000, 6000
+LABELLED, UNLABELLED = 4000, 4000
 ROUNDS, CONFIDENT, SHARE = 3, 0.97, 0.25
-#: Hashed byte trigrams of the text view; hashed values and size classes of the metadata view.
-TEXT_BINS, META_BINS, SIZE_BINS = 1024, 64, 24
+#: Hashed byte trigrams of the text view (and one number for their repetition); hashed values and size classes of the metadata view.
+TEXT_BINS, META_BINS, SIZE_BINS = 512, 64, 24
 #: Documents whose joined probability of being good is below this are rejected.
 THRESHOLD = 0.5
 TEXT_BYTES = 1 << 22
@@ -33,39 +35,13 @@ def _encoded(text: str | None) -> bytes:
 
 
 def text_features(text: str | None) -> np.ndarray:
-    """Share of each trigram bin in a whole text."""
+    """Share of each trigram bin in a whole text, and how often two of its trigrams are alike (log)."""
     data, counts = np.frombuffer(_encoded(text), np.uint8), np.zeros(TEXT_BINS)
     for i in range(0, len(data) - 2, TEXT_BYTES):
         counts += np.bincount(trigram_bins(data[i : i + TEXT_BYTES + 2]), minlength=TEXT_BINS)
-    return (counts / max(1, len(data) - 2)).astype(np.float32)
-
-
-def text_logits(texts: list[bytes], weights: np.ndarray, bias: float) -> np.ndarray:
-    """bias + weights over trigram shares of each whole text, many texts at once."""
-    out, group, size = np.full(len(texts), bias), [], 0
-
-    def look():
-        data = np.frombuffer(b"".join(texts[i] for i in group), np.uint8)
-        if len(data) >= 3:
-            each = np.append(weights[trigram_bins(data)], [0.0, 0.0])
-            ends = np.cumsum([len(texts[i]) for i in group])
-            each[np.concatenate([ends - 1, ends[ends > 1] - 2])] = 0.0  # not across texts
-            sums = np.concatenate([[0.0], np.cumsum(each)])[np.concatenate([[0], ends])]
-            out[group] += np.diff(sums) / np.maximum(1, np.array([len(texts[i]) for i in group]) - 2)
-
-    for i, t in enumerate(texts):
-        if len(t) > TEXT_BYTES:
-            data = np.frombuffer(t, np.uint8)
-            out[i] += sum(float(weights[trigram_bins(data[a : a + TEXT_BYTES + 2])].sum()) for a in range(0, len(data) - 2, TEXT_BYTES)) / (len(data) - 2)
-        elif len(t) >= 3:
-            group.append(i)
-            size += len(t)
-        if size >= TEXT_BYTES:
-            look()
-            group, size = [], 0
-    if group:
-        look()
-    return out
+    n = max(1.0, counts.sum())
+    alike = float((counts * counts).sum() - n) / max(1.0, n * (n - 1))
+    return np.append(counts / n, math.log10(max(alike, 0.0) + 1e-4)).astype(np.float32)
 
 
 def meta_features(lang: list, source: list, n_chars: list) -> np.ndarray:
@@ -94,7 +70,7 @@ def _largest_square(z: np.ndarray) -> float:
 class Logistic:
     """Logistic regression on standardised features, then Platt scaling on other rows."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 200) -> None:
+    def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 200) -> None:
         mean, std = x.mean(axis=0), x.std(axis=0) + 1e-6
         z = ((x - mean) / std).astype(np.float64)
         w, b = np.zeros(x.shape[1]), 0.0
@@ -111,16 +87,35 @@ class Logistic:
         return x @ self.weights + self.bias
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
-        """Fit slope and shift of the logit by Newton steps, with a weak pull to 1 and 0."""
+        """Platt scaling: slope and shift of the logit on held-out rows, with smoothed targets.
+
+        Newton steps are halved until they lower the loss, so that it also settles where the
+        scores separate the classes. Without rows of both classes the logit stays as it is.
+        """
+        good = y > 0.5
+        if good.all() or not good.any():
+            return
         s = self.raw(x)
-        a, b = 1.0, 0.0
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * s + b, -30, 30)))
-            r, q = p - y, p * (1 - p)
-            grad = np.array([(r * s).sum() + (a - 1), r.sum() + b])
-            hess = np.array([[(q * s * s).sum() + 1, (q * s).sum()], [(q * s).sum(), q.sum() + 1]])
-            a, b = np.array([a, b]) - np.linalg.solve(hess, grad)
-        self.slope, self.shift = max(float(a), 0.0), float(b)
+        target = np.where(good, (good.sum() + 1) / (good.sum() + 2), 1 / ((~good).sum() + 2))
+
+        def loss(ab: np.ndarray) -> float:
+            z = ab[0] * s + ab[1]
+            return float((np.logaddexp(0, z) - target * z).sum())
+
+        at = np.array([1.0 / max(1.0, float(s.std())), 0.0])
+        now = loss(at)
+        for _ in range(100):
+            p = sigmoid(at[0] * s + at[1])
+            r, q = p - target, p * (1 - p)
+            hess = np.array([[(q * s * s).sum() + 1e-9, (q * s).sum()], [(q * s).sum(), q.sum() + 1e-9]])
+            step, size = np.linalg.solve(hess, np.array([(r * s).sum(), r.sum()])), 1.0
+            while size > 1e-8 and loss(at - size * step) > now:
+                size /= 2
+            after = loss(at - size * step)
+            if now - after < 1e-9:
+                break
+            at, now = at - size * step, after
+        self.slope, self.shift = max(float(at[0]), 0.0), float(at[1])
 
     def logit(self, x: np.ndarray) -> np.ndarray:
         return self.slope * self.raw(x) + self.shift
@@ -187,9 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     base = _columns(docs, id_col, text_col)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg((F.avg(label_col) >= 0.5).cast("double").alias("y"))
     present = base.where("id is not null").select("id").distinct()
-    order = F.xxhash64(F.lit("quality"), "id")
-    chosen = known.join(present, "id", "left_semi").orderBy(order, "id").limit(LABELLED)
-    others = present.join(known, "id", "left_anti").orderBy(order, "id").limit(UNLABELLED).withColumn("y", F.lit(None).cast("double"))
+    chosen = hash_sample(known.join(present, "id", "left_semi"), LABELLED, "quality", "id")
+    others = hash_sample(present.join(known, "id", "left_anti"), UNLABELLED, "quality", "id").withColumn("y", F.lit(None).cast("double"))
     wanted = {r.id: r.y for r in chosen.union(others).toLocalIterator()}
     spark = docs.sparkSession
     ids = spark.createDataFrame([(i,) for i in wanted] or [], "id long")
@@ -199,7 +193,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     free = [i for i in wanted if wanted[i] is None and i in rows]
     y = np.array([wanted[i] for i in given])
     width = 2 * META_BINS + SIZE_BINS
-    return CoTrained(_matrix([rows[i][0] for i in given], TEXT_BINS), _matrix([rows[i][1] for i in given], width), y, _matrix([rows[i][0] for i in free], TEXT_BINS), _matrix([rows[i][1] for i in free], width)) if len(given) >= 8 and len(set(y.tolist())) == 2 else None
+    return CoTrained(_matrix([rows[i][0] for i in given], TEXT_BINS + 1), _matrix([rows[i][1] for i in given], width), y, _matrix([rows[i][0] for i in free], TEXT_BINS + 1), _matrix([rows[i][1] for i in free], width)) if len(given) >= 8 and len(set(y.tolist())) == 2 else None
 
 
 def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -215,7 +209,7 @@ def _scorer(model: CoTrained | None, at: list[int], schema: pa.Schema):
                 keep = np.ones(n, bool)
             else:
                 texts, lang, source, n_chars = (batch.column(i) for i in at)
-                t = text_logits([_encoded(x.as_py()) for x in texts], *text_model)
+                t = np.stack([text_features(x.as_py()) for x in texts]) @ text_model[0] + text_model[1] if n else np.zeros(0)
                 m = meta_features(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist()) @ meta_model[0] + meta_model[1] if n else np.zeros(0)
                 p_text, p_meta, score = sigmoid(t), sigmoid(m), sigmoid(model.combine(t, m))
                 keep = score >= THRESHOLD

@@ -317,12 +317,26 @@ def test_quality_edges(spark, docs, none):
     assert quality.score_quality(df, labels.limit(0)).where("not keep").count() == 0
 
 
-def test_quality_logits_whole_texts(monkeypatch):
+def test_calibration_settles():
+    """Scores that separate the classes, far out or mixed: probabilities stay on the right side."""
+    rng = np.random.default_rng(3)
+    for spread, noise in ((1.0, 0.0), (60.0, 0.0), (60.0, 0.02), (400.0, 0.0), (0.001, 0.1)):
+        y = (rng.random(1500) < 0.86).astype(float)
+        x = np.where(y > 0.5, 1.0, -1.0)[:, None] * rng.uniform(0.2, 1.0, (1500, 1)) * spread
+        flip = rng.random(1500) < noise
+        model = quality.Logistic(x, y)
+        model.weights, model.bias = np.array([1.0]), 0.0
+        model.calibrate(x, np.where(flip, 1 - y, y))
+        assert ((quality.sigmoid(model.logit(x)) >= 0.5) == (y > 0.5)).mean() > 0.97
+
+
+def test_quality_features_whole_texts(monkeypatch):
+    """Long texts are counted in pieces with the same result, and repetition shows."""
+    many = [*texts(), "ab", "abc"]
+    whole = [quality.text_features(t) for t in many]
     monkeypatch.setattr(quality, "TEXT_BYTES", 50)
-    weights = np.random.default_rng(0).standard_normal(quality.TEXT_BINS)
-    many = [(t or "").encode() for t in texts()] + [b"ab", b"abc"]
-    want = [0.5 + float(quality.text_features(t.decode()).astype(float) @ weights) for t in many]
-    assert np.allclose(quality.text_logits(many, weights, 0.5), want, atol=1e-4)
+    assert all(np.allclose(a, quality.text_features(t)) for a, t in zip(whole, many, strict=True))
+    assert quality.text_features("word " * 200)[-1] > quality.text_features(" ".join(map(str, range(300))))[-1]
 
 
 def test_licenses(spark, none):
