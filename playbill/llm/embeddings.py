@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from playbill.llm.common import Forest, bounded_groups, run_pairs, run_starts, whole_runs
+from playbill.llm.common import Forest, bounded_groups, hash_sample, run_pairs, run_starts, whole_runs
 from playbill.storage import materialize
 from playbill.llm.components import connected_components
 
@@ -140,7 +140,7 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     coded = None
     for (dim,) in nodes.select("dim").distinct().toLocalIterator():
         own = nodes.where(F.col("dim") == dim)
-        sample = own.orderBy("node").limit(fit_vectors).select("vector").toArrow()
+        sample = hash_sample(own, fit_vectors, "rotation", "node").select("vector").toArrow()
         rotation = learn_rotation(_unit(_matrix(sample["vector"])), TABLES * TABLE_BITS)
         part = own.select("node", "vector").mapInArrow(_coder(rotation), "node long, code long, vector array<double>").withColumn("dim", F.lit(dim))
         coded = part if coded is None else coded.union(part)
@@ -152,7 +152,8 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     keyed = coded.withColumn("at", F.explode(F.array(*at))).select("dim", "at.tab", "at.val", "node", "code", "copies", "vector")
     blocks = bounded_groups(keyed, ["dim", "tab", "val"], "node", BLOCK)
     order = ["dim", "tab", "val", "block_a", "block_b"]
-    laid = blocks.select(*order, "side", "node", "code", "copies", "vector").repartition(*order).sortWithinPartitions(*order)
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = blocks.select(*order, "side", "node", "code", "copies", "vector").repartition(parts, *order).sortWithinPartitions(*order)
     found = materialize(laid.mapInArrow(_linker(min_cosine), "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n")), "links")
     groups = connected_components(found.select("a", "b"))
     counts = found.groupBy("a").agg(F.sum("n").alias("n"))

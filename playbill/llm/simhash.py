@@ -168,7 +168,9 @@ def links(nodes: DataFrame, max_distance: int, min_ratio: float = 0.0, block: in
         keyed = keyed.join(hot, ["seg", "key"], "left").withColumn("key", F.explode(parts)).drop("hot")
     keyed = bounded_groups(keyed.select("fp", "n", "seg", "bits", "key"), ["seg", "key"], "fp", block)
     order = ["seg", "key", "block_a", "block_b"]
-    laid = keyed.select(*order, "side", "bits", "n").repartition(*order).sortWithinPartitions(*order)
+    # comparing is more work than the rows' size tells: as many tasks as a shuffle has
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = keyed.select(*order, "side", "bits", "n").repartition(parts, *order).sortWithinPartitions(*order)
     return laid.mapInArrow(_linker(ring, min_ratio), "a long, b long")
 
 
