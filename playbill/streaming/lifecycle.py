@@ -45,7 +45,7 @@ def deliver(rows: DataFrame, send: Callable[[int, list[dict]], bool], order: lis
     """
     import pandas as pd
 
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def one(key, pdf):
         ok, n = False, 0
         for n in range(1, attempts + 1):
             ok = bool(send(int(key[0]), pdf.sort_values(order).drop(columns=["chunk"]).to_dict("records")))
