@@ -301,9 +301,9 @@ def _finish(root: str, length: int, n_buckets: int, with_text: bool):
     return run
 
 
-def _ranked(spark, rows: DataFrame) -> DataFrame:
+def _ranked(rows: DataFrame, parts: int) -> DataFrame:
     """Marks of each shard's names, bucket by bucket."""
-    laid = rows.repartition("bucket").sortWithinPartitions("bucket")
+    laid = rows.repartition(parts, "bucket").sortWithinPartitions("bucket")
     return materialize(laid.mapInArrow(_bucket_sorter, "file string, bucket int, marks binary"), "marks")
 
 
@@ -330,19 +330,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_files, n_bytes = files.agg(F.count("*"), F.coalesce(F.sum("n_bytes"), F.lit(0))).first()
     n_cover = max(1, -(-n_bytes * 8 * len(COVER) // PERIOD // BUCKET_BYTES))
     n_buckets = PASSES * max(1, -(-n_bytes * 8 // 4 // BUCKET_BYTES // PASSES))
-    spread = files.select("file").repartition(max(1, n_files))
-    cover = _ranked(spark, spread.mapInArrow(_emit_cover(root, length - PERIOD + 1, n_cover), "bucket int, file string, names binary, many binary"))
+    # rows of a shard or a bucket are small to Spark and much work: their tasks are not to be merged
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shard_parts, bucket_parts = max(1, min(n_files, most)), min(n_buckets // PASSES, most)
+    spread = files.select("file").repartition(shard_parts)
+    cover = _ranked(spread.mapInArrow(_emit_cover(root, length - PERIOD + 1, n_cover), "bucket int, file string, names binary, many binary"), min(n_cover, most))
     name = files.select("file", F.lit(-1).alias("stage"), F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("marks"))
-    by_shard = name.union(cover.select("file", F.lit(0).alias("stage"), "bucket", "marks")).repartition("file").sortWithinPartitions("file", "stage", "bucket")
+    by_shard = name.union(cover.select("file", F.lit(0).alias("stage"), "bucket", "marks")).repartition(shard_parts, "file").sortWithinPartitions("file", "stage", "bucket")
     runs = materialize(by_shard.mapInArrow(_find_suspects(root, length, n_cover), "file string, runs binary"), "suspects")
     marks = runs.select("file", F.lit(0).alias("stage"), F.lit(-1).alias("bucket"), F.col("runs").alias("marks"))
     per_pass = n_buckets // PASSES
     for i in range(PASSES):  # one range of suffix buckets at a time bounds what is on disk
-        emitted = runs.repartition(max(1, n_files)).mapInArrow(_emit_suspects(root, length, n_buckets, range(i * per_pass, (i + 1) * per_pass)), "bucket int, file string, names binary, many binary")
-        done = _ranked(spark, emitted)
+        emitted = runs.repartition(shard_parts).mapInArrow(_emit_suspects(root, length, n_buckets, range(i * per_pass, (i + 1) * per_pass)), "bucket int, file string, names binary, many binary")
+        done = _ranked(emitted, bucket_parts)
         spark._jvm.System.gc()  # lets Spark drop the pass's shuffle files
         marks = marks.union(done.select("file", F.lit(1).alias("stage"), "bucket", "marks"))
-    laid = marks.repartition("file").sortWithinPartitions("file", "stage", "bucket")
+    laid = marks.repartition(shard_parts, "file").sortWithinPartitions("file", "stage", "bucket")
     fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return laid.mapInArrow(_finish(root, length, n_buckets, with_text), fields)
 
