@@ -16,6 +16,8 @@ def first_by(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
     row a task.
     """
     rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     picked = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*(col(o) for o in order))).alias("_row"))
     return picked.select(*keys, "_row.*").select(*df.columns)
 
@@ -44,14 +46,16 @@ def arg_max(df: DataFrame, keys: list[str], value: str, *order: str) -> DataFram
 
 
 def fallback_union(first: DataFrame, *others: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of the first frame that has any for a key."""
+    """Rows of the first frame that has any for a key; null is a key like any other."""
     parts = [df.withColumn("_priority", F.lit(i)) for i, df in enumerate((first, *others))]
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
-    best = rows.groupBy(*keys).agg(F.min("_priority").alias("_best"))
+    best = rows.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min("_priority").alias("_best"))
     same = F.col("_priority") == F.col("_best")
-    return rows.join(best, keys).where(same).drop("_priority", "_best")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return rows.join(best, same).drop("_priority", "_best", *(f"_{k}" for k in keys))
 
 
 def union_sources(*frames: DataFrame, place: str = "place") -> DataFrame:

@@ -106,3 +106,12 @@ def test_labels(spark):
 def test_dedup(events):
     rows = events(event("A!", "x", ("2026-01-01", "10:00", "v", [])), event("a", "x", ("2026-01-01", "10:00", "w", [])), event("a", "x", ("2026-01-01", "11:00", "w", [])), event("b", "x"))
     assert sorted(r.ordinal for r in dedup.dedup_shows(rows).collect()) == [0, 2, 3]
+
+
+def test_fallback_and_first(spark):
+    a, b = spark.createDataFrame([("x", 1), (None, 2)], "k string, v int"), spark.createDataFrame([("x", 3), ("y", 4), (None, 5)], "k string, v int")
+    assert sorted(r.v for r in dedup.fallback_union(a, b, keys=["k"]).collect()) == [1, 2, 4]
+    rows = spark.createDataFrame([("x", 2, "b"), ("x", 1, "c"), (None, 5, "d"), (None, None, "e")], "k string, o int, v string")
+    assert sorted((r.k or "", r.v) for r in dedup.first_by(rows, ["k"], "o").collect()) == [("", "e"), ("x", "c")]
+    assert dedup.first_by(rows.select("k"), ["k"], "k").count() == 2
+    assert dedup.first_by(rows.limit(0), ["k"], "o").count() == 0
