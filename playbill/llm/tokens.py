@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 
-#: Words, and lower-cased letter runs, remembered by one Python worker, and the longest that is; about 150 MB at most.
+#: Words in each of two generations that a Python worker remembers, and the longest; about 120 MB at most.
 CACHE_WORDS, CACHE_CHARS = 200_000, 40
 #: A run of letters that lower-case one to one and are in composed form, then ASCII marks: two tokens' worth of text.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:$%&*#|()\-]*)")
@@ -36,36 +36,35 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        # what was used since a memory was last full, and what was used before
         self.known: dict[str, bytes] = {}
-        self.bases: dict[str, bytes] = {}
+        self.old_known: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
-    def _base(self, letters: str) -> bytes:
-        ids = self.bases.get(letters)
-        if ids is None:
-            raw = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(raw)], "<u4").tobytes()
-            if len(letters) <= CACHE_CHARS:
-                self.bases[letters] = ids
-        return ids
-
     def _word(self, word: str) -> bytes:
         plain = PLAIN.fullmatch(word)
         if not plain:
             return self._ids([word])[0]
-        base, marks = plain[1].lower(), plain[2]
-        if marks and marks not in self.bases:
-            self.bases[marks] = self._ids([marks])[0]
-        return self._base(base) + (self.bases[marks] if marks else b"")
+        letters, marks = plain[1].lower(), plain[2]
+        raw = letters if letters.isascii() else letters.encode().decode("latin-1").translate(self.letters)
+        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(raw)])
+        if not marks:
+            return ids
+        known = self.marks.get(marks)
+        if known is None:
+            known = self._ids([marks])[0]
+            if len(marks) <= 4:  # so there are few
+                self.marks[marks] = known
+        return ids + known
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, done = self.known, []
-        for cache in (known, self.bases):
-            if len(cache) > CACHE_WORDS:
-                cache.clear()
+        if len(self.known) > CACHE_WORDS:
+            self.known, self.old_known = {}, self.known
+        known, old, done = self.known, self.old_known, []
         for t in texts:
             words = (t or "").replace("\n", " ").split(" ")
             parts = list(map(known.get, words))
@@ -73,7 +72,7 @@ class Encoder:
                 for i, ids in enumerate(parts):
                     if ids is None:
                         word = words[i]
-                        parts[i] = ids = self._word(word)
+                        parts[i] = ids = old.get(word) or self._word(word)
                         if len(word) <= CACHE_CHARS:
                             known[word] = ids
             done.append(b"".join(parts))
