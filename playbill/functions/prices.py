@@ -57,11 +57,15 @@ def is_free(text: Column | str) -> Column:
 
 def price_range(text: Column | str) -> Column:
     """struct(min, max) of a text: nulls if unknown or without amounts, zeros if free."""
-    x, found = col(text), amounts(text)
-    known = F.coalesce(x, F.lit("")) != ""
-    low = F.when(known & ~is_unknown(x), F.when(is_free(x), F.lit(0.0)).otherwise(F.array_min(found)))
-    high = F.when(known & ~is_unknown(x), F.when(is_free(x), F.lit(0.0)).otherwise(F.array_max(found)))
-    return F.struct(low.alias("min"), high.alias("max"))
+    x = col(text)
+
+    def read(s: Column) -> Column:  # the key and the amounts are worked out once
+        unknown, free = s["key"].rlike("|".join(UNKNOWN_MARKERS)), s["key"].rlike("|".join(FREE_MARKERS))
+        low, high = (F.when(~unknown, F.when(free, F.lit(0.0)).otherwise(v)) for v in (F.array_min(s["found"]), F.array_max(s["found"])))
+        return F.struct(low.alias("min"), high.alias("max"))
+
+    parts = F.struct(F.replace(normalize_for_match(x), F.lit(" "), F.lit("")).alias("key"), amounts(x).alias("found"))
+    return F.get(F.transform(F.array(parts), read), 0)
 
 
 def price_text(low: Column, high: Column, currency: Column) -> Column:
