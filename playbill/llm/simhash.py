@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import itertools
 import re
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.llm.common import Forest, bounded_groups, run_pairs, run_starts, whole_runs
@@ -22,9 +21,7 @@ BLOCK = 1024
 #: Buckets of more blocks than this are split by further bits first.
 REFINE = 8
 #: Further 64-bit parts of a wide fingerprint: no candidates are sought by them, only checked.
-MORE = ("more1", "more2")
-#: Texts of a group that all its others are compared with in each round after the first.
-LEADERS = 16
+MORE = ("more1", "more2", "more3", "more4")
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
@@ -51,11 +48,6 @@ def fingerprint(hashes: np.ndarray, at_once: int = 1 << 16) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def set_digest(hashes: np.ndarray) -> int:
-    """A 64-bit hash of the set of shingles, as a signed long."""
-    return int(np.array([xxhash.xxh64_intdigest(np.unique(hashes).tobytes(), 7)], np.uint64).view(np.int64)[0])
-
-
 def spread(hashes: np.ndarray, k: int) -> np.ndarray:
     """Other hashes of the same shingles, for further fingerprint bits."""
     x = (hashes + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
@@ -64,7 +56,7 @@ def spread(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def _fingerprints(words: int, seed: int, wide: bool):
-    schema = pa.schema([(c, pa.int64()) for c in ("id", "fp", "n", *(("digest", *MORE) if wide else ()))])
+    schema = pa.schema([(c, pa.int64()) for c in ("id", "fp", "n", *(MORE if wide else ()))])
 
     def run(batches):
         for batch in batches:
@@ -72,7 +64,6 @@ def _fingerprints(words: int, seed: int, wide: bool):
             fps = np.array([fingerprint(h) for h in hashes], np.uint64).view(np.int64)
             columns = [batch.column(0), pa.array(fps), pa.array([len(h) for h in hashes], pa.int64())]
             if wide:
-                columns.append(pa.array([set_digest(h) for h in hashes], pa.int64()))
                 columns += [pa.array(np.array([fingerprint(spread(h, k)) for h in hashes], np.uint64).view(np.int64)) for k in range(len(MORE))]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -82,10 +73,10 @@ def _fingerprints(words: int, seed: int, wide: bool):
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, seed: int = 42, wide: bool = False) -> DataFrame:
     """id, fp (the fingerprint's bits as a signed long) and n (shingles, repeats included) of each row.
 
-    Wide rows also have digest, of the set of shingles, and MORE, the fingerprint's further bits.
+    Wide rows also have MORE, the fingerprint's further bits.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_fingerprints(words, seed, wide), "id long, fp long, n long" + "".join(f", {c} long" for c in ("digest", *MORE) if wide))
+    return rows.mapInArrow(_fingerprints(words, seed, wide), "id long, fp long, n long" + "".join(f", {c} long" for c in MORE if wide))
 
 
 class Ring:
@@ -215,7 +206,7 @@ def _labelled(rows: DataFrame, max_distance: int, min_ratio: float, min_shingles
     return nodes.select("fp", "least").join(groups, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
 
 
-def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_distance: int = 4, min_ratio: float = 0.0, min_shingles: int = 0) -> DataFrame:
+def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, max_distance: int = 4, min_ratio: float = 0.0, min_shingles: int = 0, more_distance: int | None = None) -> DataFrame:
     """doc_id, fingerprint, n_shingles and component_id of every row of docs.
 
     Texts lose their A-Z to lower case; words end at ASCII white space; a fingerprint has a bit
@@ -223,79 +214,17 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and empty texts are texts without words. Documents whose fingerprints differ in at most
     max_distance bits are linked, equal fingerprints always. min_ratio asks for shingle counts
     that close (the least count stands for equal fingerprints), min_shingles for so many in both.
+    more_distance makes fingerprints 256 bits longer, and linked ones differ in at most that many
+    of these: texts of Jaccard similarity 0.8 in about 39, of 0.5 in 69, unrelated ones in 128.
     component_id is the smallest id reachable; null ids are never it. Repeated rows each return.
     """
-    rows = materialize(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    labelled = _labelled(rows, max_distance, min_ratio, min_shingles)
+    rows = materialize(fingerprints(docs, id_col, text_col, words, wide=more_distance is not None), "fingerprints")
+    labelled = _labelled(rows, max_distance, min_ratio, min_shingles, more_distance)
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = labelled.join(smallest, "component").select("fp", "component_id")
     return rows.join(by_fp, "fp").select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("n").alias("n_shingles"), "component_id")
 
 
-def _shingle_sets(words: int, seed: int):
-    schema = pa.schema([("digest", pa.int64()), ("shingles", pa.list_(pa.int64()))])
-
-    def run(batches):
-        for batch in batches:
-            for t in batch.column(0):  # a row at a time: sets are as long as their texts
-                hashes = np.unique(shingle_hashes(t.as_py(), words, seed))
-                yield pa.RecordBatch.from_arrays([pa.array([set_digest(hashes)], pa.int64()), pa.array([hashes.view(np.int64)], pa.list_(pa.int64()))], schema=schema)
-
-    return run
-
-
-def _similar_links(pool: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) of digests in the same component whose shingle sets' Jaccard similarity is at least that.
-
-    pool: component, digest, least (its smallest id), shingles. A round takes the first open texts
-    of each component as leaders, compares them with all of the component, and closes them and
-    those they link with. Rounds end when none is open, so that a component costs its texts times
-    its leaders, not all its pairs.
-    """
-    opened, most, found = pool.select("component", "digest", "least"), 1, []
-    while True:
-        order = Window.partitionBy("component").orderBy("least", "digest")
-        leaders = opened.withColumn("k", F.row_number().over(order)).where(F.col("k") <= most).select("component", "digest")
-        led = pool.join(leaders, ["component", "digest"]).select("component", F.col("digest").alias("a"), F.col("shingles").alias("theirs"))
-        both, size, other = F.size(F.array_intersect("shingles", "theirs")), F.size("shingles"), F.size("theirs")
-        close = (F.least(size, other) >= similarity * F.greatest(size, other)) & (both >= similarity * (size + other - both))
-        found.append(materialize(pool.join(led, "component").where((F.col("digest") != F.col("a")) & close).select("component", "a", F.col("digest").alias("b")), "similar"))
-        closed = leaders.union(found[-1].select("component", "b"))
-        still = materialize(opened.join(closed, ["component", "digest"], "left_anti"), "open")
-        if still.isEmpty():
-            return reduce(DataFrame.union, found).select("a", "b")
-        opened, most = still, LEADERS
-
-
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, max_distance: int = 12, min_ratio: float = 0.8, min_shingles: int = 16, more_distance: int = 36, similarity: float = 0.8) -> DataFrame:
-    """doc_id and component_id of every row with an id and words: near copies, checked exactly.
-
-    Fingerprints at most max_distance bits apart (see simhash_groups) only propose groups; 128
-    further bits, of which more_distance may differ, keep unrelated texts apart however many there
-    are (texts of similarity 0.8 differ in 19 of them on average, unrelated ones in 64). In each
-    group shingle sets are compared: texts of Jaccard similarity of at least `similarity` are
-    linked, and component_id is the smallest id reachable. Of a group's texts no two that stay
-    (doc_id = component_id) are that similar, and each other one is linked, over such links alone,
-    with one that stays. Texts with equal sets are always linked. Null and empty texts and null
-    ids have no row. Repeated rows each return.
-    """
-    rows = materialize(fingerprints(docs, id_col, text_col, words, wide=True).where("n > 0 and id is not null"), "fingerprints")
-    labelled = _labelled(rows, max_distance, min_ratio, min_shingles, more_distance)
-    texts = rows.groupBy("fp", "digest").agg(F.min("id").alias("least"))
-    members = materialize(texts.join(labelled.select("fp", "component"), "fp").groupBy("component", "digest").agg(F.min("least").alias("least")), "members")
-    crowded = members.groupBy("component").count().where("count > 1").select("component")
-    members = materialize(members.join(crowded, "component"), "crowded")
-    whole = docs.select(F.col(id_col).cast("long").alias("least"), F.col(text_col).alias("text")).join(members.select("least").distinct(), "least", "left_semi")
-    sets = whole.select("text").mapInArrow(_shingle_sets(words, 42), "digest long, shingles array<long>").groupBy("digest").agg(F.first("shingles").alias("shingles"))
-    pool = materialize(members.join(sets, "digest"), "sets")
-    groups = connected_components(_similar_links(pool, similarity))
-    least = rows.groupBy("digest").agg(F.min("id").alias("least"))
-    named = least.join(groups, F.col("digest") == F.col("node"), "left").select("digest", "least", F.coalesce("component", "digest").alias("component"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_digest = named.join(smallest, "component").select("digest", "component_id")
-    return rows.join(by_digest, "digest").select(F.col("id").alias("doc_id"), "component_id")
-
-
 def op2_simhash(spark, sf_dir: str) -> DataFrame:
     """doc_id, fingerprint, component_id of every document: 4-word shingles, at most 4 bits apart."""
     return simhash_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "fingerprint", "component_id")

@@ -105,37 +105,28 @@ def test_simhash(docs, none, words, distance, ratio, least, block, monkeypatch):
     assert simhash.simhash_groups(none).count() == 0
 
 
-@pytest.mark.parametrize("leaders", [16, 2])
-def test_near_copies(spark, docs, none, leaders, monkeypatch):
-    """Each text that goes is linked with one that stays by similar texts; no two that stay are similar."""
-    monkeypatch.setattr(simhash, "LEADERS", leaders)
+def test_wide_fingerprints(spark, none):
+    """Further bits split texts that only the first 64 hold alike; brute force over both."""
     rng = random.Random(17)
     made = []
-    for _ in range(12):  # variants at many similarities, some only linked by a chain
+    for _ in range(12):
         words = [f"w{rng.randrange(5000)}" for _ in range(200)]
-        for edits in (0, 0, 1, 2, 4, 4, 8, 16):
+        for edits in (0, 0, 1, 2, 4, 8, 12, 16):
             mine = list(words)
             for at in rng.sample(range(200), edits):
                 mine[at] = "changed" + str(rng.randrange(5000))
             made.append(" ".join(mine))
-    rows = [r for r in docs[0] if r[0] is not None] + [(1000 + i, t) + (None,) * 5 for i, t in enumerate(rng.sample(made, len(made)))]
-    sets, prints = {}, {}
-    for i, (d, t, *_) in enumerate(rows):
-        hashes = simhash.shingle_hashes(t, 5)
-        sets[i], prints[i] = set(hashes.tolist()), (simhash.fingerprint(hashes), len(hashes))
-    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
-    near = lambda a, b: prints[a] == prints[b] or ((prints[a][0] ^ prints[b][0]).bit_count() <= 12 and min(prints[a][1], prints[b][1]) >= max(16, 0.8 * max(prints[a][1], prints[b][1])))
-    filled = [i for i in sets if sets[i]]
-    linked = [(i, j) for i in filled for j in filled if j < i and (alike(i, j) or rows[i][0] == rows[j][0])]
-    label = groups(len(rows), linked)
-    got = {(r.doc_id, r.component_id) for r in simhash.near_copies(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()}
-    assert {d for d, _ in got} == {rows[i][0] for i in filled}
-    of = {rows[i][0]: label[i] for i in filled}
-    assert all(of[d] == of[c] for d, c in got)  # nothing goes without similar texts that lead to one that stays
-    stays = [i for i in filled if (rows[i][0], rows[i][0]) in got and (rows[i][0] != 12 or i == 11)]
-    assert not [(i, j) for i in stays for j in stays if j < i and rows[i][0] != rows[j][0] and near(i, j) and alike(i, j)]
-    assert 20 < len([1 for d, c in got if d != c])
-    assert simhash.near_copies(none).count() == 0
+    hashes = [simhash.shingle_hashes(t, 5) for t in made]
+    prints = [simhash.fingerprint(h) for h in hashes]
+    wide = [[simhash.fingerprint(simhash.spread(h, k)) for k in range(len(simhash.MORE))] for h in hashes]
+    apart = lambda i, j: sum((x ^ y).bit_count() for x, y in zip(wide[i], wide[j]))
+    close = [(i, j) for i in range(len(made)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 16]
+    linked = [(i, j) for i, j in close if apart(i, j) <= 40]
+    assert len({prints[i] for i in range(len(made))}) == len({tuple(w) for w in wide}) and len(linked) < len(close)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(df, words=5, max_distance=16, min_ratio=0.8, more_distance=40).collect()}
+    assert got == dict(enumerate(groups(len(made), linked)))
+    assert simhash.simhash_groups(none, more_distance=40).count() == 0
 
 
 def test_embeddings(spark):
