@@ -2,7 +2,7 @@
 
 1. quality: documents that the co-trained classifier rejects go.
 2. lines: lines in at least ten of the documents go; n_chars is counted anew.
-3. near copies: of documents linked by SimHash, one stays, the smallest id.
+3. near copies: of documents linked by Jaccard similarity, one stays, the smallest id.
 4. benchmark: documents that hold a benchmark item go.
 5. packing: what is left is packed into windows of token ids.
 """
@@ -15,16 +15,13 @@ from pyspark.sql import functions as F
 from playbill.storage import materialize, scratch
 from playbill.llm.decontaminate import contamination
 from playbill.llm.line_dedup import dedup_lines
+from playbill.llm.near_copies import near_copies
 from playbill.llm.packing import pack
 from playbill.llm.quality import score_quality
-from playbill.llm.simhash import simhash_groups
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Near copies: five-word shingles, at least 0.8 of the fingerprint's 64 bits equal (12 may
-#: differ) and as many of its 256 further bits (52 may differ), shingle counts within 0.8 of each
-#: other. Texts of under 16 shingles, whose fingerprints say little, are copies only if their
-#: fingerprints are equal.
-WORDS, DISTANCE, RATIO, LEAST, MORE_DISTANCE = 5, 12, 0.8, 16, 52
+#: Near copies: sets of distinct five-word shingles of Jaccard similarity 0.8, checked exactly.
+WORDS, SIMILARITY = 5, 0.8
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,8 +40,8 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Texts without words are no copies of each other's; rows without an id all stay.
     """
-    groups = simhash_groups(docs, words=WORDS, max_distance=DISTANCE, min_ratio=RATIO, min_shingles=LEAST, more_distance=MORE_DISTANCE)
-    gone = groups.where("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
+    groups = near_copies(docs, words=WORDS, similarity=SIMILARITY)
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
@@ -63,7 +60,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
-    ("simhash near-dedup", near_copy_stage),
+    ("near-copy dedup", near_copy_stage),
     ("benchmark decontamination", benchmark_stage),
     ("packing", packing_stage),
 ]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from playbill.llm import components, decontaminate, embeddings, licenses, line_dedup, packing, quality, simhash, suffix_dedup, token_store, tokens, warc
+from playbill.llm import components, decontaminate, embeddings, licenses, line_dedup, near_copies, packing, quality, simhash, suffix_dedup, token_store, tokens, warc
 from playbill.storage import scratch
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, n_lines string, _kept string"
@@ -129,6 +129,39 @@ def test_wide_fingerprints(spark, none):
     assert simhash.simhash_groups(none, more_distance=40).count() == 0
 
 
+@pytest.mark.parametrize("block", [1024, 3])
+def test_near_copies(spark, docs, none, block, monkeypatch):
+    """The components of all pairs of Jaccard similarity 0.8, and of no others, by brute force."""
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    monkeypatch.setattr(near_copies, "SET_BLOCK", block)
+    rng = random.Random(17)
+    made = []
+    for size in [5, 12, 19, 40, 68, 84, 200, 200, 200, 600]:  # variants at many similarities, some only linked by a chain
+        words = [f"w{rng.randrange(5000)}" for _ in range(size)]
+        made += [" ".join(words), " ".join(words), " ".join([*words[:-1], "end"])]
+        for edits in (1, 2, 3, 4, 4, 4, 5, 8, 16):
+            mine = list(words)
+            for at in rng.sample(range(size), min(size, edits)):
+                mine[at] = "changed" + str(rng.randrange(5000))
+            made.append(" ".join(mine))
+    for size in range(60, 400, 10):  # pairs at 0.80 to 0.85, by other words at the end
+        words = [f"p{rng.randrange(9000)}" for _ in range(size)]
+        cut = (size - 4) - int((size - 4) * rng.uniform(0.893, 0.915))
+        made += [" ".join(words), " ".join(words[:-cut] + [f"q{rng.randrange(9000)}" for _ in range(cut)])]
+        made.append(" ".join(words * 2))  # repeats count once
+    rows = [r for r in docs[0] if r[0] is not None] + [(1000 + i, t) + (None,) * 5 for i, t in enumerate(rng.sample(made, len(made)))]
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t, *_ in rows]
+    like = lambda i, j: len(sets[i] & sets[j]) / len(sets[i] | sets[j])
+    filled = [i for i in range(len(rows)) if sets[i]]
+    pairs = {(i, j): like(i, j) for i in filled for j in filled if j < i}
+    label = groups(len(rows), [(i, j) for (i, j), s in pairs.items() if s >= 0.8 or rows[i][0] == rows[j][0]])
+    least = {x: min(rows[i][0] for i in filled if label[i] == x) for x in {label[i] for i in filled}}
+    got = near_copies.near_copies(spark.createDataFrame(rows, SCHEMA).repartition(5)).collect()
+    assert by(tuple(r) for r in got) == by((rows[i][0], least[label[i]]) for i in filled)
+    assert sum(0.8 <= s < 0.85 for s in pairs.values()) > 20 and sum(0.6 < s < 0.8 for s in pairs.values()) > 20
+    assert near_copies.near_copies(none).count() == 0
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
