@@ -406,3 +406,16 @@ def test_licenses(spark, none):
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.family) for r in got} == {(i, f) for i, (f, _) in planted.items()}
     assert licenses.scan(none).count() == 0
+
+
+def test_rights_reserved(spark):
+    """Short copyright notices are the proprietary family; the words apart from each other are not."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("aeioubdgklmnprst", k=rng.randint(2, 9)))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    notices = ["All rights reserved.", "Copyright 2024 Example Ltd. All rights reserved.", "(c) 2019 A. Writer, all rights reserved"]
+    rows = [(i, "\n".join(filler(rng.randint(5, 150)) for _ in range(4))) for i in range(60)] + [(60, "All seats were reserved, and so were the rights of way.")]
+    rows += [(70 + i, filler(80) + "\n" + t + "\n" + filler(30)) for i, t in enumerate(notices)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.family) for r in got} == {(70 + i, "proprietary") for i in range(len(notices))}
+
