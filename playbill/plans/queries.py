@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playbill.functions import dates, html, prices, rules, text, urls
+from playbill import schema
 from playbill.operators import dedup, filters, match, stats
 
 QUERIES: dict = {}
@@ -290,6 +291,13 @@ def chunks(t, spark):
     return dedup.chunk_numbers(t("orders").select("o_orderkey"), 50, "o_orderkey").select("o_orderkey", "chunk")
 
 
+@query("select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, row_number() over (order by l_extendedprice, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_discount, l_tax, l_shipdate) - 1 as ordinal from lineitem")
+def number_rows(t, spark):
+    """Places of whole line items by price."""
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_shipdate"]
+    return schema.number_rows(t("lineitem"), *order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "ordinal")
+
+
 @query("select o_orderkey, l_linenumber, l_quantity from orders join lineitem on o_orderkey = l_orderkey")
 def dto_explode(t, spark):
     """Orders with nested lines, unnested again."""

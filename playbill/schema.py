@@ -42,15 +42,30 @@ def conform(df: DataFrame, ddl: str = EVENT, extra: tuple[str, ...] = ("ordinal"
 def number_rows(df: DataFrame, *order: str, name: str = "ordinal") -> DataFrame:
     """Give rows their place in the given order, from 0, without bringing them to one task.
 
-    Rows are range-partitioned and sorted; each partition's count, one number a partition, gives
-    the partitions their offsets. The order's columns must tell all rows apart for the places
-    to be the same each time.
+    Rows are range-partitioned, sorted and written once with their partition and their place in
+    it; each written partition's count, one number a partition, gives the partitions their
+    offsets. Nothing is evaluated twice, so neither new range bounds nor partitions that adaptive
+    execution merges can move a row. Rows that the order doesn't tell apart are numbered in any
+    order. The order's columns may be any that Spark sorts; nulls come first.
     """
-    laid = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id() % (1 << 33))
-    counts = sorted((r["_part"], r["count"]) for r in laid.groupBy("_part").count().collect())
-    offsets, total = [], 0
-    for part, count in counts:
-        offsets.append((part, total))
-        total += count
-    base = df.sparkSession.createDataFrame(offsets, "_part int, _base long")
-    return laid.join(F.broadcast(base), "_part").withColumn(name, F.col("_base") + F.col("_at")).drop("_part", "_at", "_base")
+    from playbill.storage import materialize
+
+    part, at = fresh(df, "part"), fresh(df, "at")
+    laid = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    laid = materialize(laid.withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)), "numbered")
+    counts = sorted((r[0], r[1]) for r in laid.groupBy(part).count().collect())
+    base, total = {}, 0
+    for p, n in counts:
+        base[p], total = total, total + n
+    offsets = df.sparkSession.createDataFrame(list(base.items()), f"{part} int, _base long")
+    start = fresh(df, "base")
+    return laid.join(F.broadcast(offsets.withColumnRenamed("_base", start)), part).select(*(F.col(f"`{c}`") for c in df.columns if c != name), (F.col(start) + F.col(at)).alias(name))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,15 @@ LOCAL_SCRATCH = "/tmp/checkpoints/playbill"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder (spark.checkpoint.dir), as a full URI."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.checkpoint.dir", None) or f"file://{LOCAL_SCRATCH}")
+    """A new path in the shared folder (spark.checkpoint.dir), as a full URI.
+
+    Without that setting a local folder is used where driver and executors are one process; on a
+    cluster it would scatter the data over machines, so there the setting is required.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared or f"file://{LOCAL_SCRATCH}")
     full = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toUri()
     base = f"{full.getScheme()}://{full.getAuthority() or ''}{full.getPath()}"
     return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"

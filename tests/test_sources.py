@@ -138,6 +138,23 @@ def test_numbers(spark):
     assert [(r.id, r.ordinal) for r in df.collect() if r.id != r.ordinal] == []
 
 
+@pytest.mark.parametrize("parts", [8, 200])
+def test_numbers_of_wide_rows(spark, parts):
+    """Adaptive execution merges partitions by their width; no row is lost or misplaced."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        wide = spark.range(500_000).select(F.xxhash64("id").alias("key"), F.col("id").alias("_part"), F.expr("repeat('x', cast(id % 300 as int))").alias("text"))
+        got = number_rows(wide, "key")
+        rank = wide.select("key").toPandas().key.sort_values().reset_index(drop=True)
+        back = got.select("key", "ordinal", "_part", F.length("text").alias("n")).toPandas().sort_values("ordinal")
+        assert got.columns == ["key", "_part", "text", "ordinal"]
+        assert (back.ordinal.to_numpy() == range(500_000)).all() and (back.key.to_numpy() == rank.to_numpy()).all()
+        assert (back.n == back._part % 300).all()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_trends(spark, tmp_path):
     cells = trends.plan(spark, ["Ankara"], ["concert", "food"])
     candidates = spark.createDataFrame([("Ankara", "concert", i, f"e{i}", t, "2026-06-09") for i, t in enumerate(["Rock Gecesi", "Athena Konseri", "Duman Konseri", "Sessiz"])] + [("Ankara", "concert", 9, "late", "Athena", "2026-07-09"), ("Ankara", "food", 0, "f", "Yemek", None)], "city string, category string, ordinal int, id string, title string, next_date string")
