@@ -14,6 +14,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -194,7 +195,7 @@ def _bucket_sorter(batches):
 
 
 def _by_file(batches) -> Iterator[tuple[str, dict[int, dict[int, bytes]]]]:
-    """(file, stage -> bucket -> marks) of each shard; stage -1 rows only name the shard."""
+    """(file, stage -> bucket -> bytes) of each shard; stage -1 rows only name the shard."""
     held, found = None, {}
     for batch in batches:
         for file, stage, bucket, marks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -220,24 +221,52 @@ def suspect_runs(texts: Texts, length: int, n_buckets: int, marks: dict[int, byt
     return np.stack([begin[new], np.append(cover[:-1][new[1:]], cover[-1]) + 1], axis=1)
 
 
-def suspects(texts: Texts, length: int, runs: bytes) -> np.ndarray:
-    """The runs' positions from which a window is within a document, ascending."""
+def unpacked(runs: bytes) -> tuple[np.ndarray, np.ndarray]:
     starts, ends = np.frombuffer(runs, np.int64).reshape(-1, 2).T
+    return starts, ends
+
+
+def inside(runs: bytes) -> np.ndarray:
+    """All positions of the runs (start, end), ascending."""
+    starts, ends = unpacked(runs)
     sizes = ends - starts
-    at = np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum()) if len(sizes) else np.empty(0, np.int64)
-    return at[texts.fits(at, length)]
+    return np.repeat(starts - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum()) if len(sizes) else np.empty(0, np.int64)
 
 
-def removed_runs(texts: Texts, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal runs [a, b) of bytes under the windows at the given starts, none across documents."""
+def as_runs(at: np.ndarray) -> np.ndarray:
+    """Runs (start, end) of ascending positions."""
+    if not len(at):
+        return np.empty((0, 2), np.int64)
+    new = np.flatnonzero(np.diff(at) != 1)
+    return np.stack([at[np.append(0, new + 1)], at[np.append(new, len(at) - 1)] + 1], axis=1)
+
+
+def suspects(texts: Texts, length: int, runs: bytes, known: int = 0) -> np.ndarray:
+    """Positions, ascending, from which a string of `length` bytes may repeat.
+
+    The runs hold what may start one, or, if `known` is given, all that starts a repeat of that
+    many bytes: a longer repeat starts and ends with one.
+    """
+    at = inside(runs)
+    if not known:
+        return at[texts.fits(at, length)]
+    there = np.zeros(len(texts.data) + length, bool)
+    there[at] = True
+    return at[there[at + (length - known)]]
+
+
+def removed_runs(texts: Texts, runs: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs [a, b) of bytes under the windows that start in the given runs, none across documents."""
+    starts, ends = unpacked(runs)
     if not len(starts):
         return starts, starts
+    ends = ends + (length - 1)
     doc = np.searchsorted(texts.bounds, starts, side="right")
-    new = np.concatenate([[True], (starts[1:] > starts[:-1] + length) | (doc[1:] != doc[:-1])])
-    return starts[new], np.append(starts[:-1][new[1:]], starts[-1]) + length
+    new = np.concatenate([[True], (starts[1:] > ends[:-1]) | (doc[1:] != doc[:-1])])
+    return starts[new], np.append(ends[:-1][new[1:]], ends[-1])
 
 
-RESULT = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())]
+RESULT = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_kept", pa.int64()), ("n_repeated", pa.int64()), ("kept", pa.binary())]
 
 
 def _emit_cover(root: str, length: int, n_buckets: int):
@@ -262,7 +291,7 @@ def _find_suspects(root: str, length: int, n_cover: int):
     return run
 
 
-def _emit_suspects(root: str, length: int, n_buckets: int, buckets: range):
+def _emit_suspects(root: str, length: int, known: int, n_buckets: int, buckets: range):
     lo, hi = (buckets.start << 64) // n_buckets, ((buckets.stop << 64) // n_buckets) - 1
 
     def run(batches):
@@ -270,30 +299,43 @@ def _emit_suspects(root: str, length: int, n_buckets: int, buckets: range):
             for file, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if runs:
                     texts = read_shard(root, file)
-                    names = texts.names(suspects(texts, length, runs), length)
+                    names = texts.names(suspects(texts, length, runs, known), length)
                     yield from bucket_rows(file, names[(names >= np.uint64(lo)) & (names <= np.uint64(hi))], n_buckets, buckets)
 
     return run
 
 
-def _finish(root: str, length: int, n_buckets: int, with_text: bool):
-    schema = pa.schema(RESULT if with_text else RESULT[:-1])
+def _find_starts(root: str, length: int, known: int, n_buckets: int):
+    """Runs of the positions that do start a repeat, of each shard."""
 
     def run(batches):
         for file, marks in _by_file(batches):
-            texts = read_shard(root, file)
-            at = suspects(texts, length, marks[0][-1])
-            if len(at):
+            runs = marks[0][-1]
+            at = np.empty(0, np.int64)
+            if runs:
+                texts = read_shard(root, file)
+                at = suspects(texts, length, runs, known)
                 at = at[marked(texts.names(at, length), n_buckets, marks.get(1, {}))]
-            a, b = removed_runs(texts, at, length)
-            cut = np.searchsorted(a, texts.bounds)
+            yield pa.RecordBatch.from_arrays([pa.array([file]), pa.array([as_runs(at).tobytes()], pa.binary())], schema=RUNS)
+
+    return run
+
+
+def _finish(root: str, levels: list[int], with_text: bool):
+    schema = pa.schema(RESULT if with_text else RESULT[:-1])
+
+    def run(batches):
+        for file, starts in _by_file(batches):
+            texts = read_shard(root, file)
+            spans = [removed_runs(texts, starts[k][-1], length) for k, length in enumerate(levels)]
+            cuts = [np.searchsorted(a, texts.bounds) for a, _ in spans]
             rows = []
             for i, doc_id in enumerate(texts.ids):
                 begin, end = int(texts.bounds[i]), int(texts.bounds[i + 1])
-                lo, hi = int(cut[i]), int(cut[i + 1])
-                edges = [begin, *np.stack([a[lo:hi], b[lo:hi]], axis=1).ravel().tolist(), end]
+                own = [np.stack([a[cut[i] : cut[i + 1]], b[cut[i] : cut[i + 1]]], axis=1) for (a, b), cut in zip(spans, cuts, strict=True)]
+                edges = [begin, *own[-1].ravel().tolist(), end]
                 kept = b"".join(texts.data[x:y].tobytes() for x, y in zip(edges[::2], edges[1::2], strict=True))
-                row = (doc_id, end - begin, end - begin - len(kept), hi - lo, hashlib.sha256(kept).hexdigest(), kept)
+                row = (doc_id, end - begin, end - begin - len(kept), len(own[-1]), hashlib.sha256(kept).hexdigest(), len(kept), int(np.diff(own[0]).sum()), kept)
                 rows.append(row if with_text else row[:-1])
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
@@ -307,22 +349,31 @@ def _ranked(rows: DataFrame, parts: int) -> DataFrame:
     return materialize(laid.mapInArrow(_bucket_sorter, "file string, bucket int, marks binary"), "marks")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, with_text: bool = True) -> DataFrame:
+def _staged(rows: DataFrame, stage: int, value: str = "marks") -> DataFrame:
+    bucket = "bucket" if "bucket" in rows.columns else F.lit(-1).alias("bucket")
+    return rows.select("file", F.lit(stage).alias("stage"), bucket, F.col(value).alias("marks"))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, with_text: bool = True, passage: int | None = None) -> DataFrame:
     """Remove each byte of the UTF-8 texts under a string of `length` bytes that also starts elsewhere.
 
     Elsewhere is any other place of any row, the same row included; overlaps count, and all is
-    judged on the input. Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, with_text,
-    the kept bytes (binary: a cut can fall inside a character). Null and empty texts have no
-    bytes. Repeated rows repeat each other's text. length is at least twice the period of the
-    cover (266). No rows in, no rows out.
+    judged on the input. Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept,
+    n_repeated and, with_text, the kept bytes (binary: a cut can fall inside a character).
+    n_repeated counts the bytes under a string of `passage` bytes that also starts elsewhere
+    (default: `length`); these stay unless the longer one takes them. Null and empty texts have
+    no bytes. Repeated rows repeat each other's text. Ids are numbers. The shorter length is at
+    least twice the period of the cover (266), the longer one under twice the shorter. No rows
+    in, no rows out.
 
     Texts go once to compressed shards of bounded size in the shared folder. Shuffled are only
-    names, distinct in each shard, packed by bucket, so a string that a third of all documents
-    hold is one name a shard. Fingerprints of 64 bits confuse two of n strings with a chance of
-    about n * n / 2**65.
+    names, distinct in each shard, packed by bucket (a row has at least one name, so rows never
+    outnumber names), so a string that a third of all documents hold is one name a shard.
+    Fingerprints of 64 bits confuse two of n strings with a chance of about n * n / 2**65.
     """
-    if length < 2 * PERIOD:
-        raise ValueError(f"length must be at least {2 * PERIOD}")
+    levels = [length] if passage in (None, length) else [passage, length]
+    if levels[0] < 2 * PERIOD or not levels[0] <= length < 2 * levels[0]:
+        raise ValueError(f"the lengths must be at least {2 * PERIOD} and within a factor of two")
     spark = docs.sparkSession
     root = scratch(spark, "texts")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
@@ -333,23 +384,38 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # rows of a shard or a bucket are small to Spark and much work: their tasks are not to be merged
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shard_parts, bucket_parts = max(1, min(n_files, most)), min(n_buckets // PASSES, most)
-    spread = files.select("file").repartition(shard_parts)
-    cover = _ranked(spread.mapInArrow(_emit_cover(root, length - PERIOD + 1, n_cover), "bucket int, file string, names binary, many binary"), min(n_cover, most))
+
+    def by_shard(staged: DataFrame) -> DataFrame:
+        return staged.repartition(shard_parts, "file").sortWithinPartitions("file", "stage", "bucket")
+
+    spread, least = files.select("file").repartition(shard_parts), levels[0]
+    cover = _ranked(spread.mapInArrow(_emit_cover(root, least - PERIOD + 1, n_cover), "bucket int, file string, names binary, many binary"), min(n_cover, most))
     name = files.select("file", F.lit(-1).alias("stage"), F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("marks"))
-    by_shard = name.union(cover.select("file", F.lit(0).alias("stage"), "bucket", "marks")).repartition(shard_parts, "file").sortWithinPartitions("file", "stage", "bucket")
-    runs = materialize(by_shard.mapInArrow(_find_suspects(root, length, n_cover), "file string, runs binary"), "suspects")
-    marks = runs.select("file", F.lit(0).alias("stage"), F.lit(-1).alias("bucket"), F.col("runs").alias("marks"))
-    per_pass = n_buckets // PASSES
-    for i in range(PASSES):  # one range of suffix buckets at a time bounds what is on disk
-        emitted = runs.repartition(shard_parts).mapInArrow(_emit_suspects(root, length, n_buckets, range(i * per_pass, (i + 1) * per_pass)), "bucket int, file string, names binary, many binary")
-        done = _ranked(emitted, bucket_parts)
-        spark._jvm.System.gc()  # lets Spark drop the pass's shuffle files
-        marks = marks.union(done.select("file", F.lit(1).alias("stage"), "bucket", "marks"))
-    laid = marks.repartition(shard_parts, "file").sortWithinPartitions("file", "stage", "bucket")
-    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    return laid.mapInArrow(_finish(root, length, n_buckets, with_text), fields)
+    found = by_shard(name.union(_staged(cover, 0))).mapInArrow(_find_suspects(root, least, n_cover), "file string, runs binary")
+    runs, known, per_pass = materialize(found, "suspects"), 0, n_buckets // PASSES
+    starts: list[DataFrame] = []
+    for size in levels:
+        marks = _staged(runs, 0, "runs")
+        for i in range(PASSES):  # one range of suffix buckets at a time bounds what is on disk
+            emitted = runs.repartition(shard_parts).mapInArrow(_emit_suspects(root, size, known, n_buckets, range(i * per_pass, (i + 1) * per_pass)), "bucket int, file string, names binary, many binary")
+            done = _ranked(emitted, bucket_parts)
+            spark._jvm.System.gc()  # lets Spark drop the pass's shuffle files
+            marks = marks.union(_staged(done, 1))
+        runs, known = materialize(by_shard(marks).mapInArrow(_find_starts(root, size, known, n_buckets), "file string, runs binary"), "starts"), size
+        starts.append(_staged(runs, len(starts), "runs"))
+    laid = by_shard(reduce(DataFrame.union, starts))
+    fields = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, n_repeated long" + ", kept binary" * with_text
+    return laid.mapInArrow(_finish(root, levels, with_text), fields)
+
+
+#: The least that the cover allows; 50 words of prose are seldom shorter.
+PASSAGE = 2 * PERIOD
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document: repeats of 400 bytes go."""
-    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False)
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document: repeats of 400 bytes go.
+
+    n_kept are the bytes that stay; n_repeated the bytes under repeats of PASSAGE bytes, which
+    tell passages of some 50 words that are too short to go.
+    """
+    return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), with_text=False, passage=PASSAGE)

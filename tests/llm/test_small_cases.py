@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from playbill.llm import components, decontaminate, embeddings, licenses, line_dedup, near_copies, packing, quality, simhash, suffix_dedup, token_store, tokens, warc
 from playbill.storage import scratch
@@ -318,24 +319,38 @@ def test_packing(spark, docs, none, monkeypatch):
     assert packing.pack(none, scratch(spark, "p")).count() == 0
 
 
-def test_suffixes(docs, none):
-    rows, df = docs
-    data = [(t or "").encode() for _, t, *_ in rows]
+def repeated(data, length):
+    """For each text, which of its bytes a string of that length covers that also starts elsewhere."""
     seen = {}
     for x in data:
-        for i in range(len(x) - 399):
-            seen[x[i : i + 400]] = seen.get(x[i : i + 400], 0) + 1
-    want = []
-    for (d, *_), x in zip(rows, data, strict=True):
+        for i in range(len(x) - length + 1):
+            seen[x[i : i + length]] = seen.get(x[i : i + length], 0) + 1
+    covers = []
+    for x in data:
         cover = bytearray(len(x))
-        for i in range(len(x) - 399):
-            if seen[x[i : i + 400]] > 1:
-                cover[i : i + 400] = b"\1" * 400
+        for i in range(len(x) - length + 1):
+            if seen[x[i : i + length]] > 1:
+                cover[i : i + length] = b"\1" * length
+        covers.append(bytes(cover))
+    return covers
+
+
+@pytest.mark.parametrize("passage", [None, 266, 300])
+def test_suffixes(spark, docs, none, passage):
+    rows, df = docs
+    rng = random.Random(6)
+    some = ["".join(rng.choice("abcd é") for _ in range(n)) for n in (290, 330, 395, 410, 500)]
+    more = [(1000 + i, rng.choice(["", "x" * i]) + some[i % 5] + some[(i * 3 + 1) % 5][: 40 * i] + str(i)) for i in range(12)]
+    df = df.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).withColumn("kept", F.lit(1)).withColumn("file", F.lit("f"))
+    rows = [(r[0], r[1]) for r in rows] + more
+    data = [(t or "").encode() for _, t in rows]
+    want = []
+    for (d, _), x, cover, short in zip(rows, data, repeated(data, 400), repeated(data, passage or 400), strict=True):
         kept = bytes(c for c, g in zip(x, cover, strict=True) if not g)
-        want.append((d, len(x), len(x) - len(kept), len(re.findall(b"\1+", bytes(cover))), hashlib.sha256(kept).hexdigest(), kept))
-    got = suffix_dedup.remove_repeats(df)
-    assert by((*tuple(r)[:5], bytes(r.kept)) for r in got.collect()) == by(want)
-    assert suffix_dedup.remove_repeats(none).count() == 0
+        want.append((d, len(x), len(x) - len(kept), len(re.findall(b"\1+", cover)), hashlib.sha256(kept).hexdigest(), len(kept), sum(short), kept))
+    got = suffix_dedup.remove_repeats(df, passage=passage)
+    assert by((*tuple(r)[:7], bytes(r.kept)) for r in got.collect()) == by(want)
+    assert suffix_dedup.remove_repeats(none, passage=passage).count() == 0
 
 
 def test_cover():
