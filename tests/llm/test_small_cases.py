@@ -186,20 +186,42 @@ def test_embeddings(spark):
     assert embeddings.embedding_groups(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_embedding_recall(spark):
-    """Against brute force, at the threshold itself: at least 0.9 of all links."""
-    rng = np.random.default_rng(9)
-    a = rng.standard_normal((1500, 64))
-    a /= np.linalg.norm(a, axis=1, keepdims=True)
-    noise = rng.standard_normal((1500, 64))
+def at_cosine(rng, a, low, high):
+    """Partners of unit vectors at a cosine between low and high."""
+    noise = rng.standard_normal(a.shape)
     noise -= (noise * a).sum(axis=1, keepdims=True) * a
     noise /= np.linalg.norm(noise, axis=1, keepdims=True)
-    cosine = rng.uniform(0.9001, 0.95, (1500, 1))
-    x = np.concatenate([a, a * cosine + noise * np.sqrt(1 - cosine**2)])
+    cosine = rng.uniform(low, high, (len(a), 1))
+    return a * cosine + noise * np.sqrt(1 - cosine**2)
+
+
+@pytest.mark.parametrize("share", [0.0, 0.7, 0.8, 0.9, "clusters"])
+def test_embedding_recall(spark, share):
+    """Against brute force, at the threshold itself, for vectors with a common mean and in clusters."""
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    own = unit(rng.standard_normal((1200, 64)))
+    if share == "clusters":
+        a = unit(np.sqrt(0.8) * unit(rng.standard_normal((12, 64)))[rng.integers(0, 12, 1200)] + np.sqrt(0.2) * own)
+    else:
+        a = unit(np.sqrt(share) * unit(rng.standard_normal((1, 64))) + np.sqrt(1 - share) * own)
+    x = np.concatenate([a, at_cosine(rng, a, 0.9001, 0.95)])
     out = embeddings.embedding_groups(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"))
-    found = sum(r.n_links for r in out.collect())
-    true = int(((x @ x.T) >= 0.9).sum()) - len(x)
-    assert 0.9 * true <= found <= true
+    near = x @ x.T >= 0.9
+    got = {r.vec_id: r.n_links for r in out.collect()}
+    true = int(near.sum()) - len(x)
+    assert 0.95 * true <= sum(got.values()) <= true
+    assert all(got[i] <= int(near[i].sum()) - 1 for i in range(len(x)))
+
+
+def test_embedding_plan_grows():
+    """Tables get wider with the number of vectors, so that what an entry holds stays about the same."""
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    plans = [embeddings.Index(x, n, 0.9) for n in (10**3, 10**5, 10**7)]
+    assert plans[0].width < plans[1].width < plans[2].width and all(p.recall >= 0.97 for p in plans)
+    assert all(n * p.tables / 2**p.width < 20_000 for n, p in zip((10**5, 10**7), plans[1:]))
 
 
 def sellers(pattern, text):
