@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Characters of a q-gram, and edits allowed for each character of an item.
-Q, MAX_EDITS = 8, 0.1
+#: Characters of a q-gram, of one for items too short for it, and edits allowed for each character of an item.
+Q, SMALL_Q, MAX_EDITS = 8, 5, 0.1
 #: Characters of benchmark items handled in one pass over the documents; more take more passes.
 PASS_CHARS = 4_000_000
 #: Characters of text looked at together; longer texts are looked at in overlapping pieces.
 TEXT_CHARS = 1 << 21
+#: Shared q-grams looked at together.
+HITS = 1 << 18
 BITS = 22
 BASE = 0xD1342543DE82EF95
 
@@ -53,15 +57,25 @@ class Items:
         every = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
         place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else item
-        order = np.argsort(every, kind="stable")
-        self.grams, first = np.unique(every[order], return_index=True)
-        self.first = np.append(first, len(every))
-        self.item, self.place = item[order], place[order]
+        # places of a gram within one step of an item meet a text in at most two bands: their ends will do
+        order = np.lexsort((place, item, every))
+        every, item, place = every[order], item[order], place[order]
+        cell = place // self.step[item] if len(item) else place
+        new = np.ones(len(every), bool)
+        new[1:] = (every[1:] != every[:-1]) | (item[1:] != item[:-1]) | (cell[1:] != cell[:-1])
+        at = np.flatnonzero(new)
+        self.item, self.low, self.high = item[at], place[at], place[np.append(at[1:], len(every)) - 1] if len(at) else place
+        self.grams, first = np.unique(every[at], return_index=True)
+        self.first = np.append(first, len(at))
         self.seen = np.zeros(1 << BITS, bool)
         self.seen[(self.grams >> np.uint64(64 - BITS)).astype(np.int64)] = True
 
-    def hits(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of each q-gram that text and an item share; diagonal: place in text less place in item."""
+    def hits(self, chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(item, least and greatest diagonal) of the q-grams that text and items share, at most HITS at a time.
+
+        A diagonal is the place in the text less that in the item. A gram that an item has at many
+        places counts once for each step of it.
+        """
         h = gram_hashes(chars, self.q)
         at = np.flatnonzero(self.seen[(h >> np.uint64(64 - BITS)).astype(np.int64)])
         g = np.searchsorted(self.grams, h[at])
@@ -69,17 +83,33 @@ class Items:
         same = self.grams[g] == h[at] if len(self.grams) else np.zeros(0, bool)
         at, g = at[same], g[same]
         n = self.first[g + 1] - self.first[g]
-        row = np.repeat(self.first[g] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return self.item[row], np.repeat(at, n) - self.place[row]
+        total = np.cumsum(n)
+        i = 0
+        while i < len(at):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + HITS, side="right")))
+            part = n[i:j]
+            row = np.repeat(self.first[g[i:j]] - (np.cumsum(part) - part), part) + np.arange(part.sum())
+            place = np.repeat(at[i:j], part)
+            yield self.item[row], place - self.high[row], place - self.low[row]
+            i = j
 
     def candidates(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, first diagonal) of the bands with as many shared q-grams as a match must have."""
-        item, diagonal = self.hits(chars)
-        band = diagonal // self.step[item]
-        over = diagonal - band * self.step[item] <= self.budget[item]  # in the band before as well
-        shift = np.int64(1 << 40)
-        keys = np.concatenate([item * shift + band + (1 << 39), item[over] * shift + band[over] - 1 + (1 << 39)])
-        keys, counts = np.unique(keys, return_counts=True)
+        """(item, first diagonal) of the bands with as many shared q-grams as a match must have.
+
+        What is counted are text places with a gram of the item in the band, no fewer than a match
+        shares. Counts of a step of the text are added to those before, so memory follows the bands.
+        """
+        shift, none = np.int64(1 << 40), np.empty(0, np.int64)
+        keys, counts = none, none
+        for item, least, most in self.hits(chars):
+            step = self.step[item]
+            low, high = least // step, most // step
+            over = least - low * step <= self.budget[item]  # in the band before as well
+            base = item * shift + (1 << 39)
+            two = high > low
+            new, n = np.unique(np.concatenate([base + low, (base + high)[two], (base + low)[over] - 1]), return_counts=True)
+            keys, inverse = np.unique(np.concatenate([keys, new]), return_inverse=True)
+            counts = np.bincount(inverse, np.concatenate([counts, n]), len(keys)).astype(np.int64)
         found = keys // shift
         keep = counts >= self.bound[found]
         found, band = found[keep], (keys[keep] % shift) - (1 << 39)
@@ -160,12 +190,38 @@ class Items:
 MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int64())])
 
 
+class Part:
+    """One part of the benchmark: items by the q-gram size that serves their length, and the very short ones by their text."""
+
+    def __init__(self, ids: list[int], texts: list[str], q: int, max_edits: float) -> None:
+        by_q: dict[int, tuple[list[int], list[str]]] = {}
+        self.short: dict[str, list[int]] = {}
+        for i, t in zip(ids, texts, strict=True):
+            n = len(normal(t))
+            own = next((k for k in (q, SMALL_Q) if k <= q and n >= k * (int(n * max_edits) + 1)), 0)
+            if own:
+                kept = by_q.setdefault(own, ([], []))
+                kept[0].append(i)
+                kept[1].append(t)
+            elif n:
+                self.short.setdefault(normal(t), []).append(i)
+        self.items = [Items(*kept, own, max_edits) for own, kept in by_q.items()]
+
+    def many(self, texts: list[str]) -> list[list[tuple[int, int]]]:
+        """(item, edits) of every item that each (normalised) text holds."""
+        found = [[(i, 0) for i in self.short.get(t, [])] for t in texts]
+        for items in self.items:
+            for rows, match in zip(found, items.many(texts), strict=True):
+                rows += [(items.ids[k], c) for k, c in sorted(match.items())]
+        return found
+
+
 def _matcher(shared):
     def run(batches):
-        items = shared.value
+        part = shared.value
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), [normal(t.as_py()) for t in batch.column(1)]
-            rows = [(d, items.ids[k], c) for d, m in zip(ids, items.many(texts), strict=True) for k, c in sorted(m.items())]
+            rows = [(d, i, c) for d, m in zip(ids, part.many(texts), strict=True) for i, c in m]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], schema=MATCHES)
 
@@ -175,35 +231,38 @@ def _matcher(shared):
 def _item_passes(benchmark: DataFrame, id_col: str, text_col: str, q: int, max_edits: float):
     """The benchmark in parts of at most about PASS_CHARS characters."""
     ids, texts, size = [], [], 0
-    for row in benchmark.select(F.col(id_col).cast("long"), F.col(text_col)).where(f"`{id_col}` is not null").toLocalIterator():
-        if len(normal(row[1])) >= q:
-            ids.append(row[0])
-            texts.append(row[1])
-            size += len(row[1])
+    known = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("i is not null and t is not null")
+    for i, text in known.toLocalIterator():
+        ids.append(i)
+        texts.append(text)
+        size += len(text)
         if size >= PASS_CHARS:
-            yield Items(ids, texts, q, max_edits)
+            yield Part(ids, texts, q, max_edits)
             ids, texts, size = [], [], 0
     if ids:
-        yield Items(ids, texts, q, max_edits)
+        yield Part(ids, texts, q, max_edits)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_col: str = "text", q: int = Q, max_edits: float = MAX_EDITS) -> DataFrame:
     """doc_id, item_id and edits: a row for each row of docs and item that its text holds.
 
     Texts and items are lower-cased with white space runs made one space. An item is held if some
-    part of the text is at most max_edits edits a character of the item away (rounded down), and
-    so few that a match must share a q-gram. Items of fewer than q characters, without id or null
-    are never held; null and empty texts hold nothing. Repeated rows of docs each return;
-    repeated items too. No rows or no items, no rows out.
+    part of the text is at most max_edits edits a character of the item away (rounded down).
+    Items too short for a match to share one of the q-grams are looked for by q-grams of SMALL_Q
+    characters; where even these say nothing (under SMALL_Q characters, by default), the item is
+    held by texts that equal it. Items without id, null or empty are never held; null and empty
+    texts hold nothing. Ids are numbers. Repeated rows of docs each return; repeated items too.
+    No rows or no items, no rows out.
 
     Whole texts are read. The benchmark goes to the tasks in parts of bounded size, each with a
-    pass of its own over the documents; nothing is shuffled.
+    pass of its own over the documents; nothing is shuffled. Memory follows a text's bands, not
+    how often its q-grams repeat.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = spark.createDataFrame([], "doc_id long, item_id long, edits long")
-    for i, items in enumerate(_item_passes(benchmark, item_id_col, item_col, q, max_edits)):
-        found = rows.mapInArrow(_matcher(spark.sparkContext.broadcast(items)), "doc_id long, item_id long, edits long")
+    for i, part in enumerate(_item_passes(benchmark, item_id_col, item_col, q, max_edits)):
+        found = rows.mapInArrow(_matcher(spark.sparkContext.broadcast(part)), "doc_id long, item_id long, edits long")
         out = found if not i else out.union(found)
     return out
 

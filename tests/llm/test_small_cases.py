@@ -255,15 +255,36 @@ def test_contamination(spark):
     for d, t in rows:
         for i, x in items:
             p, y = decontaminate.normal(x), decontaminate.normal(t)
-            if i is not None and len(p) >= 4:
+            if i is not None and p:
                 e = sellers(p, y)
-                if e <= min(int(len(p) * 0.15), (len(p) - 4) // 4):
+                if e <= int(len(p) * 0.15) if len(p) >= 4 * (int(len(p) * 0.15) + 1) else p == y:
                     want.append((d, i, e))
     assert by(tuple(r) for r in got) == by(want) and want
     assert decontaminate.contamination(docs, bench.limit(0)).count() == 0
     assert decontaminate.contamination(docs.limit(0), bench).count() == 0
 
 
+def test_short_items(spark):
+    """By q-grams of five characters from ten characters on; by equality below five."""
+    items = [(0, "abcdefghijklmnopqrstu"), (1, "mnopqrs"), (2, "yes"), (3, "qwertyuiopas")]
+    docs = [(0, "xx abcdXfghijklmnYpqrstu xx"), (1, "-mnopqrs-"), (2, " YES "), (3, "yes!"), (4, "qw ertyuiopas"), (5, "qwXrtZuiopas")]
+    got = decontaminate.contamination(spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, item_id int"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert by(tuple(r) for r in got) == [(0, 0, 2), (1, 1, 0), (2, 2, 0), (4, 3, 1)]
+
+
+def test_repetitive_text():
+    """A line of a million dashes against an item of 400: memory follows the bands."""
+    import tracemalloc
+
+    items = decontaminate.Part([7], ["-" * 400], 8, 0.1)
+    tracemalloc.start()
+    found = items.many(["-" * 1_000_000, "-" * 365, "-" * 359])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [[(7, 0)], [(7, 35)], []]
+    assert peak < 500 << 20
+
+
 def test_long_text_in_pieces(monkeypatch):
     monkeypatch.setattr(decontaminate, "TEXT_CHARS", 3000)
     rng = random.Random(4)
