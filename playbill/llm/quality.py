@@ -3,19 +3,26 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import BooleanType, DoubleType, StructType
 
 from playbill.llm.common import hash_sample
-
-#: Most labelled and unlabelled rows that the classifier is fitted on, by the hash of their id.
-#: All documents are scored, and read whole.
-LABELLED, UNLABELLED = 4000, 4000
-ROUNDS, CONFIDENT, SHARE = 3, 0.97, 0.25
+from playbill.schema import fresh
+from playbill.storage import materialize
+
+#: Most labelled documents that the views are fitted on, by the hash of their id, and most
+#: pseudo-labels that a view gets in a round, as many of either class. All documents are scored in
+#: every round, and read whole.
+LABELLED, PSEUDO = 4000, 2000
+ROUNDS, CONFIDENT = 3, 0.97
 #: Hashed byte trigrams of the text view (and one number for their repetition); hashed values and size classes of the metadata view.
 TEXT_BINS, META_BINS, SIZE_BINS = 512, 64, 24
 #: Documents whose joined probability of being good is below this are rejected.
@@ -128,31 +135,29 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
 
+#: Takes the views of a round; returns, for each view, {id: (label, its features)} of documents that the other view is sure of.
+Exchange = Callable[[list[Logistic], int], list[dict[int, tuple[float, np.ndarray]]]]
+
+
 class CoTrained:
     """Both views after the rounds; logit of the whole = sum of the views' less the prior's."""
 
-    def __init__(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, text_u: np.ndarray, meta_u: np.ndarray) -> None:
+    def __init__(self, text: np.ndarray, meta: np.ndarray, y: np.ndarray, exchange: Exchange, rounds: int = ROUNDS) -> None:
         held = np.arange(len(y)) % 4 == 0  # rows are in hash order
-        fit = ~held
         rate = (y.sum() + 1) / (len(y) + 2)
         self.prior = float(np.log(rate / (1 - rate)))
-        views, labelled, spare = (text, meta), (text[fit], meta[fit]), (text_u, meta_u)
-        extra: list[dict[int, float]] = [{}, {}]  # pseudo-labels that each view was given
-        models: list[Logistic] = []
-        for _ in range(ROUNDS):
-            models = []
-            for v in (0, 1):
-                ids = np.array(sorted(extra[v]), np.int64)
-                x = np.concatenate([labelled[v], spare[v][ids]])
-                model = Logistic(x, np.concatenate([y[fit], [extra[v][i] for i in ids.tolist()]]))
-                model.calibrate(views[v][held], y[held])
-                models.append(model)
-            for v in (0, 1):  # each view labels for the other where it is surest
-                p = sigmoid(models[v].logit(spare[v]))
-                sure = np.flatnonzero((p >= CONFIDENT) | (p <= 1 - CONFIDENT))
-                sure = sure[np.argsort(-np.abs(p[sure] - 0.5), kind="stable")][: int(SHARE * len(p))]
-                extra[1 - v].update((int(i), float(p[i] >= 0.5)) for i in sure)
-        self.text, self.meta = models
+        given: list[dict[int, tuple[float, np.ndarray]]] = [{}, {}]  # pseudo-labels that each view was given
+        for k in range(rounds):
+            views = []
+            for x, extra in zip((text, meta), given, strict=True):
+                ids = sorted(extra)
+                model = Logistic(np.stack([*x[~held], *(extra[i][1] for i in ids)]), np.array([*y[~held], *(extra[i][0] for i in ids)]))
+                model.calibrate(x[held], y[held])
+                views.append(model)
+            if k < rounds - 1:  # each view labels for the other where it is sure
+                for extra, more in zip(given, exchange(views, k), strict=True):
+                    extra.update(more)
+        self.text, self.meta = views
 
     def combine(self, text: np.ndarray, meta: np.ndarray) -> np.ndarray:
         return text + meta - self.prior
@@ -173,75 +178,116 @@ def _matrix(rows: list[bytes], width: int) -> np.ndarray:
     return np.frombuffer(b"".join(rows), np.float32).reshape(-1, width)
 
 
-def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> CoTrained:
-    """Co-train on at most LABELLED labelled and UNLABELLED other documents, chosen by hash of id.
+WIDTHS = (TEXT_BINS + 1, 2 * META_BINS + SIZE_BINS)
+
+
+def _features(base: DataFrame, ids: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Features of both views of some (boundedly many) documents; of rows that share an id, the least counts."""
+    wanted = base.sparkSession.createDataFrame([(i,) for i in ids], "id long")
+    rows = base.join(F.broadcast(wanted), "id", "left_semi").groupBy("id").agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("d")).select("id", "d.*")
+    found = rows.mapInArrow(_featurise, "id long, text binary, meta binary").toArrow()
+    return {i: (_matrix([t], WIDTHS[0])[0], _matrix([m], WIDTHS[1])[0]) for i, t, m in zip(*(found[c].to_pylist() for c in ("id", "text", "meta")), strict=True)}
+
+
+def _probabilities(views: list[Logistic]):
+    """id and each view's probability."""
+    schema = pa.schema([("id", pa.int64()), ("p_text", pa.float64()), ("p_meta", pa.float64())])
+    folded = [v.folded() for v in views]
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                t, m = _both(folded, *batch.columns[1:])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sigmoid(t)), pa.array(sigmoid(m))], schema=schema)
+
+    return run
+
+
+def _both(folded: list, text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Calibrated logits of the text and the metadata view."""
+    (w, b), (v, c) = folded
+    t = np.array([text_features(x.as_py()) @ w + b for x in text])
+    return t, meta_features(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist()) @ v + c
+
+
+def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", labelled: int = LABELLED, pseudo: int = PSEUDO, rounds: int = ROUNDS) -> CoTrained | None:
+    """Co-train on at most `labelled` labelled documents, chosen by hash of id, and on pseudo-labels.
+
+    After each round but the last every unlabelled document is scored by both views. Of those that
+    a view is sure of, at most `pseudo` (half of each class), chosen by hash of id, become training
+    rows of the other view.
 
     A document labelled more than once counts with the majority, ties as good. Null labels and ids
-    are no labels. Without any labelled document the classifier keeps everything.
+    are no labels. Without eight labelled documents of both classes there is no classifier (None).
     """
     base = _columns(docs, id_col, text_col)
     known = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg((F.avg(label_col) >= 0.5).cast("double").alias("y"))
     present = base.where("id is not null").select("id").distinct()
-    chosen = hash_sample(known.join(present, "id", "left_semi"), LABELLED, "quality", "id")
-    others = hash_sample(present.join(known, "id", "left_anti"), UNLABELLED, "quality", "id").withColumn("y", F.lit(None).cast("double"))
-    wanted = {r.id: r.y for r in chosen.union(others).toLocalIterator()}
-    spark = docs.sparkSession
-    ids = spark.createDataFrame([(i,) for i in wanted] or [], "id long")
-    sample = base.join(F.broadcast(ids), "id", "left_semi").select("id", "text", "lang", "source", "n_chars").mapInArrow(_featurise, "id long, text binary, meta binary").toArrow()
-    rows = {i: (t, m) for i, t, m in zip(*(sample[c].to_pylist() for c in ("id", "text", "meta")), strict=True)}
-    given = [i for i in wanted if wanted[i] is not None and i in rows]
-    free = [i for i in wanted if wanted[i] is None and i in rows]
-    y = np.array([wanted[i] for i in given])
-    width = 2 * META_BINS + SIZE_BINS
-    return CoTrained(_matrix([rows[i][0] for i in given], TEXT_BINS + 1), _matrix([rows[i][1] for i in given], width), y, _matrix([rows[i][0] for i in free], TEXT_BINS + 1), _matrix([rows[i][1] for i in free], width)) if len(given) >= 8 and len(set(y.tolist())) == 2 else None
+    chosen = {r.id: r.y for r in hash_sample(known.join(present, "id", "left_semi"), labelled, "quality", "id").toLocalIterator()}
+    rows = _features(base, list(chosen))
+    ids = [i for i in chosen if i in rows]
+    y = np.array([chosen[i] for i in ids])
+    if len(ids) < 8 or len(set(y.tolist())) < 2:
+        return None
+
+    def exchange(views: list[Logistic], k: int) -> list[dict[int, tuple[float, np.ndarray]]]:
+        scored = base.where("id is not null").mapInArrow(_probabilities(views), "id long, p_text double, p_meta double")
+        free = materialize(scored.join(known.select("id"), "id", "left_anti"), "scores")
+        picks = []
+        for view, p in enumerate(("p_meta", "p_text")):  # the text view learns from the metadata view, and the other way round
+            for label, sure in ((1.0, F.col(p) >= CONFIDENT), (0.0, F.col(p) <= 1 - CONFIDENT)):
+                picks.append(free.where(sure).orderBy(F.xxhash64(F.lit(k), "id"), "id").limit(pseudo // 2).select("id", F.lit(view).alias("view"), F.lit(label).alias("label")))
+        picked = reduce(DataFrame.union, picks).collect()
+        found = _features(base, sorted({r.id for r in picked}))
+        return [{r.id: (r.label, found[r.id][view]) for r in picked if r.view == view} for view in (0, 1)]
+
+    return CoTrained(np.stack([rows[i][0] for i in ids]), np.stack([rows[i][1] for i in ids]), y, exchange, rounds)
 
 
 def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
 
 
-def _scorer(model: CoTrained | None, at: list[int], schema: pa.Schema):
+def _scorer(model: CoTrained | None, schema: pa.Schema):
+    """The batch's columns but the last four (the views' input), and the results."""
+    folded = [model.text.folded(), model.meta.folded()] if model else []
+
     def run(batches):
         for batch in batches:
             n = batch.num_rows
+            own, seen = batch.columns[:-4], batch.columns[-4:]
             if model is None:
                 p_text = p_meta = score = np.full(n, 0.5)
                 keep = np.ones(n, bool)
             else:
-                texts, lang, source, n_chars = (batch.column(i) for i in at)
-                t = np.stack([text_features(x.as_py()) for x in texts]) @ text_model[0] + text_model[1] if n else np.zeros(0)
-                m = meta_features(lang.to_pylist(), source.to_pylist(), n_chars.to_pylist()) @ meta_model[0] + meta_model[1] if n else np.zeros(0)
+                t, m = _both(folded, *seen) if n else (np.zeros(0), np.zeros(0))
                 p_text, p_meta, score = sigmoid(t), sigmoid(m), sigmoid(model.combine(t, m))
                 keep = score >= THRESHOLD
-            kept = [batch.column(batch.schema.get_field_index(f.name)) for f in schema if f.name in batch.schema.names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(p_text), pa.array(p_meta), pa.array(score), pa.array(keep)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*own, pa.array(p_text), pa.array(p_meta), pa.array(score), pa.array(keep)], schema=schema)
 
-    text_model, meta_model = (model.text.folded(), model.meta.folded()) if model else (None, None)
     return run
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_columns: tuple[str, ...] | None = None) -> DataFrame:
+def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_columns: tuple[str, ...] | None = None, labelled: int = LABELLED, pseudo: int = PSEUDO, rounds: int = ROUNDS) -> DataFrame:
     """Every row of docs with p_text, p_meta, quality_score and keep.
 
     docs has lang, source and n_chars besides id and text; keep_columns (default: all) are
     returned. p_text and p_meta are the calibrated views, quality_score joins them, keep says it
-    is at least THRESHOLD. Null and empty texts score
-    with the text view's bias; null metadata is a class of its own. Without labels of both kinds
-    all is kept at 0.5. Columns named like the results are replaced. Repeated rows each return.
+    is at least THRESHOLD. Null and empty texts score with the text view's bias; null metadata is
+    a class of its own. Without labels of both kinds all is kept at 0.5. Ids are numbers. Columns
+    named like the results are replaced, all others stay as they are. Repeated rows each return.
+    No rows in, no rows out. `labelled`, `pseudo` and `rounds` are fit()'s bounds.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import BooleanType, DoubleType, StructType
-
     made = ("p_text", "p_meta", "quality_score", "keep")
     own = [c for c in (keep_columns or docs.columns) if c not in made]
-    model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    used = docs.select(*(F.col(f"`{c}`") for c in own), F.col(text_col).alias("_text"), F.col("lang").cast("string").alias("_lang"), F.col("source").cast("string").alias("_source"), F.col("n_chars").cast("long").alias("_n_chars"))
+    model = fit(docs, labels, id_col=id_col, text_col=text_col, labelled=labelled, pseudo=pseudo, rounds=rounds)
+    seen = (F.col(f"`{text_col}`"), F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("long"))
+    used = docs.select(*(F.col(f"`{c}`") for c in own), *(c.alias(fresh(docs, f"view{i}")) for i, c in enumerate(seen)))
     fields = StructType([docs.schema[c] for c in own])
     for c in made[:3]:
         fields.add(c, DoubleType())
     fields.add("keep", BooleanType())
-    at = list(range(len(own), len(own) + 4))
-    return used.mapInArrow(_scorer(model, at, to_arrow_schema(fields)), fields)
+    return used.mapInArrow(_scorer(model, to_arrow_schema(fields)), fields)
 
 
 def op6_quality(spark, sf_dir: str) -> DataFrame:

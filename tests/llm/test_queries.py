@@ -21,6 +21,18 @@ def test_quality_accuracy(spark):
     assert labels[labels.quality == 1].keep.mean() > 0.97
 
 
+def test_quality_on_held_out_labels(spark):
+    """Fitted on about 280 labelled documents; judged on those whose labels it hasn't seen."""
+    from playbill.llm import quality
+
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    some = labels.where("pmod(xxhash64(doc_id), 10) < 7")
+    rest = labels.join(some, "doc_id", "left_anti").toPandas().merge(quality.score_quality(docs, some, keep_columns=("doc_id",)).toPandas(), on="doc_id")
+    assert len(rest) > 100 and (rest.keep == (rest.quality == 1)).mean() > 0.95
+    assert rest[rest.quality == 1].keep.mean() > 0.95
+
+
 def test_licenses_found(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()

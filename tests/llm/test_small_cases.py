@@ -430,6 +430,25 @@ def test_quality_edges(spark, docs, none):
     assert out.where("quality_score is null or quality_score < 0 or quality_score > 1").count() == 0
     assert quality.score_quality(none, labels).count() == 0
     assert quality.score_quality(df, labels.limit(0)).where("not keep").count() == 0
+    clash = df.withColumn("_text", F.lit("mine")).withColumn("_view0", F.lit("mine")).withColumn("id", F.lit("mine")).withColumn("keep", F.lit("gone"))
+    got = quality.score_quality(clash, labels, labelled=12, pseudo=4, rounds=2)
+    assert got.where("_text = 'mine' and _view0 = 'mine' and id = 'mine' and keep is not null").count() == len(rows)
+
+
+def test_quality_scores_equal_one_by_one(spark, docs, monkeypatch):
+    """Every row's scores from the fitted views, worked out one row at a time."""
+    rows, df = docs
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10, 36)], "doc_id long, quality int")
+    model = quality.fit(df, labels)
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: model)
+    want = []
+    for d, text, lang, source, n, *_ in rows:
+        t = float(model.text.logit(quality.text_features(text)[None])[0])
+        m = float(model.meta.logit(quality.meta_features([lang], [source], [n]))[0])
+        p = [1 / (1 + np.exp(-x)) for x in (t, m, t + m - model.prior)]
+        want.append((d, *(round(float(x), 5) for x in p), bool(p[2] >= 0.5)))
+    got = quality.score_quality(df, labels, keep_columns=("doc_id",)).collect()
+    assert by((r.doc_id, round(r.p_text, 5), round(r.p_meta, 5), round(r.quality_score, 5), r.keep) for r in got) == by(want)
 
 
 def test_calibration_settles():
