@@ -37,7 +37,7 @@ def test_licenses_found(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").toPandas()
     got = {(r.doc_id, r.family) for r in entry.queries()["op10_licenses"](spark, sf).collect()}
-    signs = {"Apache-2.0": "Apache License", "MIT": "MIT License", "GPL": "GNU General", "CC-BY-NC": "CC BY-NC"}
+    signs = {"Apache-2.0": "Apache License", "MIT": "MIT License", "GPL": "GNU General", "CC-BY-NC": "CC BY-NC", "proprietary": "All rights reserved."}
     assert got == {(d, f) for f, s in signs.items() for d in docs[docs.text.str.contains(s, regex=False)].doc_id}
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -473,6 +474,51 @@ def test_quality_features_whole_texts(monkeypatch):
     assert quality.text_features("word " * 200)[-1] > quality.text_features(" ".join(map(str, range(300))))[-1]
 
 
+def test_license_anchors():
+    """A window without any anchor can confirm no template."""
+    found = set(licenses.anchors())
+    for family, ws in licenses.templates():
+        pairs = list(dict.fromkeys(zip(ws, ws[1:])))
+        left = [w for w in dict.fromkeys(ws) if w not in found] + [p for p in pairs if not found & set(p)]
+        assert len(left) < licenses.CONFIRM * (len(set(ws)) + len(pairs)), (family, ws)
+
+
+def held_out():
+    """Notices as they are found: wrapped, in comments, with other names, years and addresses; and text that is none."""
+    wrap = lambda text, n, lead="": "\n".join(lead + x for x in textwrap.wrap(text, n))
+    lgpl = "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software."
+    stated = [
+        ("LGPL", wrap(lgpl, 72)), ("LGPL", wrap(lgpl, 40, " * ")), ("MIT", wrap(mit, 79, "# ")), ("MIT", wrap(mit, 48, "// ")), ("MIT", "This project is licensed under the terms of the MIT License."),
+        ("Apache-2.0", wrap("Copyright 2019 The Example Authors. Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.", 60)),
+        ("BSD", wrap("Redistribution and use in source and binary forms, with or without modification, are permitted (subject to the limitations below) provided that the following conditions are met", 50)),
+        ("GPL", wrap("Foo is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or any later version.", 66, "# ")),
+        ("MPL-2.0", wrap("This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0. If a copy of the MPL was not distributed with this file, you can get one at mozilla.org.", 55)),
+        ("proprietary", "Copyright 2021 Example Inc. All rights reserved."), ("CC-BY-SA", "This article is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ]
+    other = [
+        "The driver must carry a valid license and the car its registration.", "He asked for permission to use the software in the general public library.", "The conditions of the contract were met without notice.",
+        "Fishing licenses are sold at the office; all rights of way stay open.", "She wrote about copyright and the rights of authors in the last chapter.", "Public bodies distribute source material to any person who asks.",
+    ]
+    return stated, other
+
+
+def test_licenses_held_out(spark):
+    """Notices that aren't templates word by word, between other text; text with licence words that states none."""
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choices("aeioubdgklmnprst", k=rng.randint(2, 9)))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    stated, other = held_out()
+    rows = [(i, "\n".join(filler(rng.randint(5, 150)) for _ in range(4))) for i in range(80)]
+    rows += [(100 + i, filler(50) + gap + t + gap + filler(30)) for i, (_, t) in enumerate(stated) for gap in ("\n",)]
+    rows += [(200 + i, filler(50) + "\n\n" + t + "\n\n" + filler(30)) for i, (_, t) in enumerate(stated)]
+    rows += [(300 + i, t) for i, t in enumerate(other)] + [(400, stated[4][1] + "\n" + stated[9][1])]
+    got = {(r.doc_id, r.family) for r in licenses.scan(spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, ws string")).collect()}
+    want = {(k + i, f) for k in (100, 200) for i, (f, _) in enumerate(stated)} | {(400, "MIT"), (400, "proprietary")}
+    assert not {d for d, _ in got if d < 100 or 300 <= d < 400}
+    assert len(want & got) >= 0.9 * len(want) and len(got - want) <= 2, (want - got, got - want)
+
+
 def test_licenses(spark, none):
     rng = random.Random(8)
     word = lambda: "".join(rng.choices("aeioubdgklmnprst", k=rng.randint(2, 9)))
