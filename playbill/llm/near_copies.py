@@ -1,4 +1,9 @@
-"""Near copies by Jaccard similarity of shingle sets: MinHash bands propose, the whole sets decide."""
+"""SimHash near copies at a Jaccard similarity: MinHash keys propose, pigeonring on wide SimHash prunes, whole sets decide.
+
+At similarity 0.8 fingerprints of 64 bits differ in 9.7 bits on average. Equal segments would be
+of four bits then and hardly tell texts apart, so candidates are sought by prefixes and MinHash
+bands instead; fingerprints of 256 bits, with ring and Hamming check, let go what isn't alike.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,7 @@ from pyspark.sql import functions as F
 
 from playbill.llm.common import Forest, bounded_groups, run_pairs, run_starts, whole_runs
 from playbill.llm.components import connected_components
-from playbill.llm.simhash import shingle_hashes
+from playbill.llm.simhash import fingerprint, shingle_hashes, spread
 from playbill.storage import materialize
 
 #: MinHash values in bands: a pair of similarity 0.8 shares no band in 3 of a million cases.
@@ -18,9 +23,12 @@ BANDS, BAND = 24, 4
 #: Sets of at most this many shingles meet by their prefixes, without loss; those of at least 0.8
 #: of it (so that every possible pair has one way or the other) by their bands.
 SHORT = 80
-#: Standard deviations of the estimate under the similarity asked for, at which a pair is let go.
-SLACK = 5
-#: Sets compared in one block: of candidates by their estimates, of whole sets.
+#: 64-bit parts of a fingerprint, and bits in which two of its sets may differ: texts of similarity
+#: 0.8 differ in 39 on average with a deviation of 6, unrelated ones in 128.
+PARTS, MOST = 4, 72
+#: Segments of the ring around a fingerprint.
+SEGMENTS = 2 * PARTS
+#: Sets compared in one block: of candidates by their fingerprints, of whole sets.
 BLOCK, SET_BLOCK = 1024, 256
 #: Odd multipliers, one a MinHash value.
 TURNS = np.random.default_rng(42).integers(0, 2**63, BANDS * BAND).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,7 +71,7 @@ def _sign(words: int, similarity: float):
                 hashes = np.unique(shingle_hashes(t.as_py(), words))
                 if i is not None and len(hashes):
                     mins = signature(hashes)
-                    made.append((i, digest(hashes), len(hashes), mins.astype(np.uint8).tobytes(), meeting_keys(hashes, mins, similarity)))
+                    made.append((i, digest(hashes), len(hashes), wide_fingerprint(hashes), meeting_keys(hashes, mins, similarity)))
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made), schema)], schema=schema)
 
@@ -82,18 +90,36 @@ def _sets(words: int):
     return run
 
 
-def least_equal(similarity: float) -> float:
-    """MinHash values that a pair of that similarity has in common, SLACK deviations off the mean."""
-    m = BANDS * BAND
-    return m * similarity - SLACK * (m * similarity * (1 - similarity)) ** 0.5
+def wide_fingerprint(hashes: np.ndarray) -> bytes:
+    """PARTS * 64 bits of a set's SimHash, each part over other hashes of the shingles."""
+    return np.array([fingerprint(spread(hashes, k)) for k in range(PARTS)], np.uint64).tobytes()
+
+
+def ring_near(apart: np.ndarray, most: int) -> np.ndarray:
+    """Which rows of differing bits (PARTS words each) have at most `most` of them.
+
+    If so, from some segment of the ring on every chain of l segments differs in at most
+    l * most / SEGMENTS bits: rows leave with the last such chain, before all bits are counted.
+    """
+    left = np.arange(len(apart))
+    counts = np.bitwise_count(apart.view(np.uint32)).astype(np.int64).reshape(len(apart), SEGMENTS)
+    chain, alive = np.zeros_like(counts), np.ones(counts.shape, bool)
+    for length in range(1, SEGMENTS):
+        chain += np.roll(counts, 1 - length, axis=1)
+        alive &= chain <= length * most // SEGMENTS
+        some = alive.any(axis=1)
+        left, counts, chain, alive = left[some], counts[some], chain[some], alive[some]
+    near = np.zeros(len(apart), bool)
+    near[left[counts.sum(axis=1) <= most]] = True
+    return near
 
 
 def _candidates(table: pa.Table, keys: list[str], similarity: float, forest: Forest | None, at_once: int):
-    """Index pairs that meet in a block, whose sizes allow the similarity and whose estimates don't speak against it."""
+    """Index pairs that meet in a block, whose sizes allow the similarity and whose fingerprints are near."""
     columns = [table[c].to_numpy() for c in keys]
     block_a, block_b = columns[-2:]
     side, n = table["side"].to_numpy(), table["n"].to_numpy()
-    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(n), BANDS * BAND)
+    bits = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(len(n), PARTS)
     for i, j in run_pairs(run_starts(*columns), len(n), at_once):
         meet = ((block_a[i] == block_b[i]) | (side[i] != side[j])) & (np.minimum(n[i], n[j]) >= similarity * np.maximum(n[i], n[j]) - 1e-9)
         if forest is not None:
@@ -102,7 +128,7 @@ def _candidates(table: pa.Table, keys: list[str], similarity: float, forest: For
         close = np.empty(len(i), bool)
         for at in range(0, len(i), 1 << 14):
             part = slice(at, at + (1 << 14))
-            close[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1) >= least_equal(similarity)
+            close[part] = ring_near(bits[i[part]] ^ bits[j[part]], MOST)
         yield i[close], j[close]
 
 
@@ -163,8 +189,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows are linked if their sets of distinct shingles (see simhash_groups) have at least that
     Jaccard similarity, or the same id; component_id is the smallest id reachable. Every link is
     checked by the whole sets. What they are checked for is proposed by shared prefixes (short
-    sets) or MinHash bands, unless the share of equal MinHash values is SLACK deviations under
-    the similarity. Sets are told apart by 64-bit hashes. Repeated rows each return.
+    sets) or MinHash bands, unless their SimHash fingerprints differ in more than MOST of 256 bits.
+    Sets are told apart by 64-bit hashes. Ids are numbers. Texts without words (null, empty) and
+    rows without an id have no row here. Repeated rows each return. No rows in, no rows out.
 
     Proposals only make groups; in a group all pairs meet, SET_BLOCK sets at a time, save those
     already linked over others. So a group of m sets costs m / SET_BLOCK copies of each.

@@ -107,28 +107,15 @@ def test_simhash(docs, none, words, distance, ratio, least, block, monkeypatch):
     assert simhash.simhash_groups(none).count() == 0
 
 
-def test_wide_fingerprints(spark, none):
-    """Further bits split texts that only the first 64 hold alike; brute force over both."""
-    rng = random.Random(17)
-    made = []
-    for _ in range(12):
-        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
-        for edits in (0, 0, 1, 2, 4, 8, 12, 16):
-            mine = list(words)
-            for at in rng.sample(range(200), edits):
-                mine[at] = "changed" + str(rng.randrange(5000))
-            made.append(" ".join(mine))
-    hashes = [simhash.shingle_hashes(t, 5) for t in made]
-    prints = [simhash.fingerprint(h) for h in hashes]
-    wide = [[simhash.fingerprint(simhash.spread(h, k)) for k in range(len(simhash.MORE))] for h in hashes]
-    apart = lambda i, j: sum((x ^ y).bit_count() for x, y in zip(wide[i], wide[j]))
-    close = [(i, j) for i in range(len(made)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 16]
-    linked = [(i, j) for i, j in close if apart(i, j) <= 40]
-    assert len({prints[i] for i in range(len(made))}) == len({tuple(w) for w in wide}) and len(linked) < len(close)
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(made)], "doc_id long, text string").repartition(5)
-    got = {r.doc_id: r.component_id for r in simhash.simhash_groups(df, words=5, max_distance=16, min_ratio=0.8, more_distance=40).collect()}
-    assert got == dict(enumerate(groups(len(made), linked)))
-    assert simhash.simhash_groups(none, more_distance=40).count() == 0
+def test_ring():
+    """Ring and Hamming check together equal the plain distance."""
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 2**63, (4000, near_copies.PARTS)).astype(np.uint64)
+    flips = np.packbits(rng.random((4000, 64 * near_copies.PARTS)) < rng.uniform(0, 0.5, (4000, 1)), axis=1).view(np.uint64)
+    far = np.bitwise_count(flips).sum(axis=1)
+    for most in (0, 5, 40, 72):
+        assert (near_copies.ring_near(a ^ (a ^ flips), most) == (far <= most)).all()
+    assert near_copies.ring_near(flips[:0], 72).tolist() == []
 
 
 @pytest.mark.parametrize("block", [1024, 3])
