@@ -60,7 +60,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 STAGES = [
     ("quality classifier", quality_stage),
     ("line dedup", line_stage),
-    ("near-copy dedup", near_copy_stage),
+    ("SimHash near-dedup", near_copy_stage),
     ("benchmark decontamination", benchmark_stage),
     ("packing", packing_stage),
 ]
