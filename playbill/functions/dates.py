@@ -130,6 +130,12 @@ def roll_forward(month: Column, day: Column, posted: Column | str) -> Column:
     return F.when(this < p, F.add_months(this, 12)).otherwise(this)
 
 
+def soonest(days: Column | str, as_of: Column | str) -> Column:
+    """Of an array of dates or instants the first from as_of on, else the first of all; null without any."""
+    x, now = F.filter(col(days), lambda d: d.isNotNull()), col(as_of)
+    return F.coalesce(F.array_min(F.filter(x, lambda d: d >= now)), F.array_min(x))
+
+
 def date_key(text: Column | str) -> Column:
     """yyyy-MM-dd of an ISO date or instant, else the text's match key."""
     from playbill.functions.text import normalize_for_match

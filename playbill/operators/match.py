@@ -47,7 +47,7 @@ def _edges(records: DataFrame) -> DataFrame:
     return parts[0].union(parts[1]).union(shows)
 
 
-def assign_leaders(records: DataFrame, strict_venue: bool = False, rounds: int = 200) -> DataFrame:
+def assign_leaders(records: DataFrame, strict_venue: bool = False) -> DataFrame:
     """ordinal, leader and kind of each record, as matching one after the other would give.
 
     records: ordinal (distinct), is_base, id_keys, url_keys, show_key, venue_key. Base records
@@ -57,14 +57,13 @@ def assign_leaders(records: DataFrame, strict_venue: bool = False, rounds: int =
     so this is no transitive closure.
 
     Each round settles all records at once that have an earlier leader among their keys (they
-    are members) or no earlier unsettled record (they lead). Rounds are written to the shared
+    are members) or no earlier unsettled record (they lead), so at least the first unsettled one:
+    rounds go on until all are settled, however long a chain of keys is. Rounds are written to the shared
     folder; each is two joins on the key with its minimums combined before the shuffle.
     """
     edges = materialize(_edges(records), "keys")
     state = materialize(records.select("ordinal", F.when(F.col("is_base"), F.lit("leader")).otherwise("open").alias("state")), "state")
-    for _ in range(rounds):
-        if state.where("state = 'open'").limit(1).count() == 0:
-            break
+    while state.where("state = 'open'").limit(1).count():
         known = edges.select("ordinal", "kind", "key").join(state, "ordinal")
         least = known.groupBy("kind", "key").agg(F.min(F.when(F.col("state") == "leader", F.col("ordinal"))).alias("leader"), F.min(F.when(F.col("state") == "open", F.col("ordinal"))).alias("open"))
         seen = known.where("state = 'open'").join(least, ["kind", "key"]).groupBy("ordinal").agg(F.max(F.coalesce(F.col("leader") < F.col("ordinal"), F.lit(False))).alias("led"), F.min("open").alias("first_open"))
@@ -72,8 +71,6 @@ def assign_leaders(records: DataFrame, strict_venue: bool = False, rounds: int =
         after = materialize(state.join(seen, "ordinal", "left").select("ordinal", settled.alias("state")), "state")
         discard(state)
         state = after
-    else:
-        raise RuntimeError(f"leaders did not settle in {rounds} rounds")
     leaders = edges.join(state.where("state = 'leader'").select("ordinal"), "ordinal")
     members = edges.join(state.where("state = 'member'").select("ordinal"), "ordinal")
     first = leaders.groupBy("kind", "key").agg(F.min("ordinal").alias("leader"))

@@ -42,8 +42,14 @@ def finish(df: DataFrame, order: list[str], **fields: Column | object) -> DataFr
     return conform(made, EVENT, tuple(f"_o{i}" for i in range(len(order))))
 
 
+def _as_read(items: DataFrame, *otherwise: str) -> list[str]:
+    """The columns that order rows as their files have them, if the reader gave them."""
+    order = [c for c in ("path", "block", "place") if c in items.columns]
+    return order if "place" in order else list(otherwise)
+
+
 def from_product_feed(items: DataFrame, as_of: str, domain: str, affiliate_id: str) -> DataFrame:
-    """Events of XML product rows (readers.xml_items), in the order of their ids.
+    """Events of XML product rows (readers.xml_items), in the feed's order.
 
     Rows without title, id, known category, known city, readable date, or link on the domain go,
     and so do past ones.
@@ -57,7 +63,7 @@ def from_product_feed(items: DataFrame, as_of: str, domain: str, affiliate_id: s
     price = struct_of(PRICE, min_value=p["min"], max_value=p["min"], currency="TRY", is_free=p["is_free"], is_unknown=p["is_unknown"], text=P.price_text(p["min"], p["min"], F.lit("TRY")))
     source = struct_of(SOURCE, provider="Biletinial", external_id=F.col("id"), title=F.col("title"), description=about, source_url=F.col("link"), ticket_url=urls.set_params("link", {**AFFILIATE, "a_aid": affiliate_id}), price=price, ticket_status="on_sale", brand_name="Biletinial", is_official_seller=True)
     return finish(
-        rows, ["id"], title=F.col("title"), description=about, type=F.col("type"), category=F.col("type"), city_name=F.col("city"), image_url=filled("image_link"),
+        rows, _as_read(items, "id"), title=F.col("title"), description=about, type=F.col("type"), category=F.col("type"), city_name=F.col("city"), image_url=filled("image_link"),
         occurrences=F.array(occurrence_at(F.col("start"), venue_name=venue, sources=F.array(source))), source="Biletinial", providers=F.array(F.lit("Biletinial")),
         provider_label="Biletinial", external_id=F.col("id"), venue=venue, performer_name=text.performer("title"), organizer_name="Biletinial",
     )
@@ -135,7 +141,7 @@ def from_activities(listings: DataFrame, details: DataFrame, as_of: str) -> Data
     dated = F.transform("starts", lambda t: occurrence_at(t, venue_name=F.coalesce(F.col("venue.name"), name), sources=F.array(source)))
     where = dims.city_in_address(F.col("venue.address"), F.lit(dims.UNKNOWN_CITY))
     return finish(
-        rows, ["id"], title=name, description=about, type=kind, category=kind, city_name=where, image_url=F.coalesce(a["logo"], F.get(a["photos"], 0)),
+        rows, _as_read(items, "id"), title=name, description=about, type=kind, category=kind, city_name=where, image_url=F.coalesce(a["logo"], F.get(a["photos"], 0)),
         occurrences=F.when(F.size("starts") > 0, dated).otherwise(F.array(always)), source="bilet.com", providers=F.array(F.lit("bilet.com")), provider_label="bilet.com",
         external_id=F.col("id").cast("string"), address=F.col("venue.address"), venue=F.col("venue.name"), latitude=F.col("venue.latitude").try_cast("double"),
         longitude=F.col("venue.longitude").try_cast("double"), performer_name=text.performer(name), organizer_name="bilet.com",
@@ -199,7 +205,7 @@ def from_rss(items: DataFrame, city_name: str, days: int, as_of: str) -> DataFra
     eid = text.surrogate_id("rss-", "link")
     source = struct_of(SOURCE, provider="MunicipalRSS", external_id=eid, title=F.col("title"), description=about, source_url=F.col("link"), price=price, ticket_status="unknown")
     return finish(
-        rows, ["link", "title"], title=F.col("title"), description=about, type=kind, city_name=city_name, occurrences=F.array(occurrence_at(F.col("start"), venue_name=venue, sources=F.array(source))),
+        rows, _as_read(items, "link", "title"), title=F.col("title"), description=about, type=kind, city_name=city_name, occurrences=F.array(occurrence_at(F.col("start"), venue_name=venue, sources=F.array(source))),
         source="MunicipalRSS", providers=F.array(F.lit("MunicipalRSS")), external_id=eid, link=F.col("link"), source_url=F.col("link"),
     )
 

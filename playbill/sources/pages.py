@@ -5,6 +5,9 @@ Each returns site, site_rank, page_rank, place, title, link, venue, date, time,
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -174,16 +177,33 @@ def nothing(pages: DataFrame) -> DataFrame:
     return items(pages.limit(0).withColumn("place", F.lit(0)))
 
 
+def plain_windows(pages: DataFrame) -> DataFrame:
+    """windows() behind any link that has a title."""
+    return windows(pages, r"""<a[^>]+href=["']([^"']+)["'][^>]*>\s*([^<]{4,200}?)\s*</a>""")
+
+
+def passed_on(pages: DataFrame) -> DataFrame:
+    """Pages whose html is already JSON items of the scans' own columns (title, link, venue, date, time, description, image)."""
+    rows = pages.select(*PAGE, F.posexplode(F.from_json("html", "array<string>")).alias("place", "item"))
+    get = lambda k: F.get_json_object("item", f"$.{k}")
+    return items(rows, **{k: get(k) for k in ("title", "link", "venue", "date", "time", "description", "image")})
+
+
 #: The scans by name, as a site dimension names them.
-STRATEGIES = {"cards": cards, "posts": posts_or_cards, "lines": label_lines, "calendar": calendar_tables, "dated_links": dated_links, "none": nothing}
+STRATEGIES = {"cards": cards, "posts": posts_or_cards, "lines": label_lines, "calendar": calendar_tables, "dated_links": dated_links, "windows": plain_windows, "pass": passed_on, "none": nothing}
+
 
+def scan(pages: DataFrame, most_a_site: int = 20, more: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
+    """Items of all pages by their strategy; of a site only its first page with any, and at most so many items.
 
-def scan(pages: DataFrame, most_a_site: int = 20) -> DataFrame:
-    """Items of all pages by their strategy; of a site only its first page with any, and at most so many items."""
-    parts = [read(pages.where(col("strategy") == name)) for name, read in STRATEGIES.items()]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
+    `more` adds scans by name, such as link_lists() or blocks() with a site's pattern. A strategy
+    that nothing reads is an error rather than pages lost without a word.
+    """
+    known = {**STRATEGIES, **(more or {})}
+    lost = [r[0] for r in pages.where(~F.coalesce(F.col("strategy").isin(*known), F.lit(False))).select("strategy").distinct().limit(5).collect()]
+    if lost:
+        raise ValueError(f"no scan for {lost}; there are {sorted(known)}")
+    rows = reduce(DataFrame.unionByName, (read(pages.where(col("strategy") == name)) for name, read in known.items()))
     site = Window.partitionBy("site")
     first = rows.withColumn("_first", F.min("page_rank").over(site)).where(F.col("page_rank") == F.col("_first"))
     return first.withColumn("_n", F.row_number().over(site.orderBy("place"))).where(F.col("_n") <= most_a_site).drop("_first", "_n")

@@ -54,12 +54,17 @@ RSS = ["title", "link", "description", "pubDate", "category"]
 
 
 def xml_items(spark: SparkSession, path: str, fields: list[str] = PRODUCT, row_tag: str = "item") -> DataFrame:
-    """Rows of an XML feed as text columns, blank where absent; namespace prefixes are ignored, broken rows skipped."""
+    """Rows of an XML feed as text columns, blank where absent; namespace prefixes are ignored, broken rows skipped.
+
+    path, block and place order rows as the files have them: the file, where its part begins, and
+    a number that rises within the part.
+    """
     schema = T.StructType([T.StructField(f, T.StringType()) for f in fields])
     if not exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], T.StructType([T.StructField("path", T.StringType()), T.StructField("block", T.LongType()), T.StructField("place", T.LongType()), *schema.fields]))
     raw = spark.read.format("xml").option("rowTag", row_tag).option("ignoreNamespace", True).option("mode", "DROPMALFORMED").schema(schema).load(path)
-    return raw.select(*(F.coalesce(F.trim(f), F.lit("")).alias(f) for f in fields))
+    at = (F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place"))
+    return raw.select(*at, *(F.coalesce(F.trim(f), F.lit("")).alias(f) for f in fields))
 
 
 def events(spark: SparkSession, path: str) -> DataFrame:

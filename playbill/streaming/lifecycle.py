@@ -80,16 +80,51 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def upsert_stream(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str], run_id: str) -> None:
-    """Micro-batches upserted into a Parquet table, written beside it and then put in its place."""
-    from playbill.storage import materialize
+def put_in_place(table: DataFrame, path: str) -> None:
+    """Replace the Parquet table at path: written beside it, then moved; the old one goes last.
 
+    A run that dies leaves the old table, or both, and recover() puts things right.
+    """
+    spark = table.sparkSession
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    table.write.mode("overwrite").parquet(f"{path}.next")
+    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(make(f"{path}.old"), True)
+    if fs.exists(make(path)):
+        fs.rename(make(path), make(f"{path}.old"))
+    fs.rename(make(f"{path}.next"), make(path))
+    fs.delete(make(f"{path}.old"), True)
+
+
+def recover(spark, path: str) -> bool:
+    """Whether there is a table at path, after finishing a replacement that was broken off."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    fs = make(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(make(path)):
+        whole = fs.exists(make(f"{path}.next/_SUCCESS"))
+        if not whole and not fs.exists(make(f"{path}.old")):
+            return False
+        fs.rename(make(f"{path}.next" if whole else f"{path}.old"), make(path))
+    return True
+
+
+def upsert_stream(stream: DataFrame, table_path: str, checkpoint: str, keys: list[str], run_id: str, order: list[str] | None = None) -> None:
+    """Micro-batches upserted into a Parquet table, which put_in_place() replaces.
+
+    Of a batch's rows of one key the last in `order` counts (default: by all other columns, so
+    that a batch that runs again gives the same rows).
+    """
     def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(table_path)
-        there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-        rows = df.dropDuplicates(keys)
-        now = upsert(spark.read.parquet(table_path), rows, keys, f"{run_id}-{number}") if there else upsert(rows.limit(0), rows, keys, f"{run_id}-{number}")
-        materialize(now, "upsert").write.mode("overwrite").parquet(table_path)
+        rows = _last_by(df, keys, order or [c for c in df.columns if c not in keys])
+        stored = spark.read.parquet(table_path) if recover(spark, table_path) else upsert(rows.limit(0), rows.limit(0), keys, "")
+        put_in_place(upsert(stored, rows, keys, f"{run_id}-{number}"), table_path)
 
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def _last_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*").select(*df.columns)

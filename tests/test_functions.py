@@ -154,3 +154,9 @@ def test_provenance(ev, spark):
     row = spark.createDataFrame([(["municipal_web", "ticketmaster"], ["http://www.kadikoy.bel.tr/a", "http://sile.bel.tr"], ["Kartal Meydanı", None])], "providers array<string>, source_urls array<string>, candidate_texts array<string>")
     got = provenance.payload(row, towns).first()
     assert got.provider_tags == ["Ticketmaster", "Kadıköy Belediyesi", "Sile", "Kartal Belediyesi"] and got.provider_label == "Ticketmaster, Kadıköy Belediyesi, Sile, Kartal Belediyesi"
+
+
+def test_soonest(spark):
+    row = spark.sql("select array(date'2026-05-01', null, date'2026-07-01', date'2026-06-10') as a, array(date'2026-05-02', date'2026-05-01') as b, cast(array() as array<date>) as c, date'2026-06-01' as now")
+    got = row.select(dates.soonest("a", "now"), dates.soonest("b", "now"), dates.soonest("c", "now")).first()
+    assert [str(x) for x in got] == ["2026-06-10", "2026-05-01", "None"]

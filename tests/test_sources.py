@@ -203,3 +203,32 @@ def test_entry_without_corpus(missing):
     code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()))"
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True)
     assert out.returncode == 0 and int(out.stdout) >= 40, out.stderr
+
+
+def test_unread_strategies_are_an_error(spark):
+    page = [("s", 0, 0, "Ankara", "https://x.example/", '[{"title": "Konser", "link": "https://x.example/1"}]', "pass"), ("t", 1, 0, "Ankara", "https://y.example/", "<a href='/k'>Bir Konser</a> 05.06.2026 20:00", "windows")]
+    rows = spark.createDataFrame(page, "site string, site_rank int, page_rank int, city string, base_url string, html string, strategy string")
+    got = pages.scan(rows).select("site", "title", "link").collect()
+    assert sorted(map(tuple, got)) == [("s", "Konser", "https://x.example/1"), ("t", "Bir Konser", "https://y.example/k")]
+    with pytest.raises(ValueError, match="own"):
+        pages.scan(rows.withColumn("strategy", F.lit("own")))
+    assert pages.scan(rows.withColumn("strategy", F.lit("own")), more={"own": pages.plain_windows}).count() == 1
+
+
+def test_replacement_that_breaks_off(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    old, new = spark.range(3), spark.range(10)
+    lifecycle.put_in_place(old, path)
+    new.write.parquet(f"{path}.next")  # it dies before the move
+    assert lifecycle.recover(spark, path) and spark.read.parquet(path).count() == 3
+    (tmp_path / "table").rename(tmp_path / "table.old")  # it dies between the moves
+    assert lifecycle.recover(spark, path) and spark.read.parquet(path).count() == 10
+    lifecycle.put_in_place(spark.range(4), path)
+    assert spark.read.parquet(path).count() == 4 and {p.name for p in tmp_path.iterdir()} == {"table"}
+    assert not lifecycle.recover(spark, f"file://{tmp_path}/none")
+
+
+def test_xml_order(spark, tmp_path):
+    body = "<rss>" + "".join(f"<item><title>t{i}</title><id>{(i * 7) % 50}</id></item>" for i in range(50)) + "</rss>"
+    rows = readers.xml_items(spark, landed(tmp_path, "f.xml", body), ["title", "id"]).orderBy("path", "block", "place").collect()
+    assert [r.title for r in rows] == [f"t{i}" for i in range(50)]
