@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html as _html
 import unicodedata
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -25,10 +26,54 @@ def unescape(text: Column | str) -> Column:
     return out
 
 
-@F.pandas_udf(StringType())
-def unescape_all(text: pd.Series) -> pd.Series:
-    """Resolve every named and numeric entity once."""
-    return text.map(_html.unescape, na_action="ignore")
+#: Names of entities with their closing semicolon, and those that browsers also take without one, longest first.
+_NAMED = {name[:-1]: chars for name, chars in html5.items() if name.endswith(";")}
+_OPEN = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
+
+
+def _entity_table(names) -> Column:
+    """A map literal of names to characters: text that the optimizer folds once, not an expression per entry."""
+    return F.str_to_map(F.lit("\x01".join(f"{n}\x02{html5[n]}" for n in names)), F.lit("\x01"), F.lit("\x02"))
+
+
+def _code_point(number: Column) -> Column:
+    """The character of a number, as HTML reads it: C1 controls as Windows-1252, no control or non-character, � if out of range."""
+    c1 = F.lit("".join(bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)))
+    none = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127) | number.between(0xFDD0, 0xFDEF) | (number % 0x10000 >= 0xFFFE)
+    return (
+        F.when((number == 0) | number.between(0xD800, 0xDFFF) | (number > 0x10FFFF), "\ufffd")
+        .when(number.between(0x80, 0x9F), F.substr(c1, (number - 0x7F).cast("int"), F.lit(1)))
+        .when(none, "")
+        .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+    )
+
+
+def unescape_all(text: Column | str) -> Column:
+    """Every named and numeric entity resolved once, as HTML does it; native. Null stays null.
+
+    The text is cut at ampersands, and what begins a piece is looked up; names without a semicolon
+    count where HTML knows them so, the longest first. What is no entity stays as it is.
+    """
+    closed, opened = _entity_table(n + ";" for n in _NAMED), _entity_table(_OPEN)
+
+    def piece(x: Column, i: Column) -> Column:
+        number = F.regexp_extract(x, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+        digits = F.regexp_extract(number, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
+        value = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(F.conv(F.concat(F.lit("0"), digits), 10, 10).cast("long"))
+        value = F.when(number.rlike("^#[xX]") & (F.length(digits) <= 8), F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("long")).otherwise(value)
+        name = F.regexp_extract(x, "^[A-Za-z][A-Za-z0-9]{1,31};", 0)
+        short = F.regexp_extract(x, "^(?:" + "|".join(_OPEN) + ")", 0)
+        found = F.when(name != "", F.try_element_at(closed, name))
+        rest = lambda head: F.substr(x, F.length(head) + 1)
+        return (
+            F.when(i == 0, x)
+            .when(number != "", F.concat(_code_point(value), rest(number)))
+            .when(found.isNotNull(), F.concat(found, rest(name)))
+            .when(short != "", F.concat(F.try_element_at(opened, short), rest(short)))
+            .otherwise(F.concat(F.lit("&"), x))
+        )
+
+    return F.array_join(F.transform(F.split(col(text), "&"), piece), "")
 
 
 @F.pandas_udf(StringType())
@@ -51,14 +96,15 @@ def collapse(text: Column | str) -> Column:
 def clean_text(text: Column | str, exact: bool = False) -> Column:
     """Entities resolved once and white space collapsed. Null stays null.
 
-    exact resolves every entity (Arrow UDF); otherwise the usual ones (native).
+    exact resolves every entity; otherwise the usual ones, whose plan stays small where a builder
+    cleans many fields.
     """
-    return collapse(unescape_all(col(text)) if exact else unescape(text))
+    return collapse(unescape_all(text) if exact else unescape(text))
 
 
-def strip_html(text: Column | str) -> Column:
+def strip_html(text: Column | str, exact: bool = False) -> Column:
     """Tags become spaces, then clean_text."""
-    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "))
+    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "), exact)
 
 
 def strip_blocks(text: Column | str) -> Column:
@@ -106,7 +152,7 @@ def normalize_for_match(text: Column | str) -> Column:
     """
     lower = F.trim(F.lower(fix_mojibake(F.coalesce(col(text), F.lit("")))))
     plain = drop_marks(F.translate(lower, "ı", "i"))
-    return clean_text(F.regexp_replace(plain, r"[^\p{L}\p{N}_\s]+", ""))
+    return collapse(F.regexp_replace(plain, r"[^\p{L}\p{N}_\s]+", ""))  # no ampersand is left to resolve
 
 
 @F.pandas_udf(StringType())

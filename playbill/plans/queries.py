@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playbill.functions import dates, html, prices, rules, text, urls
 from playbill import schema
-from playbill.operators import dedup, filters, match, stats
+from playbill.operators import dedup, dto, filters, match, provenance, stats
+from playbill.sources import dims
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -29,6 +32,14 @@ def query(sql: str | None = None):
     return keep
 
 
+def _unescaped_sql(x: str) -> str:
+    """x with HTML 4's named entities and the apostrophe's numbers replaced one after the other, the ampersand last."""
+    chars = {name: chr(code) for name, code in name2codepoint.items() if name != "amp"} | {"#39": "'", "#x27": "'", "apos": "'", "amp": "&"}
+    for name, char in chars.items():
+        x = f"replace({x}, '&{name};', '{' ' if char.isspace() else char.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
 AS_OF = "2024-01-08"
 KEY_SQL = r"""trim(regexp_replace(regexp_replace(strip_accents(lower(coalesce(text, ''))), '[^\p{L}\p{N}_\s]+', '', 'g'), '\s+', ' ', 'g'))"""
 HOST_SQL = r"regexp_replace(lower(regexp_extract(url, '^[^:]+://([^/?#:]*)', 1)), '^www\.', '')"
@@ -42,9 +53,9 @@ def flagship(t, spark):
     return stats.combination_counts(groups)
 
 
-@query(r"select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as cleaned from documents")
+@query(rf"select doc_id, trim(regexp_replace({_unescaped_sql('text')}, '\s+', ' ', 'g')) as cleaned from documents")
 def text_clean(t, spark):
-    return t("documents").select("doc_id", text.clean_text("text").alias("cleaned"))
+    return t("documents").select("doc_id", text.clean_text("text", exact=True).alias("cleaned"))
 
 
 @query(f"select doc_id, {KEY_SQL} as match_key from documents")
@@ -52,17 +63,17 @@ def text_match_key(t, spark):
     return t("documents").select("doc_id", text.normalize_for_match("text").alias("match_key"))
 
 
-@query(r"select page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&#x27;', ''''), '&apos;', ''''), '&amp;', '&'), '\s+', ' ', 'g')) as body from pages".replace('\\"', '"'))
-def html_strip(t, spark):
-    return t("pages").select("page_id", text.strip_html("html").alias("body"))
+_NO_TAGS_SQL = "regexp_replace(html, '<[^>]+>', ' ', 'g')"
 
 
-_UNESCAPED = "replace(replace(replace(replace(replace(replace(replace(replace({x}, '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&#x27;', ''''), '&apos;', ''''), '&amp;', '&')"
+@query(rf"select page_id, trim(regexp_replace({_unescaped_sql(_NO_TAGS_SQL)}, '\s+', ' ', 'g')) as body from pages")
+def html_strip(t, spark):
+    return t("pages").select("page_id", text.strip_html("html", exact=True).alias("body"))
 
 
 def _element_sql(tag: str) -> str:
     inner = rf"regexp_replace(regexp_extract(html, '(?is)<{tag}\b[^>]*>(.*?)</{tag}>', 1), '<[^>]+>', ' ', 'g')"
-    return rf"nullif(trim(regexp_replace({_UNESCAPED.format(x=inner)}, '\s+', ' ', 'g')), '')"
+    return rf"nullif(trim(regexp_replace({_unescaped_sql(inner)}, '\s+', ' ', 'g')), '')"
 
 
 @query(f"select page_id, coalesce({_element_sql('h1')}, {_element_sql('title')}) as title from pages")
@@ -145,12 +156,10 @@ _DOMAINS = ["example.com", "example.org", "m.example.com", "example.net", "com",
 
 @query(f"with h as (select page_id, {HOST_SQL} as host from pages), d as (select unnest({_DOMAINS}) as domain) select page_id, arg_max(domain, length(domain)) as domain from h join d on host = domain or ends_with(host, '.' || domain) group by page_id")
 def suffix_join(t, spark):
-    """The longest listed domain that a page's host is in: the host's own suffixes are looked up by equality."""
-    domains = spark.createDataFrame([(d,) for d in _DOMAINS], "domain string")
-    parts = F.split(urls.host_of("url"), r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
-    rows = t("pages").select("page_id", F.explode(suffixes).alias("domain")).join(domains, "domain")
-    return rows.groupBy("page_id").agg(F.max_by("domain", F.length("domain")).alias("domain"))
+    """The longest listed domain that a page's host is in, as the label of its link."""
+    nowhere = F.array().cast("array<string>")
+    labels = provenance.municipal_labels(F.array("url"), nowhere, {d: (d, "no token") for d in _DOMAINS})
+    return t("pages").select("page_id", F.get(labels, 0).alias("domain")).where("domain is not null")
 
 
 @query(r"select doc_id, item from documents join (select distinct unnest(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' ')) as item from benchmark) on list_contains(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '), item) where length(item) > 12 ")
@@ -176,12 +185,15 @@ def leader_multi_key(t, spark):
     return match.assign_leaders(records).select("ordinal", "leader", "kind")
 
 
-@query("select o_orderkey, strftime(l_shipdate, '%Y-%m-%d') as day, count(*) as n_sources, string_agg(cast(l_linenumber as varchar), ',' order by l_linenumber) as lines from orders join lineitem on o_orderkey = l_orderkey group by o_orderkey, l_shipdate")
+@query("with e as (select *, min(event_id) over (partition by user_id) as leader, strftime(ts, '%Y-%m-%d') as day from events), s as (select leader, day, event_type, min(event_id) as seen from e group by all), o as (select leader, day, min(seen) as head, string_agg(event_type, ',' order by seen) as sources from s group by all) select leader, day, row_number() over (partition by leader order by head) - 1 as place, sources from o")
 def occurrence_merge(t, spark):
-    """An order's lines gathered by day, in line order."""
-    lines = t("orders").join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey"))
-    per = lines.groupBy("o_orderkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n_sources"), F.array_sort(F.collect_list("l_linenumber")).alias("ls"))
-    return per.select("o_orderkey", "day", "n_sources", F.array_join(F.col("ls").cast("array<string>"), ",").alias("lines"))
+    """Each user's events folded into the first: an occurrence a day, its sources the kinds of events in the order they came."""
+    e = t("events").withColumn("leader", F.min("event_id").over(Window.partitionBy("user_id")))
+    source = F.struct(F.col("event_type").alias("external_id"))
+    records = e.select(F.col("event_id").alias("ordinal"), F.array(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("local_date"), F.array(source).alias("sources"))).alias("occurrences"))
+    merged = match.merge_occurrences(records, e.select(F.col("event_id").alias("ordinal"), "leader"))
+    each = merged.select(F.col("ordinal").alias("leader"), F.posexplode("occurrences").alias("place", "o"))
+    return each.select("leader", F.col("o.local_date").alias("day"), F.col("place").cast("long").alias("place"), F.array_join(F.transform("o.sources", lambda s: s["external_id"]), ",").alias("sources"))
 
 
 @query("select o_orderkey from orders where not exists (select 1 from lineitem where l_orderkey = o_orderkey and l_quantity > 40)")
@@ -209,19 +221,19 @@ def cross_dim(t, spark):
 _TOKENS_SQL = r"list_distinct(list_filter(string_split(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '), lambda x: length(x) > 2))"
 
 
-@query(f"with b as (select distinct unnest({_TOKENS_SQL}) as token from benchmark where item_id = 0), d as (select doc_id, unnest({_TOKENS_SQL}) as token from documents) select doc_id, count(*) as score from d join b using (token) group by doc_id")
+@query(f"with b as (select distinct unnest({_TOKENS_SQL}) as token from benchmark), d as (select doc_id, unnest({_TOKENS_SQL}) as token from documents) select doc_id, count(*) as score from d join b using (token) group by doc_id")
 def token_overlap(t, spark):
-    """How many distinct tokens each document shares with the first benchmark item."""
+    """How many distinct tokens each document shares with any benchmark item."""
     from playbill.plans.trends import overlap_scores
 
-    return overlap_scores(t("documents"), t("benchmark").where("item_id = 0"), "doc_id", "text", "text")
+    return overlap_scores(t("documents"), t("benchmark"), "doc_id", "text", "text")
 
 
-@query(f"with b as (select item_id, unnest({_TOKENS_SQL}) as token from benchmark), d as (select distinct unnest({_TOKENS_SQL}) as token from documents where lang = 'fr') select distinct item_id from b where token in (select token from d)")
+@query(f"with b as (select item_id, unnest({_TOKENS_SQL}) as token from benchmark), d as (select distinct unnest({_TOKENS_SQL}) as token from documents) select distinct item_id from b where token in (select token from d)")
 def token_semi(t, spark):
-    """Benchmark items that share a token with a French document."""
+    """Benchmark items that share a token with a document."""
     items = t("benchmark").select("item_id", F.explode(text.tokens("text")).alias("token"))
-    seen = t("documents").where("lang = 'fr'").select(F.explode(text.tokens("text")).alias("token")).distinct()
+    seen = t("documents").select(F.explode(text.tokens("text")).alias("token")).distinct()
     return items.join(seen, "token", "left_semi").select("item_id").distinct()
 
 
@@ -275,7 +287,9 @@ def best_per_date(t, spark):
 def fold_offers(t, spark):
     """Least price, last discount and first flag over an order's lines, in line order."""
     lines = dedup.first_by(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag"), ["l_orderkey", "l_linenumber"], "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag")
-    return lines.groupBy("l_orderkey").agg(F.min(F.col("l_extendedprice").cast("decimal(12,2)")).cast("double").alias("low"), F.max_by(F.col("l_discount").cast("decimal(12,2)"), "l_linenumber").cast("double").alias("high"), F.min_by("l_returnflag", "l_linenumber").alias("flag"))
+    offer = F.struct("l_linenumber", F.col("l_extendedprice").cast("decimal(12,2)").cast("double").alias("price"), F.lit(None).cast("double").alias("low"), F.col("l_discount").cast("decimal(12,2)").cast("double").alias("high"), F.col("l_returnflag").alias("currency"))
+    orders = lines.groupBy("l_orderkey").agg(prices.offers_fold(F.array_sort(F.collect_list(offer))).alias("f"))
+    return orders.select("l_orderkey", F.col("f.min").alias("low"), F.col("f.max").alias("high"), F.col("f.currency").alias("flag"))
 
 
 @query("select event_id, lead(event_type) over w as next_type, coalesce(lead(case when event_type <> 'view' then event_type end, 1) over w, lead(case when event_type <> 'view' then event_type end, 2) over w, lead(case when event_type <> 'view' then event_type end, 3) over w) as next_action from events window w as (partition by user_id order by ts, event_id)")
@@ -298,11 +312,19 @@ def number_rows(t, spark):
     return schema.number_rows(t("lineitem"), *order).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "ordinal")
 
 
-@query("select o_orderkey, l_linenumber, l_quantity from orders join lineitem on o_orderkey = l_orderkey")
+@query("with d as (select *, dense_rank() over (partition by l_orderkey order by l_shipdate) - 1 as occurrence_index from lineitem) select cast(l_orderkey as varchar) as title, occurrence_index, row_number() over (partition by l_orderkey, l_shipdate order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 as source_index, strftime(l_shipdate, '%Y-%m-%d') as local_date, l_partkey || '-' || l_suppkey as external_id, cast(cast(l_extendedprice as decimal(12, 2)) as double) as min_price from d")
 def dto_explode(t, spark):
-    """Orders with nested lines, unnested again."""
-    nested = t("orders").join(t("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_quantity")).alias("lines"))
-    return nested.select("o_orderkey", F.explode("lines").alias("l")).select("o_orderkey", "l.l_linenumber", "l.l_quantity")
+    """Orders as events, their shipping days as occurrences, their lines as sources: an upload row for each line."""
+    low = F.col("l_extendedprice").cast("decimal(12,2)").cast("double")
+    made = {"external_id": F.concat_ws("-", "l_partkey", "l_suppkey"), "price": prices.stated_price(low, low, "listed", 1.0, "own")}
+    source = F.struct(*(made.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.schema_of(schema.SOURCE).fields))
+    lines = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", source.alias("s"))))
+    days = t("lineitem").groupBy("l_orderkey", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day")).agg(F.transform(lines, lambda x: x["s"]).alias("sources"))
+    own = {"local_date": F.col("day"), "sources": F.col("sources")}
+    occurrence = F.struct(*(own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.schema_of(schema.OCCURRENCE).fields))
+    events = days.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("day", occurrence.alias("o")))), lambda x: x["o"]).alias("occurrences"))
+    rows = dto.upload_rows(schema.conform(events.select(F.col("l_orderkey").alias("ordinal"), F.col("l_orderkey").cast("string").alias("title"), "occurrences")), "run")
+    return rows.select("title", F.col("occurrence_index").cast("long"), F.col("source_index").cast("long"), F.col("localDate").alias("local_date"), F.col("externalId").alias("external_id"), F.col("minPrice").alias("min_price"))
 
 
 @query("select page_id, 'web-' || substr(sha256(url), 1, 16) as external_id from pages")
@@ -321,7 +343,7 @@ def local_parts(t, spark):
     return t("events").select("event_id", dates.local_date(instant).alias("local_date"), dates.local_time(instant).alias("local_time"))
 
 
-@query()
+@query(r"with p as (select page_id, regexp_replace(url, '#.*$', '') as bare, regexp_extract(url, '#.*$') as fragment from pages), q as (select *, list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'), lambda x: x <> '' and split_part(x, '=', 1) not in ('utm_source', 'page')) as kept from p) select page_id, split_part(bare, '?', 1) || '?' || array_to_string(list_concat(kept, ['utm_source=playbill', 'page=9']), '&') || fragment as url from q")
 def url_params(t, spark):
     return t("pages").select("page_id", urls.set_params("url", {"utm_source": "playbill", "page": "9"}).alias("url"))
 
@@ -345,8 +367,6 @@ def event_hours(t, spark):
 @query("select doc_id, array_to_string(list_sort(list_distinct([source, lang])), ', ') as provider_label, len(list_distinct([source, lang])) as n_providers from documents")
 def provider_payload(t, spark):
     """Canonical providers, tags and label from a row's names."""
-    from playbill.operators import provenance
-
     rows = t("documents").select("doc_id", F.array("source", "lang", F.lit("unknown")).alias("providers"), F.array().cast("array<string>").alias("source_urls"), F.array().cast("array<string>").alias("candidate_texts"))
     return provenance.payload(rows).select("doc_id", "provider_label", F.size("providers").cast("long").alias("n_providers"))
 
@@ -398,3 +418,29 @@ def scored_top(t, spark):
     scored = base.withColumn("hit", F.col("event_type").isin("purchase", "signup").cast("int")).withColumn("trending", F.max("hit").over(cell) > 0)
     chosen = scored.where((F.col("hit") == 1) | ~F.col("trending"))
     return dedup.top_k(chosen, ["user_id", "day"], 2, F.desc("hit"), F.desc("n"), F.col("event_type")).select("user_id", "day", "event_type", F.col("place").cast("long").alias("place"))
+
+
+_PLACE_SQL = f"{dims.PROVINCES}[c_custkey % {len(dims.PROVINCES)} + 1]"
+
+
+@query(f"select c_custkey, {_PLACE_SQL} as by_slug, {_PLACE_SQL} as by_address from customer")
+def city_lookup(t, spark):
+    """A province found by its slug, and at the end of an address."""
+    place = F.element_at(F.array(*map(F.lit, dims.PROVINCES)), (F.col("c_custkey") % len(dims.PROVINCES) + 1).cast("int"))
+    return t("customer").select("c_custkey", dims.city(text.ascii_fold(place)).alias("by_slug"), dims.city_in_address(F.concat("c_name", F.lit(" No 5, Merkez / "), place)).alias("by_address"))
+
+
+@query("select o_orderkey, strftime(cast(o_orderdate as date), '%Y-%m-%d') || ' 14:05' as long_form, strftime(cast(o_orderdate as date), '%Y-%m-%d') || ' 00:00' as dotted_form from orders")
+def date_texts(t, spark):
+    """Dates written out in Turkish and with dots are read back as local times."""
+    day = F.to_date("o_orderdate")
+    month = F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month(day))
+    written = F.concat_ws(" ", F.dayofmonth(day), F.initcap(month), F.year(day), F.lit(", Pazar 14.05"))
+    shown = lambda x: F.date_format(x, "yyyy-MM-dd HH:mm")
+    return t("orders").select("o_orderkey", shown(dates.turkish(written)).alias("long_form"), shown(dates.dotted(F.date_format(day, "dd.MM.yyyy"))).alias("dotted_form"))
+
+
+@query("select doc_id, text is not null and trim(text) <> '' and source is not null and trim(source) <> '' as whole from documents")
+def required_fields(t, spark):
+    """Which rows have all their texts."""
+    return t("documents").select("doc_id", filters.required("text", "source").alias("whole"))
