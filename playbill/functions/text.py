@@ -102,9 +102,14 @@ def clean_text(text: Column | str, exact: bool = False) -> Column:
     return collapse(unescape_all(text) if exact else unescape(text))
 
 
-def strip_html(text: Column | str, exact: bool = False) -> Column:
+def strip_html(text: Column | str) -> Column:
     """Tags become spaces, then clean_text."""
-    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "), exact)
+    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "))
+
+
+def strip_html_exact(text: Column | str) -> Column:
+    """strip_html with every entity resolved."""
+    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "), exact=True)
 
 
 def strip_blocks(text: Column | str) -> Column:

@@ -68,7 +68,7 @@ _NO_TAGS_SQL = "regexp_replace(html, '<[^>]+>', ' ', 'g')"
 
 @query(rf"select page_id, trim(regexp_replace({_unescaped_sql(_NO_TAGS_SQL)}, '\s+', ' ', 'g')) as body from pages")
 def html_strip(t, spark):
-    return t("pages").select("page_id", text.strip_html("html", exact=True).alias("body"))
+    return t("pages").select("page_id", text.strip_html_exact("html").alias("body"))
 
 
 def _element_sql(tag: str) -> str:
