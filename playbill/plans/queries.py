@@ -175,7 +175,15 @@ def leader_single_key(t, spark):
     return match.leaders_by_one_key(keyed, "key", "doc_id").select("doc_id", "leader")
 
 
-@query()
+@query(
+    "with recursive base as (select s_suppkey as ordinal, true as is_base, s_acctbal as bal, s_nationkey as nation from supplier), other as (select c_custkey + 10000000, false, c_acctbal, c_nationkey from customer),"
+    " keyed as (select ordinal, is_base, 'n' || cast(floor(bal / 50) as bigint) as a, 'b' || nation || '-' || cast(floor(bal / 400) as bigint) as b from (select * from base union all select * from other)),"
+    " probes as (select row_number() over (order by ordinal) as i, * from keyed where not is_base),"
+    " taken(i, ordinal, leader, kind, leaders) as (select cast(0 as bigint), cast(null as bigint), cast(null as bigint), cast(null as int), (select list({'o': ordinal, 'a': a, 'b': b} order by ordinal) from keyed where is_base)"
+    " union all select h.i, h.ordinal, coalesce(h.by_a, h.by_b, h.ordinal), case when h.by_a is not null then 0 when h.by_b is not null then 1 end, case when h.by_a is null and h.by_b is null then list_append(h.leaders, {'o': h.ordinal, 'a': h.a, 'b': h.b}) else h.leaders end"
+    " from (select p.i, p.ordinal, p.a, p.b, t.leaders, list_filter(t.leaders, lambda x: x.a = p.a)[1].o as by_a, list_filter(t.leaders, lambda x: x.b = p.b)[1].o as by_b from taken t join probes p on p.i = t.i + 1) h)"
+    " select ordinal, leader, kind from taken where i > 0 union all select ordinal, ordinal, null from base"
+)
 def leader_multi_key(t, spark):
     """Customers and suppliers matched by name digits, segment-and-balance links and nation-and-balance keys; suppliers lead."""
     base = t("supplier").select(F.col("s_suppkey").alias("ordinal"), F.lit(True).alias("is_base"), F.concat(F.lit("n"), F.floor(F.col("s_acctbal") / 50)).alias("a"), F.concat(F.lit("b"), F.col("s_nationkey"), F.lit("-"), F.floor(F.col("s_acctbal") / 400)).alias("b"), F.col("s_nationkey").cast("string").alias("v"))
