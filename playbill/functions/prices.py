@@ -85,12 +85,18 @@ def _price(low: Column, high: Column, currency: Column, strategy: Column, confid
     ).cast(PRICE)
 
 
-def text_price(text: Column | str, strategy: str, confidence: float, legal_mode: str, currency: str = "TRY") -> Column:
-    """The price struct of a text; the strategy says how it came out (_empty, _unknown_marker, _free_marker, _no_numeric)."""
-    x, found = col(text), price_range(text)
+def text_price(text: Column | str, strategy: str, confidence: float, legal_mode: str, currency: Column | str = "TRY") -> Column:
+    """The price struct of a text (a currency that is a text is meant itself); the strategy says how it came out (_empty, _unknown_marker, _free_marker, _no_numeric)."""
+    x = col(text)
+
+    def read(s: Column) -> Column:  # the key and the range are worked out once
+        low, high = s["range"]["min"], s["range"]["max"]
+        name = cases([(s["empty"], strategy + "_empty"), (s["key"].rlike("|".join(UNKNOWN_MARKERS)), strategy + "_unknown_marker"), (s["key"].rlike("|".join(FREE_MARKERS)), strategy + "_free_marker"), (low.isNull(), strategy + "_no_numeric")], strategy)
+        return _price(low, high, F.lit(currency), name, F.when(low.isNull(), 0.0).otherwise(confidence), legal_mode, s["text"])
+
     empty = F.coalesce(F.trim(x), F.lit("")) == ""
-    name = cases([(empty, strategy + "_empty"), (is_unknown(x), strategy + "_unknown_marker"), (is_free(x), strategy + "_free_marker"), (found["min"].isNull(), strategy + "_no_numeric")], strategy)
-    return _price(found["min"], found["max"], F.lit(currency), name, F.when(found["min"].isNull(), 0.0).otherwise(confidence), legal_mode, x)
+    parts = F.struct(x.alias("text"), empty.alias("empty"), F.replace(normalize_for_match(x), F.lit(" "), F.lit("")).alias("key"), price_range(x).alias("range"))
+    return F.get(F.transform(F.array(parts), read), 0)
 
 
 def stated_price(low: Column | str, high: Column | str, strategy: str, confidence: float, legal_mode: str, currency: Column | str | None = None) -> Column:

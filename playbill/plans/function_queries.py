@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from playbill.functions import dates, html, prices, rules, text, urls
+from playbill.functions import dates, field_prices, html, prices, rules, text, urls
 from playbill.operators import dedup, filters, match, provenance
 from playbill.plans import trends
 from playbill.plans.queries import AS_OF, _unescaped_sql, query
@@ -142,6 +142,31 @@ def date_choices(t, spark):
     )
 
 
+@query("select o_orderkey, strftime(cast(o_orderdate as date) + interval 3 day, '%Y-%m-%d') || ' 20:30' as chosen, strftime(cast(o_orderdate as date) - interval 9 day, '%Y-%m-%d') || ' 00:00' as past from orders")
+def post_dates(t, spark):
+    """Of the dates a post's text names the soonest to come, else the first; the year may be left to the posting."""
+    o = t("orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
+    month = lambda d: F.element_at(F.array(*map(F.lit, dates.MONTHS)), F.month(d))
+    soon, late, gone = F.date_add("d", 3), F.date_add("d", 20), F.date_sub("d", 9)
+    named = _of("o_orderkey", F.concat_ws(" ", F.dayofmonth(soon), F.initcap(month(soon)), F.year(soon)), F.concat_ws(" ", F.dayofmonth(soon), month(soon)), F.date_format(soon, "dd.MM.yyyy"))
+    said = F.concat(F.lit("<p>"), F.date_format(late, "dd/MM/yyyy"), F.lit(" tekrar; "), F.date_format(gone, "dd.MM.yyyy"), F.lit(" bitti. "), F.lit("-" * 130), named, F.lit(" saat 20.30</p>"))
+    only_past = F.concat(F.date_format(gone, "dd.MM.yyyy"), F.lit(" ve "), F.date_format(F.date_sub("d", 4), "dd/MM/yyyy"), F.lit("-" * 130))
+    now = dates.local_to_utc(F.col("d").cast("timestamp"))
+    shown = lambda x: F.date_format(F.from_utc_timestamp(dates.event_date(x, now, now), dates.ZONE), "yyyy-MM-dd HH:mm")
+    return o.select("o_orderkey", shown(said).alias("chosen"), shown(only_past).alias("past"))
+
+
+@query("with p as (select p_partkey, p_partkey % 4 as k, cast(cast(p_retailprice as decimal(12, 2)) as double) as v from part) select p_partkey, case k when 2 then 0.0 when 3 then null else v end as post_low, case k when 0 then 0.65 when 1 then 0.65 when 2 then 0.8 else 0.0 end as post_confidence, case when k = 1 then 'USD' else 'TRY' end as post_currency, case k when 2 then 0.0 when 3 then null else v end as calendar_low, case k when 0 then v when 1 then v + 5 when 2 then 0.0 end as calendar_high from p")
+def field_price_structs(t, spark):
+    """Prices of posts and calendar events by their fields: priced, priced in another place, free, unknown."""
+    v = F.col("p_retailprice").cast("decimal(12,2)").cast("string")
+    more = (F.col("p_retailprice").cast("decimal(12,2)") + 5).cast("string")
+    post = _of("p_partkey", F.concat(F.lit('{"bilet_fiyat":"'), v, F.lit(' TL"}')), F.concat(F.lit('{"meta":{"_price":"'), v, F.lit('"},"acf":{"currency":"usd"}}')), F.concat(F.lit('{"price":"'), v, F.lit('","acf":{"ucretsiz":"1"}}')), '{"title":"x"}')
+    event = _of("p_partkey", F.concat(F.lit('{"cost":"'), v, F.lit(' TL"}')), F.concat(F.lit('{"cost":"'), v, F.lit('","cost_max":"'), more, F.lit('"}')), '{"cost":"","cost_min":"0"}', '{"title":"x"}')
+    made = t("part").select("p_partkey", field_prices.post_price(post, F.lit("a.bel.tr")).alias("p"), field_prices.calendar_price(event).alias("c"))
+    return made.select("p_partkey", F.col("p.min_value").alias("post_low"), F.col("p.resolution.confidence").alias("post_confidence"), F.col("p.currency").alias("post_currency"), F.col("c.min_value").alias("calendar_low"), F.col("c.max_value").alias("calendar_high"))
+
+
 @query("select p_partkey, p_name as place, p_brand as second_label, 'https://h.com/d/' || p_partkey || '.png' as image, p_name || ' & ' || p_brand as described, case when p_partkey % 2 = 0 then p_brand || ' TL' end as priced from part")
 def page_fields(t, spark):
     """Labels, image, description and price of a page made of a part's names."""

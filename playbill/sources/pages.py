@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from playbill.functions import html as H
 from playbill.functions.columns import col, filled, first_filled
-from playbill.functions.dates import LONG_DATE
+from playbill.functions.dates import LONG_DATE, ZONE, event_date, feed_instant
 from playbill.functions.text import clean_text, slug_title, strip_html
 from playbill.functions.urls import absolute
 from playbill.operators.dedup import fallback_union, first_by
@@ -150,26 +150,34 @@ VENUE_KEYS = ["venue", "venue_name", "event_venue", "location", "place", "event_
 CONTAINERS = ("$", "$.acf", "$.meta", "$.event", "$.event_listing")
 
 
-def posts(rows: DataFrame) -> DataFrame:
-    """Items of WordPress-like posts (page columns, place, item as JSON text), whatever shape their fields have."""
+def posts(rows: DataFrame, as_of: Column | str | None = None) -> DataFrame:
+    """Items of WordPress-like posts (page columns, place, item as JSON text), whatever shape their fields have.
+
+    Posts without a date field have the first date of their text, or, with as_of (an instant), the
+    soonest of all its dates.
+    """
     n = lambda keys: H.nested("item", *keys, containers=CONTAINERS)
     title = F.coalesce(H.json_text("item", "$.title"), H.json_text("item", "$.name"))
     body = F.coalesce(H.json_text("item", "$.excerpt"), H.json_text("item", "$.content"), title)
     whole = H.json_text("item", "$.content")
     day, clock = date_time(F.coalesce(whole, body))
-    date = F.coalesce(n(DATE_TIME_KEYS), n(DATE_KEYS), filled(day), H.first_json("item", "$.date_gmt", "$.date"))
+    posted = H.first_json("item", "$.date_gmt", "$.date")
+    if as_of is not None:
+        chosen = F.from_utc_timestamp(event_date(F.coalesce(whole, body), feed_instant(posted), as_of), ZONE)
+        day, clock = F.date_format(chosen, "dd.MM.yyyy"), F.when(chosen.cast("date").cast("timestamp") != chosen, F.date_format(chosen, "HH:mm"))
+    date = F.coalesce(n(DATE_TIME_KEYS), n(DATE_KEYS), filled(day), posted)
     image = first_filled(F.get_json_object("item", "$._embedded['wp:featuredmedia'][0].source_url"), F.get_json_object("item", "$.image"), F.get_json_object("item", "$.thumbnail"))
     out = rows.withColumn("_title", title).where(F.col("_title").isNotNull())
     return items(out, title=F.col("_title"), link=F.coalesce(H.json_text("item", "$.link"), F.col("base_url")), venue=F.coalesce(n(VENUE_KEYS), F.col("site")), date=date, time=F.coalesce(n(TIME_KEYS), filled(clock)), description=body, image=image)
 
 
-def posts_or_cards(pages: DataFrame) -> DataFrame:
+def posts_or_cards(pages: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     """Posts of pages that are JSON (a list, or an object with one); other pages are read as cards."""
     body = F.trim("html")
     listed = [F.when(F.get_json_object("html", f"$.{k}").rlike(r"^\s*\["), F.get_json_object("html", f"$.{k}")) for k in ("items", "events", "data", "posts", "results")]
     entries = F.from_json(F.coalesce(F.when(body.startswith("["), F.col("html")), *listed), "array<string>")
     rows = pages.select(*PAGE, F.posexplode(entries).alias("place", "item")).where(F.col("item").rlike(r"^\s*\{"))
-    return fallback_union(posts(rows), cards(pages), keys=["site", "page_rank"]).select(*ITEM)
+    return fallback_union(posts(rows, as_of), cards(pages), keys=["site", "page_rank"]).select(*ITEM)
 
 
 def nothing(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from playbill.functions import dates, html, prices, rules, text, urls
+from playbill.functions import dates, field_prices, html, prices, rules, text, urls
 from playbill.operators import filters, provenance
 
 
@@ -160,3 +160,57 @@ def test_soonest(spark):
     row = spark.sql("select array(date'2026-05-01', null, date'2026-07-01', date'2026-06-10') as a, array(date'2026-05-02', date'2026-05-01') as b, cast(array() as array<date>) as c, date'2026-06-01' as now")
     got = row.select(dates.soonest("a", "now"), dates.soonest("b", "now"), dates.soonest("c", "now")).first()
     assert [str(x) for x in got] == ["2026-06-10", "2026-05-01", "None"]
+
+
+def test_event_date(spark):
+    vectors = [
+        ("Konser 5-7 Mayıs 2026 saat 20.30'da", None, "2026-05-05 17:30"),
+        ("1 Mart 2026, 12 Mart 2026 ve 9 Mart 2026 19:00", None, "2026-03-09 16:00"),
+        ("12 Mart", "2026-03-20 10:00", "2027-03-11 21:00"),
+        ("5 ve 8 Mart", "2026-03-01 10:00", "2026-03-04 21:00"),
+        ("05.05.2025 ile 06/06/2025 18:00", None, "2025-05-05 15:00"),
+        ("8 Mayıs 2026 yine 08.05.2026 21:00", None, "2026-05-08 05:05"),  # the first figures with a dot are its time
+        ("8 Mayıs 2026" + " -" * 80 + " 08.05.2026 21:00", None, "2026-05-08 18:00"),
+        ("30 Şubat 2026", None, None),
+        ("saat 20:30", None, None),
+        (None, None, None),
+    ]
+    rows = spark.createDataFrame([(i, *v) for i, v in enumerate(vectors)], "i int, said string, posted string, want string")
+    at = dates.event_date("said", F.col("posted").cast("timestamp"), F.lit("2026-03-04 12:00:00").cast("timestamp"))
+    assert [r.x for r in rows.select("i", F.date_format(at, "yyyy-MM-dd HH:mm").alias("x")).orderBy("i").collect()] == [v[2] for v in vectors]
+
+
+def test_post_price(spark):
+    scan = "wp_rest_meta_scan"
+    unknown = (None, None, "TRY", scan + "_all_candidates_unknown", 0.0)
+    vectors = [
+        ('{"meta":{"event_price":"150 - 200 TL"}}', (150.0, 200.0, "TRY", scan, 0.65)),
+        ('{"acf":{"ticket_price":"1.200,50","currency":"eur"}}', (1200.5, 1200.5, "EUR", scan, 0.65)),
+        ('{"is_free":true,"price":"90"}', (0.0, 0.0, "TRY", "wp_rest_free_marker_free_marker", 0.8)),
+        ('{"_price":"9","price":"0"}', (0.0, 0.0, "TRY", "wp_rest_free_marker_free_marker", 0.8)),
+        ('{"price":"gişede","currency":"USD"}', unknown),
+        ('{"price":null,"meta":{"price":"50"}}', unknown),
+        ("[1]", unknown),
+        (None, unknown),
+    ]
+    rows = spark.createDataFrame([(i, v[0]) for i, v in enumerate(vectors)], "i int, post string")
+    got = [r.p for r in rows.select("i", field_prices.post_price("post", F.lit("a.bel.tr")).alias("p")).orderBy("i").collect()]
+    assert [(p.min_value, p.max_value, p.currency, p.resolution.strategy, p.resolution.confidence) for p in got] == [v[1] for v in vectors]
+    assert all(p.is_unknown == (p.min_value is None) and p.is_free == (p.min_value == 0.0) and p.resolution.source == "wp_rest:a.bel.tr" for p in got)
+
+
+def test_calendar_price(spark):
+    cost = "tribe_events_cost_field"
+    unknown = (None, None, cost + "_all_candidates_unknown", 0.0)
+    vectors = [
+        ('{"cost":"150 TL"}', (150.0, 150.0, cost, 0.7)),
+        ('{"cost":"50","cost_min":"50","cost_max":"120 ₺"}', (50.0, 120.0, cost, 0.7)),
+        ('{"cost":"","cost_min":0}', (0.0, 0.0, cost + "_free_marker", 0.75)),
+        ('{"cost":"Ücretsiz"}', (0.0, 0.0, cost + "_free_marker", 0.75)),
+        ('{"title":"x"}', unknown),
+        ('{"cost":"kapıda"}', unknown),
+        (None, unknown),
+    ]
+    rows = spark.createDataFrame([(i, v[0]) for i, v in enumerate(vectors)], "i int, event string")
+    got = [r.p for r in rows.select("i", field_prices.calendar_price("event").alias("p")).orderBy("i").collect()]
+    assert [(p.min_value, p.max_value, p.resolution.strategy, p.resolution.confidence) for p in got] == [v[1] for v in vectors]

@@ -93,6 +93,10 @@ def test_page_scans(spark):
     assert (near.title, near.date, near.venue) == ("Ad", "2 Mayıs 2026", "Sahne")
     posts = json.dumps([{"title": {"rendered": "Gösteri"}, "link": "https://s.bel.tr/g", "acf": {"event_date": "2026-07-09"}, "venue": ["Park"], "excerpt": {"rendered": "<p>özet</p>"}}, {"title": ""}])
     assert [(r.title, r.date, r.venue) for r in pages.posts_or_cards(page(spark, posts)).collect()] == [("Gösteri", "2026-07-09", "Park")]
+    told = json.dumps([{"title": "Oyun", "content": "12 Mart 2026 bitti, 5-7 Temmuz 2026 saat 20:30", "date": "2026-03-01T10:00:00"}])
+    as_of = F.lit("2026-06-01 00:00:00").cast("timestamp")
+    assert [(r.date, r.time) for r in pages.posts_or_cards(page(spark, told)).collect()] == [("12 Mart 2026", "20:30")]
+    assert [(r.date, r.time) for r in pages.posts_or_cards(page(spark, told), as_of).collect()] == [("05.07.2026", "20:30")]
     both = page(spark, html).unionByName(page(spark, lines, "lines", "Two", 1)).unionByName(page(spark, html, "none", "Three", 2))
     assert {(r.site, r.title) for r in pages.scan(both, 1).collect()} == {("Site", "Yaz Konseri 5 Temmuz 2026 20:00"), ("Two", "Caz Gecesi")}
 
