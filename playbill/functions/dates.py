@@ -144,37 +144,42 @@ def event_date(text: Column | str, posted: Column | str, as_of: Column | str, wi
     `within` characters behind a date is its own; of readings of one day one with a time is taken. The
     soonest from the later of posting and as_of on counts, else the first of all.
     """
-    x, now = trend_fold(clean_text(text)), F.from_utc_timestamp(col(as_of), zone)
-    post = F.coalesce(F.from_utc_timestamp(col(posted), zone), now)
-    behind = r"(?=((?s:.{0," + str(within) + r"})))"
-
-    def each(pattern: str, *groups: str) -> Column:
-        return F.arrays_zip(*(F.regexp_extract_all(x, F.lit(pattern + behind), i).alias(g) for i, g in enumerate(groups, 1)))
-
-    def number(t: Column) -> Column:
-        return t.try_cast("int")
-
-    def read(year: Column, month: Column, day: Column, rest: Column) -> Column:
-        clock = r"(\d{1,2})[:.](\d{2})"
-        hour, minute = (number(F.regexp_extract(rest, clock, i)) for i in (1, 2))
-        timed = F.coalesce((hour <= 23) & (minute <= 59), F.lit(False))
-        own = F.try_to_timestamp(F.concat_ws("-", F.coalesce(year, F.year(post)), month, day), F.lit("yyyy-M-d"))
-        rolled = F.when(year.isNull() & (own.cast("date") < post.cast("date")), F.add_months(own.cast("date"), 12)).otherwise(own.cast("date"))
-        midnight = ~timed | ((hour == 0) & (minute == 0))
-        at = F.make_timestamp(F.year(rolled), F.month(rolled), F.day(rolled), F.when(timed, hour).otherwise(0), F.when(timed, minute).otherwise(0), F.lit(0))
-        return F.struct(rolled.alias("day"), midnight.alias("midnight"), at.alias("at"))
-
-    def days(z: Column) -> Column:
-        a, b = number(z["a"]), F.coalesce(number(z["b"]), number(z["c"]))
-        return F.when(b.isNull(), F.array(a)).when((b > a) & (b - a < 31), F.sequence(a, F.greatest(a, b))).otherwise(F.array(a, b))
-
-    named = each(r"(\d{1,2})\s*(?:[-–—/]\s*(\d{1,2})|\s+ve\s+(\d{1,2}))?\s+([a-z]+)(?:\s+(\d{4}))?", "a", "b", "c", "month", "year", "rest")
-    named = F.filter(named, lambda z: z["month"].isin(MONTHS))
-    spelled = F.flatten(F.transform(named, lambda z: F.transform(days(z), lambda d: read(number(z["year"]), F.array_position(F.array(*map(F.lit, MONTHS)), z["month"]), d, z["rest"]))))
-    figures = [F.transform(each(p, "day", "month", "year", "rest"), lambda z: read(number(z["year"]), number(z["month"]), number(z["day"]), z["rest"])) for p in (r"(\d{2})\.(\d{2})\.(\d{4})", r"(\d{2})/(\d{2})/(\d{4})")]
-    since = F.greatest(post, now).cast("date")
-    ranked = F.transform(F.filter(F.concat(spelled, *figures), lambda c: c["day"].isNotNull()), lambda c, i: F.struct((c["day"] < since).alias("past"), c["day"].alias("day"), c["midnight"].alias("midnight"), i.alias("i"), c["at"].alias("at")))
-    return local_to_utc(F.array_min(ranked)["at"], zone)
+    now = F.from_utc_timestamp(col(as_of), zone)
+    parts = F.struct(trend_fold(clean_text(text)).alias("text"), now.alias("now"), F.coalesce(F.from_utc_timestamp(col(posted), zone), now).alias("post"))
+
+    def pick(s: Column) -> Column:  # the text is worked out once
+        x, now, post = s["text"], s["now"], s["post"]
+        behind = r"(?=((?s:.{0," + str(within) + r"})))"
+
+        def each(pattern: str, *groups: str) -> Column:
+            return F.arrays_zip(*(F.regexp_extract_all(x, F.lit(pattern + behind), i).alias(g) for i, g in enumerate(groups, 1)))
+
+        def number(t: Column) -> Column:
+            return t.try_cast("int")
+
+        def read(year: Column, month: Column, day: Column, rest: Column) -> Column:
+            clock = r"(\d{1,2})[:.](\d{2})"
+            hour, minute = (number(F.regexp_extract(rest, clock, i)) for i in (1, 2))
+            timed = F.coalesce((hour <= 23) & (minute <= 59), F.lit(False))
+            own = F.try_to_timestamp(F.concat_ws("-", F.coalesce(year, F.year(post)), month, day), F.lit("yyyy-M-d"))
+            rolled = F.when(year.isNull() & (own.cast("date") < post.cast("date")), F.add_months(own.cast("date"), 12)).otherwise(own.cast("date"))
+            midnight = ~timed | ((hour == 0) & (minute == 0))
+            at = F.make_timestamp(F.year(rolled), F.month(rolled), F.day(rolled), F.when(timed, hour).otherwise(0), F.when(timed, minute).otherwise(0), F.lit(0))
+            return F.struct(rolled.alias("day"), midnight.alias("midnight"), at.alias("at"))
+
+        def days(z: Column) -> Column:
+            a, b = number(z["a"]), F.coalesce(number(z["b"]), number(z["c"]))
+            return F.when(b.isNull(), F.array(a)).when((b > a) & (b - a < 31), F.sequence(a, F.greatest(a, b))).otherwise(F.array(a, b))
+
+        named = each(r"(\d{1,2})\s*(?:[-–—/]\s*(\d{1,2})|\s+ve\s+(\d{1,2}))?\s+([a-z]+)(?:\s+(\d{4}))?", "a", "b", "c", "month", "year", "rest")
+        named = F.filter(named, lambda z: z["month"].isin(MONTHS))
+        spelled = F.flatten(F.transform(named, lambda z: F.transform(days(z), lambda d: read(number(z["year"]), F.array_position(F.array(*map(F.lit, MONTHS)), z["month"]), d, z["rest"]))))
+        figures = [F.transform(each(p, "day", "month", "year", "rest"), lambda z: read(number(z["year"]), number(z["month"]), number(z["day"]), z["rest"])) for p in (r"(\d{2})\.(\d{2})\.(\d{4})", r"(\d{2})/(\d{2})/(\d{4})")]
+        since = F.greatest(post, now).cast("date")
+        ranked = F.transform(F.filter(F.concat(spelled, *figures), lambda c: c["day"].isNotNull()), lambda c, i: F.struct((c["day"] < since).alias("past"), c["day"].alias("day"), c["midnight"].alias("midnight"), i.alias("i"), c["at"].alias("at")))
+        return local_to_utc(F.array_min(ranked)["at"], zone)
+
+    return F.get(F.transform(F.array(parts), pick), 0)
 
 
 def date_key(text: Column | str) -> Column:

@@ -164,7 +164,8 @@ def posts(rows: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     posted = H.first_json("item", "$.date_gmt", "$.date")
     if as_of is not None:
         chosen = F.from_utc_timestamp(event_date(F.coalesce(whole, body), feed_instant(posted), as_of), ZONE)
-        day, clock = F.date_format(chosen, "dd.MM.yyyy"), F.when(chosen.cast("date").cast("timestamp") != chosen, F.date_format(chosen, "HH:mm"))
+        shown = F.get(F.transform(F.array(chosen), lambda c: F.struct(F.date_format(c, "dd.MM.yyyy").alias("day"), F.when(c.cast("date").cast("timestamp") != c, F.date_format(c, "HH:mm")).alias("clock"))), 0)
+        day, clock = shown["day"], shown["clock"]
     date = F.coalesce(n(DATE_TIME_KEYS), n(DATE_KEYS), filled(day), posted)
     image = first_filled(F.get_json_object("item", "$._embedded['wp:featuredmedia'][0].source_url"), F.get_json_object("item", "$.image"), F.get_json_object("item", "$.thumbnail"))
     out = rows.withColumn("_title", title).where(F.col("_title").isNotNull())
