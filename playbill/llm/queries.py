@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playbill.llm import decontaminate, embeddings, licenses, line_dedup, packing, quality, simhash, suffix_dedup, token_store, warc
+from playbill.llm import decontaminate, embeddings, licenses, line_dedup, packing, periodic_runs, quality, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
     "op9_warc": warc.op9_warc,
     "op10_licenses": licenses.op10_licenses,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
 }
-ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL}
+ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL, "op11_periodic_runs": periodic_runs.OP11_SQL}
