@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from playbill.llm import decontaminate, embeddings, licenses, line_dedup, packing, periodic_runs, quality, simhash, suffix_dedup, token_store, warc
+from playbill.llm import decontaminate, embeddings, filter_audit, licenses, line_dedup, mixing, packing, periodic_runs, quality, simhash, suffix_dedup, token_store, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
@@ -16,5 +16,13 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_licenses": licenses.op10_licenses,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_filter_audit": filter_audit.op12_filter_audit,
+    "op13_mixing": mixing.op13_mixing,
+}
+ORACLE_SQL = {
+    "op1_line_dedup": line_dedup.OP1_SQL,
+    "op9_warc": warc.OP9_SQL,
+    "op11_periodic_runs": periodic_runs.OP11_SQL,
+    "op12_filter_audit": filter_audit.OP12_SQL,
+    "op13_mixing": mixing.OP13_SQL,
 }
-ORACLE_SQL = {"op1_line_dedup": line_dedup.OP1_SQL, "op9_warc": warc.OP9_SQL, "op11_periodic_runs": periodic_runs.OP11_SQL}
