@@ -25,6 +25,10 @@ TRIAL_BITS = 512
 #: A row in a table costs about as much as comparing so many codes.
 ROW_COST = 100
 BLOCK = 1024
+#: With fewer vectors there is nothing to learn tables from, and comparing all is cheaper.
+FEWEST = 512
+#: Tables that may be planned; where so many don't find the asked share, all vectors are compared.
+MOST_TABLES = 1 << 14
 
 
 class Rotation:
@@ -76,17 +80,19 @@ def trial_pairs(units: np.ndarray, cosine: float, most: int = 2000, seed: int =
 
 
 def plan_tables(alike: list[np.ndarray], any_pair: np.ndarray, n: int, recall: float) -> tuple[int, int]:
-    """(tables, bits of a table): the cheapest that find that share of each kind of pairs.
+    """(tables, bits of a table): the cheapest that find that share of each kind of pairs; no tables if MOST_TABLES don't.
 
     alike and any_pair hold for each pair the share of code bits that agree. Wider tables have
     fewer vectors an entry, so the more vectors there are the wider they get.
     """
-    best = (float("inf"), 1, 1)
+    best = (float("inf"), 0, 1)
     for width in range(1, 31):
         hits = [q**width for q in alike]
         low, high = 0, 1
-        while any((1 - (1 - h) ** high).mean() < recall for h in hits) and high < 1 << 14:
+        while any((1 - (1 - h) ** high).mean() < recall for h in hits) and high <= MOST_TABLES:
             low, high = high, 2 * high
+        if high > MOST_TABLES:
+            break  # wider tables find less
         while high - low > 1:
             mid = (low + high) // 2
             low, high = (mid, high) if any((1 - (1 - h) ** mid).mean() < recall for h in hits) else (low, mid)
@@ -96,7 +102,10 @@ def plan_tables(alike: list[np.ndarray], any_pair: np.ndarray, n: int, recall: f
 
 
 class Index:
-    """The planned tables: their rotations, and how many bits a pair may differ in."""
+    """The planned tables: their rotations, how many bits a pair may differ in, and the share of trial pairs found under both.
+
+    good says whether that share is what was asked for.
+    """
 
     def __init__(self, sample: np.ndarray, n: int, cosine: float, recall: float = RECALL) -> None:
         pairs = trial_pairs(sample, cosine)
@@ -105,15 +114,17 @@ class Index:
         agree = lambda r, a, b: (r.bits(a) == r.bits(b)).mean(axis=1)
         other = agree(trial, sample, np.roll(sample, shift, axis=0)) if len(sample) > 1 else np.array([0.5])
         self.tables, self.width = plan_tables([agree(trial, a, b) for a, b in pairs], other, n, recall)
-        while True:  # measured with the tables' own bits
+        self.recall, self.most = 0.0, 0
+        while 0 < self.tables <= MOST_TABLES:  # measured with the tables' own bits
             self.rotation = learn_rotation(sample, self.tables * self.width, seed=8)
             apart = [self.rotation.bits(a) != self.rotation.bits(b) for a, b in pairs]
-            self.recall = min(float((~x.reshape(len(x), self.tables, self.width).any(axis=2)).any(axis=1).mean()) for x in apart)
-            if self.recall >= recall - 0.01 or self.tables >= 1 << 14:
+            far = np.concatenate([x.sum(axis=1) for x in apart])
+            self.most = int(np.ceil(far.mean() + 5 * far.std()))
+            self.recall = min(float(((~x.reshape(len(x), self.tables, self.width).any(axis=2)).any(axis=1) & (x.sum(axis=1) <= self.most)).mean()) for x in apart)
+            if self.recall >= recall:
                 break
             self.tables += -(-self.tables // 4)
-        far = np.concatenate([x.sum(axis=1) for x in apart])
-        self.most = int(np.ceil(far.mean() + 5 * far.std()))
+        self.good = self.recall >= recall
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -198,6 +209,34 @@ def _verifier(tables: int, width: int, most: int, min_cosine: float):
     return run
 
 
+def _all_verifier(min_cosine: float):
+    """As _verifier, for blocks in which every row is compared with every other."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+
+    def run(batches):
+        for table in whole_runs(batches, ENTRY, 2 * BLOCK):
+            node, copies, side, units = (*(table[c].to_numpy() for c in ("node", "copies", "side")), _unit(_matrix(table["vector"])))
+            block_a, block_b = table["block_a"].to_numpy(), table["block_b"].to_numpy()
+            forest, found = Forest(len(node)), np.zeros(len(node), np.int64)
+            starts = [*run_starts(*(table[c].to_numpy() for c in ENTRY)).tolist(), len(node)]
+            for at, end in zip(starts, starts[1:], strict=False):
+                for s in range(at, end, 256):
+                    e = min(s + 256, end)
+                    k, m = np.nonzero(units[s:e] @ units[s:end].T >= min_cosine - 1e-9)
+                    k, m = k + s, m + s
+                    ok = (k < m) & ((block_a[k] == block_b[k]) | (side[k] != side[m]))
+                    k, m = k[ok], m[ok]
+                    ok = np.einsum("ij,ij->i", units[k], units[m]) >= min_cosine
+                    k, m = k[ok], m[ok]
+                    forest.join(k, m)
+                    np.add.at(found, k, copies[m])
+                    np.add.at(found, m, copies[k])
+            at = np.flatnonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), pa.array(node[forest.label[at]]), pa.array(found[at])], schema=schema)
+
+    return run
+
+
 def _laid(rows: DataFrame) -> DataFrame:
     # comparing is more work than the rows' size tells: as many tasks as a shuffle has
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -207,7 +246,11 @@ def _laid(rows: DataFrame) -> DataFrame:
 def _links(nodes: DataFrame, min_cosine: float, fit_vectors: int, recall: float) -> DataFrame:
     """a, b, n: for each entry and node the number of rows linked there (n) and a node it hangs together with (b)."""
     sample = _unit(_matrix(hash_sample(nodes, fit_vectors, "rotation", "h1", "h2").select("vector").toArrow()["vector"]))
-    index = Index(sample, nodes.count(), min_cosine, recall)
+    n = nodes.count()
+    index = Index(sample, n, min_cosine, recall) if n >= FEWEST else None
+    if index is None or not index.good:
+        whole = bounded_groups(nodes.select(F.lit(0).alias("tab"), F.lit(0).cast("long").alias("val"), "node", "copies", "vector"), ["tab", "val"], "node", BLOCK)
+        return _laid(whole.select(*ENTRY, "side", "node", "copies", "vector")).mapInArrow(_all_verifier(min_cosine), "a long, b long, n long")
     shape = (index.tables, index.width)
     schema = nodes.select("node", "vector", "copies").schema.add("code", BinaryType()).add("vals", ArrayType(LongType()))
     coded = materialize(nodes.select("node", "vector", "copies").mapInArrow(_coder(index.rotation, *shape, to_arrow_schema(schema)), schema), "codes")
@@ -224,7 +267,8 @@ def embedding_groups(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     Two rows link if their cosine, in double precision, is at least min_cosine and a table finds
     them. Tables are planned on a bounded sample (fit_vectors): as many and as wide as the cheapest
     that find the share `recall` of pairs just at min_cosine, whatever the vectors' mean; their
-    width grows with the number of vectors. Equal vectors always link. Null, empty and zero
+    width grows with the number of vectors. Where no tables do that, and with fewer than 512
+    distinct vectors, all are compared, block by block. Equal vectors always link. Null, empty and zero
     vectors and those with null or non-finite components link with nothing; vectors of different
     lengths neither. Ids are numbers. Rows that repeat an id are separate rows. n_links counts
     rows; component_id is the smallest id reachable; kept says id = component_id (null ids are
