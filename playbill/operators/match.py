@@ -1,7 +1,9 @@
-"""Matching records across sources, and merging them: greedy leader clustering in DataFrame rounds."""
+"""Matching records across sources, and merging them: greedy leader clustering by rounds, components and passes in order."""
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from playbill.functions.columns import filled, ordered_distinct
 from playbill.functions.dates import date_key
 from playbill.functions.text import normalize_for_match
 from playbill.functions.urls import url_key
+from playbill.operators.components import connected_components
 from playbill.storage import discard, materialize
 
 
@@ -39,47 +42,112 @@ def record_keys(events: DataFrame, namespaced: bool = False) -> DataFrame:
     )
 
 
-def _edges(records: DataFrame) -> DataFrame:
+#: Open records that one task may settle in order: about 100 MB with their keys.
+PASS_RECORDS = 100_000
+
+
+def _edges(records: DataFrame, strict_venue: bool) -> DataFrame:
     """ordinal, kind (0 id, 1 link, 2 show), place, key: a row per key of each record."""
     arrays = [("id_keys", 0), ("url_keys", 1)]
     parts = [records.select("ordinal", "is_base", F.lit(kind).alias("kind"), F.posexplode(name).alias("place", "key")) for name, kind in arrays]
-    shows = records.where("show_key is not null").select("ordinal", "is_base", F.lit(2).alias("kind"), F.lit(0).alias("place"), F.col("show_key").alias("key"))
-    return parts[0].union(parts[1]).union(shows)
-
-
-def assign_leaders(records: DataFrame, strict_venue: bool = False) -> DataFrame:
+    shows = records.where("show_key is not null and venue_key <> ''" if strict_venue else "show_key is not null")
+    show = F.concat_ws("\n", "show_key", "venue_key") if strict_venue else F.col("show_key")
+    return parts[0].union(parts[1]).union(shows.select("ordinal", "is_base", F.lit(2).alias("kind"), F.lit(0).alias("place"), show.alias("key")))
+
+
+def _of_keys(edges: DataFrame, state: DataFrame) -> DataFrame:
+    """Open records' keys with the least leader and the least open record of each: ordinal, kind, key, leader, open."""
+    known = edges.select("ordinal", "kind", "key").join(state, "ordinal")
+    least = known.groupBy("kind", "key").agg(F.min(F.when(F.col("state") == "leader", F.col("ordinal"))).alias("leader"), F.min(F.when(F.col("state") == "open", F.col("ordinal"))).alias("open"))
+    return known.where("state = 'open'").drop("state").join(least, ["kind", "key"])
+
+
+def _settle_at_once(edges: DataFrame, state: DataFrame) -> DataFrame:
+    """Settle all that have an earlier leader among their keys (members) or no earlier open record (leaders)."""
+    seen = _of_keys(edges, state).groupBy("ordinal").agg(F.max(F.coalesce(F.col("leader") < F.col("ordinal"), F.lit(False))).alias("led"), F.min("open").alias("first_open"))
+    settled = F.when(F.col("state") != "open", F.col("state")).when(F.coalesce("led", F.lit(False)), "member").when(F.coalesce(F.col("first_open") >= F.col("ordinal"), F.lit(True)), "leader").otherwise("open")
+    return state.join(seen, "ordinal", "left").select("ordinal", settled.alias("state"))
+
+
+def _one_by_one(pdf):
+    """Settle the open records of one component, or the first ones of it, in order; led marks keys of earlier leaders."""
+    import pandas as pd
+
+    pdf = pdf.sort_values("ordinal", kind="stable")
+    taken: set[tuple[int, str]] = set()
+    out = []
+    for ordinal, rows in groupby(zip(pdf["ordinal"], pdf["kind"], pdf["key"], pdf["led"], strict=True), key=lambda r: r[0]):
+        keys, led = [], False
+        for _, kind, key, by in rows:
+            keys.append((kind, key))
+            led |= bool(by)
+        if led or not taken.isdisjoint(keys):
+            out.append((ordinal, "member"))
+        else:
+            taken.update(keys)
+            out.append((ordinal, "leader"))
+    return pd.DataFrame(out, columns=["ordinal", "state"])
+
+
+def _settle_in_order(edges: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """Settle the open records of each component of keys by one pass in order; of components over `most` records the first `most`.
+
+    Open records that share no chain of keys don't touch each other, so components are settled
+    side by side. The first records of the large components depend on nothing that is
+    still open, so they are settled too, in one task of bounded size.
+    """
+    rows = _of_keys(edges, state).select("ordinal", "kind", "key", "open", F.coalesce(F.col("leader") < F.col("ordinal"), F.lit(False)).alias("led"))
+    rows = materialize(rows, "open")
+    columns = ["part", "ordinal", "kind", "key", "led"]
+    if state.where("state = 'open'").limit(most + 1).count() <= most:
+        work = rows.withColumn("part", F.lit(0).cast("long")).select(*columns)
+    else:
+        groups = connected_components(rows.select(F.col("ordinal").alias("a"), F.col("open").alias("b")))
+        groups = materialize(groups.select(F.col("node").alias("ordinal"), F.col("component").alias("part")), "components")
+        large = groups.groupBy("part").count().where(F.col("count") > most).select("part")
+        small = rows.join(groups.join(large, "part", "left_anti"), "ordinal").select(*columns)
+        alone = rows.join(groups, "ordinal", "left_anti").withColumn("part", F.col("ordinal")).select(*columns)
+        first = groups.join(large, "part", "left_semi").orderBy("ordinal").limit(most).select("ordinal")
+        work = small.union(alone).union(rows.join(first, "ordinal").withColumn("part", F.lit(-1).cast("long")).select(*columns))
+    done = work.groupBy("part").applyInPandas(_one_by_one, "ordinal long, state string")
+    return state.join(done.withColumnRenamed("state", "now"), "ordinal", "left").select("ordinal", F.coalesce("now", "state").alias("state"))
+
+
+def assign_leaders(records: DataFrame, strict_venue: bool = False, pass_records: int = PASS_RECORDS) -> DataFrame:
     """ordinal, leader and kind of each record, as matching one after the other would give.
 
-    records: ordinal (distinct), is_base, id_keys, url_keys, show_key, venue_key. Base records
+    records: ordinal (distinct longs), is_base, id_keys, url_keys, show_key, venue_key. Base records
     always lead. Any other record, in order, joins a leader before it that shares a key: the one of its
     first id key that any has, else of its first link, else one of equal show key, of equal venue
-    if there is one; without any it leads itself (kind null). Only leaders' own keys attract,
+    if there is one (strict_venue: only such); without any it leads itself (kind null). Only leaders' own keys attract,
     so this is no transitive closure.
 
-    Each round settles all records at once that have an earlier leader among their keys (they
-    are members) or no earlier unsettled record (they lead), so at least the first unsettled one:
-    rounds go on until all are settled, however long a chain of keys is. Rounds are written to the shared
-    folder; each is two joins on the key with its minimums combined before the shuffle.
+    Two rounds of joins settle most records at once: those that have an earlier leader among
+    their keys (members) and those without an earlier open record (leaders). What is left hangs
+    in chains of keys. It is cut into connected components (rounds in the logarithm of
+    their width), each of which is settled by one pass in order within a task; of a component of
+    over pass_records records the first so many are, then rounds go on. So the number of rounds doesn't
+    follow the length of a chain. Every step is written to the shared folder.
     """
-    edges = materialize(_edges(records), "keys")
+    edges = materialize(_edges(records, strict_venue), "keys")
     state = materialize(records.select("ordinal", F.when(F.col("is_base"), F.lit("leader")).otherwise("open").alias("state")), "state")
+    turn = 0
     while state.where("state = 'open'").limit(1).count():
-        known = edges.select("ordinal", "kind", "key").join(state, "ordinal")
-        least = known.groupBy("kind", "key").agg(F.min(F.when(F.col("state") == "leader", F.col("ordinal"))).alias("leader"), F.min(F.when(F.col("state") == "open", F.col("ordinal"))).alias("open"))
-        seen = known.where("state = 'open'").join(least, ["kind", "key"]).groupBy("ordinal").agg(F.max(F.coalesce(F.col("leader") < F.col("ordinal"), F.lit(False))).alias("led"), F.min("open").alias("first_open"))
-        settled = F.when(F.col("state") != "open", F.col("state")).when(F.coalesce("led", F.lit(False)), "member").when(F.coalesce(F.col("first_open") >= F.col("ordinal"), F.lit(True)), "leader").otherwise("open")
-        after = materialize(state.join(seen, "ordinal", "left").select("ordinal", settled.alias("state")), "state")
+        turn += 1
+        after = materialize(_settle_in_order(edges, state, pass_records) if turn % 3 == 0 else _settle_at_once(edges, state), "state")
         discard(state)
         state = after
     leaders = edges.join(state.where("state = 'leader'").select("ordinal"), "ordinal")
     members = edges.join(state.where("state = 'member'").select("ordinal"), "ordinal")
     first = leaders.groupBy("kind", "key").agg(F.min("ordinal").alias("leader"))
-    venues = records.where("venue_key <> ''").select("ordinal", "venue_key")
-    at_venue = leaders.where("kind = 2").join(venues, "ordinal").groupBy("key", "venue_key").agg(F.min("ordinal").alias("leader"))
     plain = members.join(first, ["kind", "key"]).select("ordinal", "kind", "place", F.lit(1).alias("other_venue"), "leader")
-    same = members.where("kind = 2").join(venues, "ordinal").join(at_venue, ["key", "venue_key"]).select("ordinal", "kind", "place", F.lit(0).alias("other_venue"), "leader")
-    hits = same.union(plain.where("kind < 2") if strict_venue else plain).where("leader < ordinal")
-    chosen = hits.groupBy("ordinal").agg(F.min(F.struct("kind", "place", "other_venue", "leader")).alias("hit"))
+    hits = plain
+    if not strict_venue:
+        venues = records.where("venue_key <> ''").select("ordinal", "venue_key")
+        at_venue = leaders.where("kind = 2").join(venues, "ordinal").groupBy("key", "venue_key").agg(F.min("ordinal").alias("leader"))
+        same = members.where("kind = 2").join(venues, "ordinal").join(at_venue, ["key", "venue_key"]).select("ordinal", "kind", "place", F.lit(0).alias("other_venue"), "leader")
+        hits = same.union(plain)
+    chosen = hits.where("leader < ordinal").groupBy("ordinal").agg(F.min(F.struct("kind", "place", "other_venue", "leader")).alias("hit"))
     return state.join(chosen, "ordinal", "left").select("ordinal", F.coalesce("hit.leader", "ordinal").alias("leader"), F.col("hit.kind").alias("kind"))
 
 

@@ -45,6 +45,30 @@ def test_leaders(spark, seed):
     assert got == model(sorted(records))
 
 
+    few = {r.ordinal: r.leader for r in match.assign_leaders(df, pass_records=7).collect()}  # by components, large ones piece by piece
+    assert few == got
+
+
+def test_strict_venue(spark):
+    rows = [(0, True, [], [], "s", "v1"), (1, False, [], [], "s", "v2"), (2, False, [], [], "s", "v2"), (3, False, [], [], "s", ""), (4, False, [], [], "s", "v1")]
+    df = spark.createDataFrame(rows, "ordinal long, is_base boolean, id_keys array<string>, url_keys array<string>, show_key string, venue_key string")
+    assert {r.ordinal: r.leader for r in match.assign_leaders(df, strict_venue=True).collect()} == {0: 0, 1: 1, 2: 1, 3: 3, 4: 0}
+    assert {r.ordinal: r.leader for r in match.assign_leaders(df).collect()} == dict.fromkeys(range(5), 0)
+
+
+@pytest.mark.parametrize("most", [100_000, 3000])
+def test_leaders_of_a_long_chain(spark, monkeypatch, most):
+    """10,000 records each of which shares a key with the next: few steps, whatever the length."""
+    steps = []
+    for name in ("_settle_at_once", "_settle_in_order"):
+        monkeypatch.setattr(match, name, lambda *a, f=getattr(match, name): steps.append(1) or f(*a))
+    n = 10_000
+    df = spark.range(n).selectExpr("id as ordinal", "false as is_base", "array(cast(id as string), cast(id + 1 as string)) as id_keys", "cast(array() as array<string>) as url_keys", "cast(null as string) as show_key", "'' as venue_key")
+    got = {r.ordinal: r.leader for r in match.assign_leaders(df, pass_records=most).collect()}
+    assert got == {i: i - i % 2 for i in range(n)}
+    assert len(steps) <= 14
+
+
 def event(title, source, *occurrences, **more):
     occ = [{"local_date": d, "local_time": t, "venue_name": v, "sources": [{"provider": p, "external_id": e, "source_url": u} for p, e, u in s]} for d, t, v, s in occurrences]
     return {"title": title, "city_name": "İstanbul", "source": source, "occurrences": occ} | more
