@@ -125,6 +125,31 @@ def json_text(payload: Column | str, path: str) -> Column:
     return filled(strip_html(F.when(raw.rlike(r"^\s*\["), first).otherwise(scalar(raw))))
 
 
+def variant_text(value: Column) -> Column:
+    """Cleaned text of a VARIANT: an object's first filled rendered, text, name or title; a list's first such; else the scalar."""
+
+    def scalar(x: Column) -> Column:
+        whole = F.try_variant_get(x, "$", "string")
+        return F.coalesce(*(filled(F.try_variant_get(x, f"$.{k}", "string")) for k in ("rendered", "text", "name", "title")), F.when(~whole.rlike(r"^\s*[\[{]"), whole))
+
+    listed = F.try_variant_get(value, "$", "array<variant>")
+    first = F.get(F.filter(F.transform(listed, scalar), lambda s: F.coalesce(F.trim(s), F.lit("")) != ""), 0)
+    return filled(strip_html(F.when(listed.isNotNull(), first).otherwise(scalar(value))))
+
+
+def variant_texts(payload: Column | str, paths: list[str]) -> Column:
+    """The cleaned text at each path of a VARIANT; how texts are cleaned is in the plan once, however many paths there are."""
+    return F.transform(F.array(*(F.try_variant_get(col(payload), p, "variant") for p in paths)), variant_text)
+
+
+def variant_images(payload: Column | str) -> Column:
+    """Where a post's picture may be, in order: embedded media, then fields that are a link, or an object with one or with sizes."""
+    media = [f"$._embedded['wp:featuredmedia'][0].{k}" for k in ("source_url", "guid", "url")]
+    inside = ["", ".url", ".src", ".link", *(f".sizes.{size}.{k}" for size in ("full", "large", "medium", "thumbnail") for k in ("url", "source_url"))]
+    fields = [f"$.{f}{k}" for f in ("jetpack_featured_media_url", "featured_image", "image", "thumbnail") for k in inside]
+    return F.filter(F.array(*(F.try_variant_get(col(payload), p, "string") for p in [*media, *fields])), lambda x: ~x.rlike(r"^\s*([\[{]|$)"))
+
+
 def nested(payload: Column | str, *names: str, containers: tuple[str, ...] = ("$", "$.meta", "$.acf")) -> Column:
     """The first filled field of the names, looked for in each container in turn."""
     return F.coalesce(*(json_text(payload, f"{c}.{n}") for c in containers for n in names))

@@ -154,22 +154,35 @@ def posts(rows: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     """Items of WordPress-like posts (page columns, place, item as JSON text), whatever shape their fields have.
 
     Posts without a date field have the first date of their text, or, with as_of (an instant), the
-    soonest of all its dates.
+    soonest of all its dates. Each item is parsed once, as a VARIANT, and all fields are read from that.
     """
-    n = lambda keys: H.nested("item", *keys, containers=CONTAINERS)
-    title = F.coalesce(H.json_text("item", "$.title"), H.json_text("item", "$.name"))
-    body = F.coalesce(H.json_text("item", "$.excerpt"), H.json_text("item", "$.content"), title)
-    whole = H.json_text("item", "$.content")
+    groups = {"title": ["$.title"], "name": ["$.name"], "excerpt": ["$.excerpt"], "content": ["$.content"], "link": ["$.link"]}
+    groups |= {name: [f"{c}.{k}" for c in CONTAINERS for k in keys] for name, keys in (("moment", DATE_TIME_KEYS), ("day", DATE_KEYS), ("clock", TIME_KEYS), ("venue", VENUE_KEYS))}
+    at, paths = {}, []
+    for name, own in groups.items():
+        at[name] = (len(paths) + 1, len(own))
+        paths += own
+
+    def field(name: str, texts: Column | None = None) -> Column:
+        texts = F.col("_post.texts") if texts is None else texts
+        return F.get(F.filter(F.slice(texts, *at[name]), lambda x: x.isNotNull()), 0)
+
+    parsed = rows.withColumn("_v", F.try_parse_json("item"))
+    posted = first_filled(*(F.try_variant_get("_v", f"$.{k}", "string") for k in ("date_gmt", "date")))
+    read = F.struct(H.variant_texts("_v", paths).alias("texts"), F.get(H.variant_images("_v"), 0).alias("image"), posted.alias("posted"))
+    # exploding one struct, or none, keeps posts with a title without a filter that would be pushed below the parsing
+    titled = lambda p: F.coalesce(field("title", p["texts"]), field("name", p["texts"])).isNotNull()
+    read = parsed.select(*PAGE, "place", F.explode(F.filter(F.array(read), titled)).alias("_post"))
+    title, whole, posted = F.coalesce(field("title"), field("name")), field("content"), F.col("_post.posted")
+    body = F.coalesce(field("excerpt"), whole, title)
     day, clock = date_time(F.coalesce(whole, body))
-    posted = H.first_json("item", "$.date_gmt", "$.date")
     if as_of is not None:
         chosen = F.from_utc_timestamp(event_date(F.coalesce(whole, body), feed_instant(posted), as_of), ZONE)
         shown = F.get(F.transform(F.array(chosen), lambda c: F.struct(F.date_format(c, "dd.MM.yyyy").alias("day"), F.when(c.cast("date").cast("timestamp") != c, F.date_format(c, "HH:mm")).alias("clock"))), 0)
         day, clock = shown["day"], shown["clock"]
-    date = F.coalesce(n(DATE_TIME_KEYS), n(DATE_KEYS), filled(day), posted)
-    image = first_filled(F.get_json_object("item", "$._embedded['wp:featuredmedia'][0].source_url"), F.get_json_object("item", "$.image"), F.get_json_object("item", "$.thumbnail"))
-    out = rows.withColumn("_title", title).where(F.col("_title").isNotNull())
-    return items(out, title=F.col("_title"), link=F.coalesce(H.json_text("item", "$.link"), F.col("base_url")), venue=F.coalesce(n(VENUE_KEYS), F.col("site")), date=date, time=F.coalesce(n(TIME_KEYS), filled(clock)), description=body, image=image)
+    date = F.coalesce(field("moment"), field("day"), filled(day), posted)
+    image = F.when(F.col("_post.image").isNotNull(), absolute("_post.image", "base_url"))
+    return items(read, title=title, link=F.coalesce(field("link"), F.col("base_url")), venue=F.coalesce(field("venue"), F.col("site")), date=date, time=F.coalesce(field("clock"), filled(clock)), description=body, image=image)
 
 
 def posts_or_cards(pages: DataFrame, as_of: Column | str | None = None) -> DataFrame:
@@ -202,13 +215,13 @@ def passed_on(pages: DataFrame) -> DataFrame:
 STRATEGIES = {"cards": cards, "posts": posts_or_cards, "lines": label_lines, "calendar": calendar_tables, "dated_links": dated_links, "windows": plain_windows, "pass": passed_on, "none": nothing}
 
 
-def scan(pages: DataFrame, most_a_site: int = 20, more: dict[str, Callable[[DataFrame], DataFrame]] | None = None) -> DataFrame:
+def scan(pages: DataFrame, most_a_site: int = 20, more: dict[str, Callable[[DataFrame], DataFrame]] | None = None, as_of: Column | str | None = None) -> DataFrame:
     """Items of all pages by their strategy; of a site only its first page with any, and at most so many items.
 
     `more` adds scans by name, such as link_lists() or blocks() with a site's pattern. A strategy
-    that nothing reads is an error rather than pages lost without a word.
+    that nothing reads is an error rather than pages lost without a word. as_of is for the dates of posts.
     """
-    known = {**STRATEGIES, **(more or {})}
+    known = {**STRATEGIES, "posts": lambda p: posts_or_cards(p, as_of), **(more or {})}
     lost = [r[0] for r in pages.where(~F.coalesce(F.col("strategy").isin(*known), F.lit(False))).select("strategy").distinct().limit(5).collect()]
     if lost:
         raise ValueError(f"no scan for {lost}; there are {sorted(known)}")

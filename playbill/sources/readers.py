@@ -21,9 +21,16 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("body"))
 
 
-def json_records(spark: SparkSession, path: str, ddl: str = EVENT) -> DataFrame:
-    """Records of JSON array files in the given schema; a broken file, or one that holds no array, has none."""
+def json_records(spark: SparkSession, path: str, ddl: str = EVENT, split: bool = False) -> DataFrame:
+    """Records of JSON array files in the given schema; a broken file, or one that holds no array, has none.
+
+    With split a file is read by several tasks, for files that are large (see json_split; files are taken to be whole arrays).
+    """
     schema = T.ArrayType(schema_of(ddl)) if ddl.startswith("struct<") else T.ArrayType(T._parse_datatype_string(f"struct<{ddl}>"))
+    if split:
+        from playbill.sources.json_split import json_elements
+
+        return json_elements(spark, path).select("path", "place", F.from_json("item", schema.elementType).alias("r")).select("path", "place", "r.*")
     body = documents(spark, path).where(F.trim("body").startswith("["))
     return body.select("path", F.posexplode(F.from_json("body", schema)).alias("place", "r")).select("path", "place", "r.*")
 
