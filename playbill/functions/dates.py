@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from playbill.functions.columns import cases, col
-from playbill.functions.text import ascii_fold, clean_text, trend_fold
+from playbill.functions.text import ascii_fold, clean_settled, trend_fold
 
 ZONE = "Europe/Istanbul"
 # Turkish month names, and their first three letters, without marks.
@@ -49,7 +49,7 @@ def iso(text: Column | str) -> Column:
 
 def turkish(text: Column | str) -> Column:
     """Local time of "22 Mart 2026, Pazar 14:00"; without a time midnight; other text is null."""
-    x = clean_text(text)
+    x = clean_settled(text)
     year, month, day = F.regexp_extract(x, LONG_DATE, 3), month_number(F.regexp_extract(x, LONG_DATE, 2)), F.regexp_extract(x, LONG_DATE, 1)
     time = F.regexp_extract(x, LONG_DATE + r"\D*(\d{1,2}[:.]\d{2})", 4)
     time = F.when(time == "", F.lit("00:00")).otherwise(F.lpad(F.replace(time, F.lit("."), F.lit(":")), 5, "0"))
@@ -90,7 +90,7 @@ def feed_instant(text: Column | str, zone: str = ZONE) -> Column:
 
 def near_time(text: Column | str, within: int = 150, zone: str = ZONE) -> Column:
     """The first long, else dotted, date in a text, with a time at most `within` characters behind it (else midnight)."""
-    x = clean_text(text)
+    x = clean_settled(text)
 
     def read(pattern: str, month: Column, groups: tuple[int, int, int]) -> Column:
         time = F.regexp_extract(x, pattern + r".{0," + str(within) + r"}?\b([01]?\d|2[0-3])[:.]([0-5]\d)\b", 4)
@@ -145,7 +145,7 @@ def event_date(text: Column | str, posted: Column | str, as_of: Column | str, wi
     soonest from the later of posting and as_of on counts, else the first of all.
     """
     now = F.from_utc_timestamp(col(as_of), zone)
-    parts = F.struct(trend_fold(clean_text(text)).alias("text"), now.alias("now"), F.coalesce(F.from_utc_timestamp(col(posted), zone), now).alias("post"))
+    parts = F.struct(trend_fold(clean_settled(text)).alias("text"), now.alias("now"), F.coalesce(F.from_utc_timestamp(col(posted), zone), now).alias("post"))
 
     def pick(s: Column) -> Column:  # the text is worked out once
         x, now, post = s["text"], s["now"], s["post"]

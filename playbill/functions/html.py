@@ -7,32 +7,33 @@ from pyspark.sql import functions as F
 
 from playbill.functions.columns import col, filled, first_filled
 from playbill.functions.prices import offers_fold
-from playbill.functions.text import clean_text, strip_html, truncate
+from playbill.functions.text import clean_settled, clean_text, strip_html, strip_settled, truncate
 from playbill.functions.urls import absolute
 
 
-def title(html: Column | str) -> Column:
-    """Text of the first h1, else of the title element; null if both are blank."""
-    x = col(html)
-    return F.coalesce(*(filled(strip_html(F.regexp_extract(x, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1))) for tag in ("h1", "title")))
+def title(html: Column | str, settled: bool = False) -> Column:
+    """Text of the first h1, else of the title element; null if both are blank. settled: text.settle() has been over the page."""
+    x, strip = col(html), strip_settled if settled else strip_html
+    return F.coalesce(*(filled(strip(F.regexp_extract(x, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1))) for tag in ("h1", "title")))
 
 
-def lines(html: Column | str) -> Column:
+def lines(html: Column | str, settled: bool = False) -> Column:
     """The text's lines: block ends and breaks end one."""
     x = F.regexp_replace(col(html), r"(?i)<(?:br|/p|/div|/li|/tr|/h[1-6]|/td|/dd|/dt)[^>]*>", "\n")
     x = F.regexp_replace(x, "<[^>]+>", " ")
-    return F.filter(F.transform(F.split(x, "\n"), lambda s: clean_text(s)), lambda s: s != "")
+    clean = clean_settled if settled else clean_text
+    return F.filter(F.transform(F.split(x, "\n"), lambda s: clean(s)), lambda s: s != "")
 
 
-def label_value(html: Column | str, *labels: str) -> Column:
+def label_value(html: Column | str, *labels: str, settled: bool = False) -> Column:
     """What stands behind the first of the labels (in their order) that begins a line, after a colon."""
-    text = F.array_join(lines(html), "\n")
+    text = F.array_join(lines(html, settled), "\n")
     return F.coalesce(*(filled(F.regexp_extract(text, rf"(?imu)^\s*{label}\s*:\s*(.+)$", 1)) for label in labels))
 
 
-def body_text(html: Column | str, most: int = 250) -> Column:
+def body_text(html: Column | str, most: int = 250, settled: bool = False) -> Column:
     bare = F.regexp_replace(col(html), r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
-    return truncate(strip_html(bare), most)
+    return truncate((strip_settled if settled else strip_html)(bare), most)
 
 
 def first_image(html: Column | str, base: Column | str) -> Column:
@@ -126,7 +127,7 @@ def json_text(payload: Column | str, path: str) -> Column:
 
 
 def variant_text(value: Column) -> Column:
-    """Cleaned text of a VARIANT: an object's first filled rendered, text, name or title; a list's first such; else the scalar."""
+    """Cleaned text of a VARIANT made of settled JSON: an object's first filled rendered, text, name or title; a list's first such; else the scalar."""
 
     def scalar(x: Column) -> Column:
         whole = F.try_variant_get(x, "$", "string")
@@ -134,7 +135,7 @@ def variant_text(value: Column) -> Column:
 
     listed = F.try_variant_get(value, "$", "array<variant>")
     first = F.get(F.filter(F.transform(listed, scalar), lambda s: F.coalesce(F.trim(s), F.lit("")) != ""), 0)
-    return filled(strip_html(F.when(listed.isNotNull(), first).otherwise(scalar(value))))
+    return filled(strip_settled(F.when(listed.isNotNull(), first).otherwise(scalar(value))))
 
 
 def variant_texts(payload: Column | str, paths: list[str]) -> Column:

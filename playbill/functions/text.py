@@ -54,6 +54,21 @@ def unescape_all(text: Column | str) -> Column:
     The text is cut at ampersands, and what begins a piece is looked up; names without a semicolon
     count where HTML knows them so, the longest first. What is no entity stays as it is.
     """
+    return _entities(text, lambda char: char)
+
+
+def settle(text: Column | str) -> Column:
+    """Every entity as its character, but those of markup as the usual entities: what unescape() then resolves is what unescape_all() would.
+
+    For pages and feeds, whose texts are cut out and cleaned in many places: all entities are resolved
+    in one place, before tags are read, and the plan stays small. Characters that would end or
+    change a JSON text are kept as well: quotes as entities, control characters as spaces.
+    """
+    kept = {"<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&#39;", "&": "&amp;", **{chr(c): " " for c in range(32)}}
+    return _entities(text, lambda char: F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in kept.items() for x in pair)), char), char))
+
+
+def _entities(text: Column | str, write) -> Column:
     closed, opened = _entity_table(n + ";" for n in _NAMED), _entity_table(_OPEN)
 
     def piece(x: Column, i: Column) -> Column:
@@ -67,9 +82,9 @@ def unescape_all(text: Column | str) -> Column:
         rest = lambda head: F.substr(x, F.length(head) + 1)
         return (
             F.when(i == 0, x)
-            .when(number != "", F.concat(_code_point(value), rest(number)))
-            .when(found.isNotNull(), F.concat(found, rest(name)))
-            .when(short != "", F.concat(F.try_element_at(opened, short), rest(short)))
+            .when(number != "", F.concat(write(_code_point(value)), rest(number)))
+            .when(found.isNotNull(), F.concat(write(found), rest(name)))
+            .when(short != "", F.concat(write(F.try_element_at(opened, short)), rest(short)))
             .otherwise(F.concat(F.lit("&"), x))
         )
 
@@ -93,13 +108,9 @@ def collapse(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(col(text), r"(?U)\s+", " "))
 
 
-def clean_text(text: Column | str, exact: bool = False) -> Column:
-    """Entities resolved once and white space collapsed. Null stays null.
-
-    exact resolves every entity; otherwise the usual ones, whose plan stays small where a builder
-    cleans many fields.
-    """
-    return collapse(unescape_all(text) if exact else unescape(text))
+def clean_text(text: Column | str) -> Column:
+    """Entities resolved once and white space collapsed. Null stays null."""
+    return collapse(unescape_all(text))
 
 
 def strip_html(text: Column | str) -> Column:
@@ -107,15 +118,20 @@ def strip_html(text: Column | str) -> Column:
     return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "))
 
 
-def strip_html_exact(text: Column | str) -> Column:
-    """strip_html with every entity resolved."""
-    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "), exact=True)
+def clean_settled(text: Column | str) -> Column:
+    """clean_text of a text that settle() has been over, or that has the usual entities only."""
+    return collapse(unescape(text))
+
+
+def strip_settled(text: Column | str) -> Column:
+    """strip_html of a text that settle() has been over."""
+    return clean_settled(F.regexp_replace(col(text), "<[^>]+>", " "))
 
 
 def strip_blocks(text: Column | str) -> Column:
     """HTML to lines: block tags end a line, other tags go, blank lines go."""
     broken = F.regexp_replace(col(text), r"(?i)<\s*(br|/p|/div|/li|/h[1-6]|/tr|p|div|li|ul|ol)\b[^>]*>", "\n")
-    plain = unescape(F.regexp_replace(broken, "<[^>]+>", ""))
+    plain = unescape_all(F.regexp_replace(broken, "<[^>]+>", ""))
     lines = F.transform(F.split(plain, "\n"), lambda x: collapse(x))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 

@@ -61,14 +61,13 @@ def record_identity(t, spark):
     )
 
 
-_BROKEN_SQL = _unescaped_sql(r"regexp_replace(regexp_replace(html, '(?i)<\s*(br|/p|/div|/li|/h[1-6]|/tr|p|div|li|ul|ol)\b[^>]*>', chr(10), 'g'), '<[^>]+>', '', 'g')".replace("html", "replace(replace(html, '&copy;', '(c)'), '&middot;', '-')"))
+_BROKEN_SQL = _unescaped_sql(r"regexp_replace(regexp_replace(html, '(?i)<\s*(br|/p|/div|/li|/h[1-6]|/tr|p|div|li|ul|ol)\b[^>]*>', chr(10), 'g'), '<[^>]+>', '', 'g')")
 
 
 @query(rf"select page_id, array_to_string(list_filter(list_transform(string_split({_BROKEN_SQL}, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as plain from pages")
 def block_lines(t, spark):
     """Pages as lines of text."""
-    page = F.replace(F.replace("html", F.lit("&copy;"), F.lit("(c)")), F.lit("&middot;"), F.lit("-"))
-    return t("pages").select("page_id", text.strip_blocks(page).alias("plain"))
+    return t("pages").select("page_id", text.strip_blocks("html").alias("plain"))
 
 
 @query("select p_partkey, p_name || ' <b>' as settled, 'gunes ' || p_name as folded, 'cagri ' || p_name as trend, p_name as slug, case when p_partkey % 2 = 0 then 'aus dem Buch' else p_name || ' x' end as stripped from part")

@@ -216,6 +216,7 @@ PRICE_IN_TEXT = r"(?iu)(?:ücretsiz|ucretsiz|bedava|(?:\d[\d.,]*\s*(?:[-–]\s*\
 def from_web(items: DataFrame, days: int, as_of: str) -> DataFrame:
     """Events of page items (site, site_rank, page_rank, place, city, title, link, venue, date, time, description, image, price_text?, html?).
 
+    Items are as the page scans give them: entities other than those of markup are resolved (text.settle).
     Titles that are a place's name go, as do items without a date in the look-ahead. Prices come
     from the price text, JSON-LD, meta elements, then the description and title.
     """
@@ -225,9 +226,9 @@ def from_web(items: DataFrame, days: int, as_of: str) -> DataFrame:
     has = set(items.columns)
     page = F.col("html") if "html" in has else none
     said = F.col("price_text") if "price_text" in has else none
-    rows = items.withColumn("start", F.coalesce(near_time(F.concat_ws(" ", "date", "time")), near_time("description"))).withColumn("title", text.clean_text("title"))
+    rows = items.withColumn("start", F.coalesce(near_time(F.concat_ws(" ", "date", "time")), near_time("description"))).withColumn("title", text.clean_settled("title"))
     rows = rows.where(required("title") & look_ahead("start", F.lit(as_of).cast("timestamp"), days) & ~structural_title("title", "site", "venue"))
-    about = text.truncate(F.coalesce(filled(text.strip_html("description")), F.col("title")), 250)
+    about = text.truncate(F.coalesce(filled(text.strip_settled("description")), F.col("title")), 250)
     rows = rows.withColumns({"_said": said, "_linked": H.jsonld_price(page), "_meta": H.meta_price(page), "_in_text": F.regexp_extract(F.coalesce("description", F.lit("")), PRICE_IN_TEXT, 0), "_in_title": F.regexp_extract("title", PRICE_IN_TEXT, 0)})
     candidates = {
         "_p0": P.text_price("_said", "web_price_text", 0.8, "public_web_text"), "_p1": P.stated_price("_linked.min", "_linked.max", "web_jsonld", 0.85, "public_web_text", "_linked.currency"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from playbill.functions import html as H
 from playbill.functions.columns import col, filled, first_filled
 from playbill.functions.dates import LONG_DATE, ZONE, event_date, feed_instant
-from playbill.functions.text import clean_text, slug_title, strip_html
+from playbill.functions.text import clean_settled, settle, slug_title, strip_settled
 from playbill.functions.urls import absolute
 from playbill.operators.dedup import fallback_union, first_by
 from playbill.operators.filters import event_like
@@ -31,6 +31,14 @@ def items(df: DataFrame, **fields: Column) -> DataFrame:
     return df.select("site", "site_rank", "page_rank", "place", *(F.coalesce(v, blank).alias(k) for k, v in made.items()))
 
 
+def settled(pages: DataFrame) -> DataFrame:
+    """Pages whose html has all entities resolved but those of markup: the scans then clean texts by the usual ones.
+
+    Exploding an array of one keeps the optimizer from putting the expression into every filter above.
+    """
+    return pages.select(*(F.col(f"`{c}`") for c in pages.columns if c != "html"), F.explode(F.array(settle("html"))).alias("html"))
+
+
 def date_time(text: Column) -> tuple[Column, Column]:
     """A long date with a time at most 50 characters behind it, else a dotted date."""
     long = F.regexp_extract(text, LONG_DATE, 0)
@@ -44,16 +52,16 @@ def cards(pages: DataFrame, patterns: list[str] | None = None, require_keywords:
     The title is the card's text, else a title attribute, else made of the link.
     """
     found = F.flatten(F.array(*(F.regexp_extract_all("html", F.lit(p), 0) for p in patterns or [ANCHOR])))
-    rows = pages.select(*PAGE, F.posexplode(found).alias("place", "card"))
-    raw = clean_text(F.regexp_extract("card", r"""(?is)href=["']([^"']+)["']""", 1))
+    rows = settled(pages).select(*PAGE, F.posexplode(found).alias("place", "card"))
+    raw = clean_settled(F.regexp_extract("card", r"""(?is)href=["']([^"']+)["']""", 1))
     rows = rows.withColumn("link", absolute(raw, "base_url")).where(raw != "")
     rows = first_by(rows, ["site", "page_rank", "link"], "place")
     body = F.regexp_extract("card", r"(?is)^<[^>]+>(.*)</a>", 1)
-    own = strip_html(body)
+    own = strip_settled(body)
     named = F.when(~F.lower(own).isin("", "detay", "daha fazla"), own)
-    attributes = [filled(strip_html(F.regexp_extract("card", rf'(?i){a}="([^"]+)"', 1))) for a in ("title", "aria-label", "data-title")]
+    attributes = [filled(strip_settled(F.regexp_extract("card", rf'(?i){a}="([^"]+)"', 1))) for a in ("title", "aria-label", "data-title")]
     title = F.coalesce(named, *attributes, filled(slug_title("link")))
-    day, clock = date_time(clean_text(F.regexp_replace(body, "<[^>]+>", " ")))
+    day, clock = date_time(clean_settled(F.regexp_replace(body, "<[^>]+>", " ")))
     out = rows.withColumn("_title", title).where(F.col("_title").isNotNull())
     if require_keywords:
         out = out.where(event_like(F.concat_ws(" ", "_title", "card", "link")))
@@ -70,16 +78,16 @@ LABELS = {
 
 def fill_from_details(found: DataFrame, details: DataFrame, required: bool = False) -> DataFrame:
     """Items with their blanks filled from their pages (details: link, html); required: without a page they go."""
-    joined = found.join(details.select("link", F.col("html").alias("_page")), "link", "inner" if required else "left")
-    day, clock = date_time(F.array_join(H.lines("_page"), " "))
-    labelled = {k: H.label_value("_page", *v) for k, v in LABELS.items()}
-    more = {"title": H.title("_page"), "venue": labelled["venue"], "date": F.coalesce(labelled["date"], filled(day)), "time": F.coalesce(labelled["time"], filled(clock)), "description": F.coalesce(labelled["description"], H.body_text("_page")), "image": H.first_image("_page", "link")}
+    joined = found.join(settled(details.select("link", "html")).withColumnRenamed("html", "_page"), "link", "inner" if required else "left")
+    day, clock = date_time(F.array_join(H.lines("_page", True), " "))
+    labelled = {k: H.label_value("_page", *v, settled=True) for k, v in LABELS.items()}
+    more = {"title": H.title("_page", True), "venue": labelled["venue"], "date": F.coalesce(labelled["date"], filled(day)), "time": F.coalesce(labelled["time"], filled(clock)), "description": F.coalesce(labelled["description"], H.body_text("_page", settled=True)), "image": H.first_image("_page", "link")}
     return joined.select(*(F.coalesce(filled(c), more[c], F.lit("")).alias(c) if c in more else F.col(c) for c in ITEM), labelled["price_text"].alias("price_text"), F.col("_page").alias("html"))
 
 
 def label_lines(pages: DataFrame, categories: str = "Konser|Söyleşi|Tiyatro|Sergi|Sinema|Atölye|Festival|Müzik|Diğer") -> DataFrame:
     """Pages of lines: "Category | date" begins an item, its title is the first fit one of the next three lines."""
-    rows = pages.select(*PAGE, F.posexplode(H.lines("html")).alias("place", "line"), H.first_image("html", "base_url").alias("img"))
+    rows = settled(pages).select(*PAGE, F.posexplode(H.lines("html", True)).alias("place", "line"), H.first_image("html", "base_url").alias("img"))
     w = Window.partitionBy("site", "page_rank").orderBy("place")
     bare = F.trim(F.regexp_replace("line", "^[# ]+", ""))
     fit = F.when((bare != "") & ~F.upper(bare).isin("TÜM ETKİNLİKLERİMİZ", "BAKIRKÖY'DE BU HAFTA", "ETKİNLİKLERİMİZ"), bare)
@@ -95,13 +103,13 @@ def calendar_tables(pages: DataFrame) -> DataFrame:
     """Tables of a week: a row of seven dates, then a row of seven cells; each link of a cell is an item of its date."""
     tr = F.regexp_extract_all("html", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), 1)
     cells = lambda x: F.regexp_extract_all(x, F.lit(r"(?is)<td[^>]*>(.*?)</td>"), 1)
-    rows = pages.select(*PAGE, F.posexplode(tr).alias("row", "body"))
+    rows = settled(pages).select(*PAGE, F.posexplode(tr).alias("row", "body"))
     w = Window.partitionBy("site", "page_rank").orderBy("row")
     rows = rows.withColumn("next", F.lead("body").over(w)).where(~F.contains("next", F.lit("Etkinlik Bulunmamaktad")))
-    rows = rows.withColumn("days", F.transform(cells(F.col("body")), strip_html)).withColumn("cells", cells(F.col("next"))).where("size(days) = 7 and size(cells) = 7")
+    rows = rows.withColumn("days", F.transform(cells(F.col("body")), strip_settled)).withColumn("cells", cells(F.col("next"))).where("size(days) = 7 and size(cells) = 7")
     each = rows.select(*PAGE, "row", F.posexplode(F.arrays_zip("days", "cells")).alias("day_no", "z"))
     anchors = each.select(*PAGE, "row", "day_no", F.col("z.days").alias("day"), F.posexplode(F.regexp_extract_all("z.cells", F.lit(ANCHOR), 0)).alias("nth", "card"))
-    title = F.trim(F.regexp_replace(strip_html(F.regexp_extract("card", r"(?is)^<[^>]+>(.*)</a>", 1)), "^[* ]+", ""))
+    title = F.trim(F.regexp_replace(strip_settled(F.regexp_extract("card", r"(?is)^<[^>]+>(.*)</a>", 1)), "^[* ]+", ""))
     out = anchors.withColumn("_title", title).withColumn("place", F.col("row") * 10_000 + F.col("day_no") * 1_000 + F.col("nth")).where((F.col("_title") != "") & (F.col("day") != "") & ~F.contains(F.lower("_title"), F.lit("rezervasyon")))
     return items(out, title=F.col("_title"), date=F.col("day"), description=F.col("_title"), image=absolute(F.regexp_extract("card", r"""(?is)href=["']([^"']+)["']""", 1), "base_url"))
 
@@ -116,8 +124,8 @@ def link_lists(pages: DataFrame, pattern: str) -> DataFrame:
 def blocks(pages: DataFrame, pattern: str, groups: dict[str, int], fallback: str = ANCHOR) -> DataFrame:
     """Blocks whose fields are groups of one pattern; pages without any give their plain links instead."""
     whole = F.regexp_extract_all("html", F.lit(pattern), 0)
-    rows = pages.select(*PAGE, F.posexplode(whole).alias("place", "block"))
-    part = {k: strip_html(F.regexp_extract("block", pattern, i)) for k, i in groups.items() if k != "link"}
+    rows = settled(pages).select(*PAGE, F.posexplode(whole).alias("place", "block"))
+    part = {k: strip_settled(F.regexp_extract("block", pattern, i)) for k, i in groups.items() if k != "link"}
     link = absolute(F.regexp_extract("block", pattern, groups["link"]), "base_url") if "link" in groups else F.col("base_url")
     found = items(rows, **part, link=link)
     plain = cards(pages, [fallback], require_keywords=False)
@@ -127,19 +135,19 @@ def blocks(pages: DataFrame, pattern: str, groups: dict[str, int], fallback: str
 def windows(pages: DataFrame, card: str, within: int = 600) -> DataFrame:
     """Cards (link, title groups) with the date, venue and category found in the characters behind each."""
     spans = F.regexp_extract_all("html", F.lit(rf"(?is){card}.{{0,{within}}}"), 0)
-    rows = pages.select(*PAGE, F.posexplode(spans).alias("place", "span"))
-    rest = clean_text(F.regexp_replace(F.regexp_replace("span", rf"(?is)^{card}", " "), "<[^>]+>", " "))
+    rows = settled(pages).select(*PAGE, F.posexplode(spans).alias("place", "span"))
+    rest = clean_settled(F.regexp_replace(F.regexp_replace("span", rf"(?is)^{card}", " "), "<[^>]+>", " "))
     day, clock = date_time(rest)
     venue = F.regexp_extract("span", r"""(?is)class=["'][^"']*(?:venue|mekan|location)[^"']*["'][^>]*>(.*?)<""", 1)
-    return items(rows, title=strip_html(F.regexp_extract("span", rf"(?is){card}", 2)), link=absolute(F.regexp_extract("span", rf"(?is){card}", 1), "base_url"), venue=F.coalesce(filled(strip_html(venue)), F.col("site")), date=day, time=clock, description=F.substring(rest, 1, within))
+    return items(rows, title=strip_settled(F.regexp_extract("span", rf"(?is){card}", 2)), link=absolute(F.regexp_extract("span", rf"(?is){card}", 1), "base_url"), venue=F.coalesce(filled(strip_settled(venue)), F.col("site")), date=day, time=clock, description=F.substring(rest, 1, within))
 
 
 def dated_links(pages: DataFrame) -> DataFrame:
     """"dd.mm.yyyy hh:mm ... href ... title" entries."""
     p = r"""(?is)(\d{2}\.\d{2}\.\d{4})\s+(\d{2}:\d{2}).*?href=["']([^"']+)["'][^>]*>(.*?)</a>"""
     zipped = F.arrays_zip(*(F.regexp_extract_all("html", F.lit(p), i).alias(n) for i, n in ((1, "day"), (2, "clock"), (3, "href"), (4, "name"))))
-    rows = pages.select(*PAGE, F.posexplode(zipped).alias("place", "z"))
-    return items(rows, title=strip_html("z.name"), link=absolute("z.href", "base_url"), date=F.col("z.day"), time=F.col("z.clock"), description=strip_html("z.name"))
+    rows = settled(pages).select(*PAGE, F.posexplode(zipped).alias("place", "z"))
+    return items(rows, title=strip_settled("z.name"), link=absolute("z.href", "base_url"), date=F.col("z.day"), time=F.col("z.clock"), description=strip_settled("z.name"))
 
 
 # Where posts keep their dates, times, venues and prices.
@@ -167,7 +175,7 @@ def posts(rows: DataFrame, as_of: Column | str | None = None) -> DataFrame:
         texts = F.col("_post.texts") if texts is None else texts
         return F.get(F.filter(F.slice(texts, *at[name]), lambda x: x.isNotNull()), 0)
 
-    parsed = rows.withColumn("_v", F.try_parse_json("item"))
+    parsed = rows.withColumn("_v", F.try_parse_json(settle("item")))
     posted = first_filled(*(F.try_variant_get("_v", f"$.{k}", "string") for k in ("date_gmt", "date")))
     read = F.struct(H.variant_texts("_v", paths).alias("texts"), F.get(H.variant_images("_v"), 0).alias("image"), posted.alias("posted"))
     # exploding one struct, or none, keeps posts with a title without a filter that would be pushed below the parsing
@@ -206,7 +214,7 @@ def plain_windows(pages: DataFrame) -> DataFrame:
 
 def passed_on(pages: DataFrame) -> DataFrame:
     """Pages whose html is already JSON items of the scans' own columns (title, link, venue, date, time, description, image)."""
-    rows = pages.select(*PAGE, F.posexplode(F.from_json("html", "array<string>")).alias("place", "item"))
+    rows = settled(pages).select(*PAGE, F.posexplode(F.from_json("html", "array<string>")).alias("place", "item"))
     get = lambda k: F.get_json_object("item", f"$.{k}")
     return items(rows, **{k: get(k) for k in ("title", "link", "venue", "date", "time", "description", "image")})
 

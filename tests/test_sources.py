@@ -236,3 +236,19 @@ def test_xml_order(spark, tmp_path):
     body = "<rss>" + "".join(f"<item><title>t{i}</title><id>{(i * 7) % 50}</id></item>" for i in range(50)) + "</rss>"
     rows = readers.xml_items(spark, landed(tmp_path, "f.xml", body), ["title", "id"]).orderBy("path", "block", "place").collect()
     assert [r.title for r in rows] == [f"t{i}" for i in range(50)]
+
+
+def test_entities_in_scans(spark):
+    """All entities are resolved in what a user gets from pages, details, posts and builders, however they are written."""
+    card = "<a href='/m' title='x'>M&uuml;zik &ccedil;al&#305;&#351;ma&rsquo;s&#x131; &amp;lt; konser 5 A&#287;ustos 2026 20:00</a>"
+    want = "Müzik çalışma’sı &lt; konser 5 Ağustos 2026 20:00"
+    (row,) = pages.cards(page(spark, card)).collect()
+    assert (row.title, row.date, row.time) == (want, "5 Ağustos 2026", "20:00")
+    post = json.dumps([{"title": {"rendered": "Caz &quot;&ccedil;&quot; &#8211; &#34;x&#34;"}, "content": "a&#10;b &lt;i&gt; &hellip;", "acf": {"venue": "Salon &Ouml;"}, "date": "2026-07-01"}])
+    (row,) = pages.posts_or_cards(page(spark, post)).collect()
+    assert (row.title, row.venue, row.description) == ('Caz "ç" – "x"', "Salon Ö", "a b <i> …")
+    found = pages.link_lists(page(spark, "<a href='/a'>"), "href='([^']+)'")
+    detail = spark.createDataFrame([("https://s.bel.tr/a", "<h1>B&uuml;y&uuml;k Konser</h1><p>Yer: Meydan &Ccedil;</p><p>Tarih: 5 Temmuz 2026</p><p>Saat: 21:00</p>" + " " * 200)], "link string, html string")
+    full = pages.fill_from_details(found, detail, required=True).withColumn("city", F.lit("İstanbul"))
+    (row,) = builders.from_web(full, 120, AS_OF).collect()
+    assert (row.title, row.occurrences[0].venue_name) == ("Büyük Konser", "Meydan Ç")
