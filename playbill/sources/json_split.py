@@ -151,4 +151,4 @@ def land_arrays(rows: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
         yield pa.RecordBatch.from_arrays([pa.array(["\n]" if began else "[]"])], ["value"])
 
-    rows.mapInArrow(bracketed, "value string").write.option("lineSep", " ").text(path)
+    rows.toDF("value").mapInArrow(bracketed, "value string").write.option("lineSep", " ").text(path)
