@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from playbill.functions.columns import cases, col, filled, lookup, ordered_distinct
 from playbill.functions.text import normalize_for_match
 from playbill.functions.urls import host_of, url_key
+from playbill.operators.patterns import find_patterns
 
 # The providers in their order, their spellings (letters and digits only), and the tags they are shown by.
 PROVIDERS = ["Ticketmaster", "MunicipalRSS", "MunicipalWeb", "SerpAPIEvents", "SerpAPILocal", "BiletimGO"]
@@ -62,6 +63,16 @@ def municipal_labels(links: Column | str, texts: Column | str, municipalities: d
     return F.array_distinct(F.filter(F.concat(by_host, by_token, named), lambda x: F.coalesce(x, F.lit("")) != ""))
 
 
+def labels_by_token(rows: DataFrame, keys: list[str], texts: str, registry: DataFrame) -> DataFrame:
+    """keys and label: labels of a registry (label, token) of any size whose token is in a row's texts, folded for matching.
+
+    What municipal_labels() does for a small dictionary, by one automaton of all tokens.
+    """
+    folded = rows.select(*keys, F.array_join(F.transform(col(texts), normalize_for_match), " ").alias("_folded"))
+    tokens = registry.select("label", normalize_for_match("token").alias("pattern")).where("pattern <> ''").distinct()
+    return find_patterns(folded, "_folded", keys, tokens).join(tokens, "pattern").select(*keys, "label").distinct()
+
+
 def payload(events: DataFrame, municipalities: dict[str, tuple[str, str]] | None = None, providers: str = "providers", links: str = "source_urls", texts: str = "candidate_texts") -> DataFrame:
     """events with providers, source_urls, provider_tags, provider_label and provider from arrays of names, links and texts."""
     labels = municipal_labels(links, texts, municipalities) if municipalities else F.array().cast("array<string>")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playbill.functions import dates, field_prices, html, prices, rules, text, urls
@@ -253,11 +256,12 @@ def price_structs(t, spark):
     return made.select("p_partkey", F.col("r.resolution.strategy").alias("strategy"), F.col("r.min_value").alias("low"), F.col("r.is_free").alias("is_free"), F.col("r.resolution.confidence").alias("confidence"), "partner", "feed", "chosen")
 
 
-@query("select page_id, 2 as n_links, 'Ticketmaster, BiletimGO, Zeta' as providers from pages")
+@query("select page_id, case when page_id % 3 = 2 then 3 else 2 end as n_links, case page_id % 3 when 0 then 'Ticketmaster, BiletimGO, Zeta' when 1 then 'SerpAPIEvents, Alpha, Beta' else '' end as providers from pages")
 def link_lists(t, spark):
     """Links that differ by scheme, query or slash are one; names held together by bars, in their order."""
-    links = F.array(F.col("url"), F.lit(" "), F.concat(F.lit("https://www."), urls.url_key("url"), F.lit("/?x=1")), F.lit("other.test/a"))
-    names = provenance.canonical_providers(F.array(F.lit("Zeta|biletimGO partner"), F.lit("n/a"), F.lit("TICKETMASTER"), F.lit(None).cast("string")))
+    more = _of("page_id", " ", "OTHER.test/a/", "http://third.test/b")
+    links = F.array(F.col("url"), F.lit(" "), F.concat(F.lit("https://www."), urls.url_key("url"), F.lit("/?x=1")), F.lit("other.test/a"), more)
+    names = provenance.canonical_providers(F.array(_of("page_id", "Zeta|biletimGO partner", "Beta", "none"), F.lit("n/a"), _of("page_id", "TICKETMASTER", "serpapi-events|Alpha|Beta", " "), F.lit(None).cast("string")))
     return t("pages").select("page_id", F.size(provenance.distinct_links(links)).cast("long").alias("n_links"), F.array_join(names, ", ").alias("providers"))
 
 
@@ -270,11 +274,14 @@ def match_labels(t, spark):
     return match.match_labels(probes, known).select("c_custkey", "matched", "label")
 
 
-@query(f"select c.city, t.category, replace(t.template, '{{city}}', c.city) as search, g.category as trend from (select unnest({trends.CITIES}) as city) c cross join (select unnest({list(dims.QUERY_TEMPLATES)}) as category, unnest({list(dims.QUERY_TEMPLATES.values())}) as template) t join (select unnest({rules.TREND_CATEGORIES}) as category) g on true")
+@query(f"select c.city, t.category, replace(t.template, '{{city}}', c.city) as search, g.category as trend, c.n as customers from (select {trends.CITIES}[c_nationkey % {len(trends.CITIES)} + 1] as city, count(*) as n from customer group by 1) c cross join (select unnest({list(dims.QUERY_TEMPLATES)}) as category, unnest({list(dims.QUERY_TEMPLATES.values())}) as template) t join (select unnest({rules.TREND_CATEGORIES}) as category) g on true")
 def search_plan(t, spark):
-    """Every search template and every category of the report for each of its cities."""
+    """Every search template and every category of the report for each city that has customers, and how many."""
+    town = F.element_at(F.array(*map(F.lit, trends.CITIES)), F.col("c_nationkey") % len(trends.CITIES) + 1)
+    living = t("customer").groupBy(town.alias("city")).agg(F.count("*").alias("customers"))
     searches = dims.queries(spark, trends.CITIES).withColumnRenamed("query", "search")
-    return searches.join(trends.plan(spark).select("city", F.col("category").alias("trend")), "city")
+    cells = trends.plan(spark).select("city", F.col("category").alias("trend"))
+    return searches.join(cells, "city").join(living, "city").select("city", "category", "search", "trend", "customers")
 
 
 @query(
@@ -302,3 +309,31 @@ def retention(t, spark):
 
     rows = t("events").select("event_id", "ts", (F.col("event_type") == "click").alias("is_active"))
     return retire(rows, "2024-01-15", "ts").select("event_id", "is_active")
+
+
+@query(
+    "with rows as (select user_id, row_number() over (partition by user_id order by event_id) - 1 as place, event_type, event_id from events)"
+    " select user_id, 'trending_now' as scan, '' as list, place::integer as place, event_type as said from rows"
+    " union all select user_id, 'interest_over_time', '', place::integer, event_id::varchar from rows"
+    " union all select user_id, 'related_topics', case when event_type = 'click' then 'top' else 'rising' end, (row_number() over (partition by user_id, event_type = 'click' order by event_id) - 1)::integer, event_id::varchar from rows"
+    " union all select user_id, 'google_events', '', place::integer, event_type from rows where user_id % 2 = 0"
+)
+def trend_answers(t, spark):
+    """The four kinds of trend answers, one a user and kind, made of the user's events; some hold no list."""
+    rows = F.array_sort(F.collect_list(F.struct("event_id", "event_type")))
+    users = t("events").groupBy("user_id").agg(rows.alias("rows"))
+    typed = F.transform("rows", lambda r: F.struct(r["event_type"].alias("query")))
+    ids = lambda keep: F.transform(F.filter("rows", keep), lambda r: F.struct(r["event_id"].alias("value")))
+    every = F.lit(True)
+    bodies = {
+        "trending_now": F.to_json(F.struct(typed.alias("trending_searches"))),
+        "interest_over_time": F.to_json(F.struct(F.struct(ids(lambda r: every).alias("timeline_data")).alias("interest_over_time"))),
+        "related_topics": F.to_json(F.struct(F.struct(ids(lambda r: r["event_type"] == "click").alias("top"), ids(lambda r: r["event_type"] != "click").alias("rising")).alias("related_topics"))),
+        "google_events": F.when(F.col("user_id") % 2 == 0, F.to_json(F.struct(typed.alias("events_results")))).otherwise('{"error":"none"}'),
+    }
+    parts = []
+    for scan, body in bodies.items():
+        items = trends.answer_items(users.select("user_id", body.alias("body")), scan)
+        said = F.coalesce(F.get_json_object("item", "$.query"), F.get_json_object("item", "$.value"))
+        parts.append(items.select("user_id", F.lit(scan).alias("scan"), "list", "place", said.alias("said")))
+    return reduce(DataFrame.union, parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from playbill.operators import patterns
+from playbill.operators import patterns, provenance
 from playbill.plans.queries import query
 from playbill.sources import json_split, paged, pages, readers, sinks
 from playbill.storage import scratch
@@ -252,3 +252,18 @@ def page_details(t, spark):
     html = _text("<title>no</title><h1>", _part("name"), "</h1><p>Konum : Meydan ", _part("brand"), "</p><ul><li>Tarih: ", _part("day"), " ", _part("month"), " 2026</li><li>Saat: ", _part("clock"), "</li></ul><p>Ücret: 75 TL</p>")
     details = t("part").where("p_partkey % 5 > 0").select(_text(f"{SHOP}/", _part("key")).alias("link"), html.alias("html"))
     return pages.fill_from_details(found, details, required=True).select("page_rank", "title", "venue", "date", "time", "price_text")
+
+
+@query(
+    """
+with registry as (select p_brand as label, lower(p_name) as token from part union select 'x' || c_mktsegment, lower(substr(c_mktsegment, 1, 4)) from customer),
+texts as (select o_orderkey, 'Halle ' || p_name || ' ' || o_orderpriority || ' ' || coalesce(c_mktsegment, '') as text from orders left join part on p_partkey = o_orderkey % 500 left join customer on c_custkey = o_custkey)
+select distinct o_orderkey, label from texts join registry on contains(trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9_ ]+', '', 'g'), ' +', ' ', 'g')), token)
+"""
+)
+def token_labels(t, spark):
+    """Labels of a registry of tokens that are in an order's texts."""
+    registry = t("part").select(F.col("p_brand").alias("label"), F.upper("p_name").alias("token")).union(t("customer").select(F.concat(F.lit("x"), "c_mktsegment"), F.substring("c_mktsegment", 1, 4)))
+    o = t("orders").join(t("part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("o_orderkey") % 500, "left").join(t("customer").select("c_custkey", "c_mktsegment"), F.col("c_custkey") == F.col("o_custkey"), "left")
+    rows = o.where("p_name is not null").select("o_orderkey", F.array(F.concat(F.lit("HALLE  "), "p_name"), F.col("o_orderpriority"), F.col("c_mktsegment")).alias("texts"))
+    return provenance.labels_by_token(rows, ["o_orderkey"], "texts", registry)

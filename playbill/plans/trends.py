@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playbill.functions.dates import display_date
@@ -14,6 +14,30 @@ from playbill.operators.filters import in_next_week
 CITIES = ["İstanbul", "İzmir", "Ankara", "Bursa", "Eskişehir", "Antalya", "Denizli"]
 
 
+# Where each kind of trend answer has its lists, and the periods that can be asked for.
+ANSWER_LISTS = {
+    "trending_now": {"": "$.trending_searches"}, "interest_over_time": {"": "$.interest_over_time.timeline_data"},
+    "related_topics": {"top": "$.related_topics.top", "rising": "$.related_topics.rising"}, "google_events": {"": "$.events_results"},
+}
+WEEK, MONTH = "now 7-d", "today 1-m"
+
+
+def period(days) -> Column:
+    """The period by which a look-back of so many days is asked for."""
+    return F.when(F.col(days) <= 7, WEEK).otherwise(MONTH) if isinstance(days, str) else F.lit(WEEK if days <= 7 else MONTH)
+
+
+def answer_items(answers: DataFrame, scan: str, body: str = "body") -> DataFrame:
+    """Items of landed answers of a kind (ANSWER_LISTS): the answers' other columns, list, place and item as JSON text.
+
+    Each answer is parsed once. Answers that are no JSON, or without the list, have no items; elements of any kind stay.
+    """
+    parsed = answers.withColumn("_v", F.try_parse_json(body)).drop(body)
+    lists = F.array(*(F.struct(F.lit(name).alias("list"), F.try_variant_get("_v", path, "array<variant>").alias("items")) for name, path in ANSWER_LISTS[scan].items()))
+    each = parsed.select(*(c for c in parsed.columns if c != "_v"), F.inline(lists))
+    return each.select(*(c for c in each.columns if c != "items"), F.posexplode("items").alias("place", "_item")).withColumn("item", F.to_json("_item")).drop("_item")
+
+
 def overlap_scores(rows: DataFrame, wanted: DataFrame, id_col: str, text_col: str, wanted_col: str) -> DataFrame:
     """id and score: how many distinct tokens each row shares with any of the wanted texts; rows without one are absent."""
     words = wanted.select(F.explode(tokens(wanted_col)).alias("token")).distinct()
