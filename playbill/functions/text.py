@@ -65,7 +65,8 @@ def settle(text: Column | str) -> Column:
     change a JSON text are kept as well: quotes as entities, control characters as spaces.
     """
     kept = {"<": "&lt;", ">": "&gt;", '"': "&quot;", "'": "&#39;", "&": "&amp;", **{chr(c): " " for c in range(32)}}
-    return _entities(text, lambda char: F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in kept.items() for x in pair)), char), char))
+    found = _entities(text, lambda char: F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for pair in kept.items() for x in pair)), char), char))
+    return F.when(F.contains(col(text), F.lit("&")), found).otherwise(col(text))
 
 
 def _entities(text: Column | str, write) -> Column:
