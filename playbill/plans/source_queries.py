@@ -257,7 +257,7 @@ def page_details(t, spark):
 @query(
     """
 with registry as (select p_brand as label, lower(p_name) as token from part union select 'x' || c_mktsegment, lower(substr(c_mktsegment, 1, 4)) from customer),
-texts as (select o_orderkey, 'Halle ' || p_name || ' ' || o_orderpriority || ' ' || coalesce(c_mktsegment, '') as text from orders left join part on p_partkey = o_orderkey % 500 left join customer on c_custkey = o_custkey)
+texts as (select o_orderkey, 'Halle ' || p_name || ' ' || o_orderpriority || ' ' || coalesce(c_mktsegment, '') as text from orders left join part on p_partkey = o_orderkey % 500 left join customer on c_custkey = o_custkey),
 tokens as (select distinct token from registry),
 folded as (select o_orderkey, trim(regexp_replace(regexp_replace(lower(text), '[^a-z0-9_ ]+', '', 'g'), ' +', ' ', 'g')) as text from texts),
 found as (select o_orderkey, token from folded join tokens on contains(text, token))
