@@ -529,3 +529,61 @@ def test_rights_reserved(spark):
     got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.family) for r in got} == {(70 + i, "proprietary") for i in range(len(notices))}
 
+
+
+def test_license_forms(spark):
+    """Short forms, texts of long licences, near-identical families, denials, licences of no family, ties, a very long text."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("aeioubdgklmnprst", k=rng.randint(2, 9)))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software."
+    cases = [
+        ({"Apache-2.0"}, "SPDX-License-Identifier: Apache-2.0"), ({"MIT"}, "License: MIT"), ({"GPL"}, "Licensed under GPLv3."), ({"LGPL"}, "// SPDX-License-Identifier: LGPL-2.1-or-later"), ({"GPL"}, "SPDX-License-Identifier: GPL-2.0+"),
+        ({"GPL"}, "The GNU General Public License is a free, copyleft license for software and other kinds of works."),
+        ({"Apache-2.0"}, "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."),
+        ({"WTFPL"}, "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE"), ({"proprietary"}, "This file contains confidential and proprietary information of Example Inc."),
+        ({"Artistic-2.0"}, "This library is free software; you can redistribute it and/or modify it under the terms of the Artistic License 2.0."), ({"MIT"}, mit),
+        (set(), "You may not use the material for commercial purposes."), (set(), "This tool is not licensed under the MIT License."), (set(), "It was never released\nunder the Apache License, Version 2.0, whatever they say."),
+        ({"unknown"}, "This work is licensed under the Open Gate Data License, version 1.2."), ({"unknown"}, "SPDX-License-Identifier: LicenseRef-Gate"),
+        ({"MIT", "Apache-2.0"}, "Licensed under the MIT License.\n\nLicensed under the Apache License, Version 2.0."), ({"MIT"}, "This tool is not licensed under the Apache License, Version 2.0. It is licensed under the MIT License."),
+        ({"MIT"}, filler(40_000) + "\nReleased under the MIT License.\n" + filler(40_000)),
+    ]
+    rows = [(i, "\n".join(filler(rng.randint(5, 150)) for _ in range(4))) for i in range(80)]
+    rows += [(100 + i, filler(80) + "\n\n" + t + "\n\n" + filler(30)) for i, (_, t) in enumerate(cases)]
+    got: dict[int, set] = {}
+    for r in licenses.scan(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, family string, id int")).collect():
+        got.setdefault(r.doc_id, set()).add(r.family)
+    wrong = [(f, got.get(100 + i, set()), t[:80]) for i, (f, t) in enumerate(cases) if got.get(100 + i, set()) != f]
+    assert not wrong and not [d for d in got if d < 100], wrong
+
+
+def test_license_templates():
+    """Every paragraph that names its licence keeps a template; no template's marks are another family's words."""
+    made = licenses.marked_templates()
+    for family, paragraphs in licenses.LICENCES.items():
+        own = [set(ws) for f, ws, _ in made if f == family]
+        assert all(any(ws <= set(licenses._plain(p)) for ws in own) for p in paragraphs)
+    full = {}
+    for family, ws, marks in made:
+        if marks:
+            have = set(licenses._grams(ws))
+            for other, ts, need in made:
+                if need and other != family and set(need) <= have and len(set(licenses._grams(ts)) & have) >= licenses.CONFIRM * len(set(licenses._grams(ts))):
+                    full[family, other] = ws
+    assert not full, full
+
+
+def test_likeness_is_all_templates(spark):
+    """Looking templates up by marks confirms what comparing every window with every template does."""
+    stated, other = held_out()
+    texts = [t for _, t in stated] + other + [" ".join(ws) for _, ws in licenses.templates()]
+    wins = [licenses._plain(t)[:64] for t in texts]
+    want = set()
+    for i, ws in enumerate(wins):
+        own = set(licenses._grams(ws))
+        for f, ts, marks in licenses.marked_templates():
+            tg = set(licenses._grams(ts))
+            if set(marks) <= own and len(own & tg) / len(tg) >= licenses.CONFIRM:
+                want.add((i, f, round(len(own & tg) / len(tg), 9)))
+    pieces = spark.createDataFrame(list(enumerate(wins)), "n int, ws array<string>")
+    assert {(r.n, r.known, round(r.likeness, 9)) for r in licenses.likeness(pieces).collect()} == want
