@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from playbill.llm.common import Forest, bounded_groups, run_pairs, run_starts, whole_runs
@@ -168,6 +168,10 @@ def _decider(similarity: float):
         for table in whole_runs(batches, keys, 64):
             sets = [np.frombuffer(s, np.uint64) for s in table["shingles"].to_pylist()]
             forest = Forest(len(sets))
+            part = table["part"].to_numpy()
+            order = np.argsort(part, kind="stable")
+            same = part[order[1:]] == part[order[:-1]]
+            forest.join(order[1:][same], order[:-1][same])  # these hang together already
             for i, j in _candidates(table, keys, similarity, forest, 1 << 12):
                 for x, y in zip(i.tolist(), j.tolist()):  # those that hang together by now need no look
                     if forest.label[x] != forest.label[y] and alike(sets[x], sets[y], similarity):
@@ -177,6 +181,40 @@ def _decider(similarity: float):
     return run
 
 
+def _hash_of(n: Column) -> Column:
+    return F.pmod(F.xxhash64("node"), n).cast("int")
+
+
+def first_blocks(crowd: DataFrame) -> DataFrame:
+    """Each set in one block of about SET_BLOCK sets of its component; the component's smallest node in all of its blocks.
+
+    large tells components of several blocks: their blocks don't meet but over that node.
+    """
+    sizes = crowd.groupBy("component").count().where(F.col("count") > SET_BLOCK)
+    chunks = F.coalesce(F.ceil(F.col("count") / F.lit(SET_BLOCK)), F.lit(1)).cast("int")
+    at = F.when(F.col("node") == F.col("component"), F.sequence(F.lit(0), chunks - 1)).otherwise(F.array(_hash_of(chunks)))
+    laid = crowd.join(sizes, "component", "left").withColumn("block_a", F.explode(at)).withColumn("large", F.col("count").isNotNull()).drop("count")
+    return laid.withColumn("block_b", F.col("block_a")).withColumn("side", F.lit(0)).withColumn("part", F.col("node"))
+
+
+def further_blocks(crowd: DataFrame) -> DataFrame:
+    """Blocks in which all pairs of a component's sets meet whose parts (sets that hang together) differ.
+
+    Components of one part have none. Sets of the largest part, if that is over a block, meet the
+    other parts' sets only.
+    """
+    sizes = crowd.groupBy("component", "part").count()
+    main = sizes.groupBy("component").agg(F.max(F.struct("count", "part")).alias("main"), F.sum("count").alias("whole"), F.count("*").alias("parts")).where("parts > 1")
+    alone = F.when(F.col("main.count") > SET_BLOCK, F.col("main.count")).otherwise(0)
+    main = main.select("component", "main.part", alone.alias("alone"), F.col("whole")).withColumnRenamed("part", "largest")
+    chunks = lambda n: F.ceil(n / F.lit(SET_BLOCK)).cast("int")
+    main = main.withColumn("mixed", chunks(F.col("whole") - F.col("alone"))).withColumn("pure", chunks(F.col("alone")))
+    apart = (F.col("pure") > 0) & (F.col("part") == F.col("largest"))
+    rows = crowd.join(main, "component").withColumn("side", F.when(apart, F.col("mixed") + _hash_of(F.greatest("pure", F.lit(1)))).otherwise(_hash_of(F.col("mixed"))))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(apart, F.col("mixed")).otherwise(F.col("mixed") + F.col("pure")) - 1)))
+    return rows.withColumn("block_a", F.least("side", "other")).withColumn("block_b", F.greatest("side", "other"))
+
+
 def _laid(rows: DataFrame, keys: list[str]) -> DataFrame:
     # comparing is more work than the rows' size tells: as many tasks as a shuffle has
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -193,8 +231,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Sets are told apart by 64-bit hashes. Ids are numbers. Texts without words (null, empty) and
     rows without an id have no row here. Repeated rows each return. No rows in, no rows out.
 
-    Proposals only make groups; in a group all pairs meet, SET_BLOCK sets at a time, save those
-    already linked over others. So a group of m sets costs m / SET_BLOCK copies of each.
+    Proposals only make groups. In a first pass each set of a group is shipped once, SET_BLOCK at a
+    time, and one set of the group meets all. Groups up to SET_BLOCK are done then, and larger
+    ones if all their sets hang together; of others the sets that don't hang with the largest part
+    meet all sets of the group. With r such sets in a group of m this ships about 2 m r / SET_BLOCK sets.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = materialize(texts.mapInArrow(_sign(words, similarity), SIGNED), "signed")
@@ -207,10 +247,20 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     crowd = connected_components(proposed).join(nodes.select("node", "least", "n", "sketch"), "node")
     crowd = materialize(crowd, "crowd")
     whole = texts.join(crowd.select(F.col("least").alias("id")).distinct(), "id", "left_semi").select("text").mapInArrow(_sets(words), "node long, shingles binary")
+    whole = materialize(whole, "shingles")
     order = ["component", "block_a", "block_b"]
-    blocks = bounded_groups(crowd.select("node", "component", "n", "sketch"), ["component"], "node", SET_BLOCK)
-    pool = blocks.join(materialize(whole, "shingles"), "node").select(*order, "side", "node", "n", "sketch", "shingles")
-    linked = _laid(pool, order).mapInArrow(_decider(similarity), "a long, b long")
+
+    def decided(blocks: DataFrame, name: str) -> DataFrame:
+        pool = blocks.join(whole, "node").select(*order, "side", "part", "node", "n", "sketch", "shingles")
+        return materialize(_laid(pool, order).mapInArrow(_decider(similarity), "a long, b long"), name)
+
+    blocks = first_blocks(crowd.select("node", "component", "n", "sketch"))
+    linked = decided(blocks, "linked")
+    large = materialize(blocks.where("large").select("node", "component", "n", "sketch").distinct(), "large-groups")
+    if not large.isEmpty():
+        hang = connected_components(linked.join(large.select(F.col("node").alias("a")), "a", "left_semi").select("a", "b")).withColumnRenamed("component", "part")
+        parts = materialize(large.join(hang, "node", "left").withColumn("part", F.coalesce("part", "node")), "group-parts")
+        linked = linked.union(decided(further_blocks(parts), "linked-later"))
     # rows of one id hang together too
     first = rows.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("last")).where("b <> last").select("id", "b")
     same = rows.select("id", F.col("node").alias("a")).join(first, "id").where("a <> b").select("a", "b")

@@ -151,6 +151,28 @@ def test_near_copies(spark, docs, none, block, monkeypatch):
     assert near_copies.near_copies(none).count() == 0
 
 
+def test_near_copy_blocks(spark, monkeypatch):
+    """Large groups that hang together are shipped once; all pairs of different parts meet, those of the largest part don't."""
+    monkeypatch.setattr(near_copies, "SET_BLOCK", 10)
+    shapes = {1: [200], 2: [150, 3, 1], 3: [4, 4, 4, 4], 4: [30, 25, 1], 5: [7]}
+    rows = [(c * 1000 + i, c * 1000, c * 1000 + 100 + k) for c, sizes in shapes.items() for i, k in enumerate(k for k, n in enumerate(sizes) for _ in range(n))]
+    crowd = spark.createDataFrame(rows, "node long, component long, part long")
+    first = near_copies.first_blocks(crowd.drop("part")).toPandas()
+    assert len(first) <= 1.2 * len(rows) and set(first.node) == {r[0] for r in rows} and first.groupby(["component", "block_a"]).size().max() < 40
+    part = {n: k for n, _, k in rows}
+    later = near_copies.further_blocks(crowd).toPandas()
+    assert set(later.component) == {2000, 3000, 4000} and (later.component == 2000).sum() < 250
+    met = set()
+    for _, block in later.groupby(["component", "block_a", "block_b"]):
+        got = list(zip(block.node, block.side))
+        for i, (x, a) in enumerate(got):
+            for y, b in got[:i]:
+                if block.block_a.iloc[0] == block.block_b.iloc[0] or a != b:
+                    met.add((min(x, y), max(x, y)))
+    want = {(x, y) for x, c, k in rows for y, d, j in rows if x < y and c == d and k != j}
+    assert want <= met and not any(part[x] == part[y] == 2100 for x, y in met)
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((40, 16))
