@@ -22,6 +22,11 @@ def first_filled(*xs: Column | str) -> Column:
     return F.coalesce(*(filled(x) for x in xs))
 
 
+def once(value: Column, use) -> Column:
+    """use(value) with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def cases(pairs: Iterable[tuple[Column, object]], default: object = None) -> Column:
     """The value of the first condition that holds; conditions keep their order."""
     out = None

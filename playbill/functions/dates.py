@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from playbill.functions.columns import cases, col
+from playbill.functions.columns import cases, col, once
 from playbill.functions.text import ascii_fold, clean_settled, trend_fold
 
 ZONE = "Europe/Istanbul"
@@ -149,37 +149,47 @@ def event_date(text: Column | str, posted: Column | str, as_of: Column | str, wi
 
     def pick(s: Column) -> Column:  # the text is worked out once
         x, now, post = s["text"], s["now"], s["post"]
-        behind = r"(?=((?s:.{0," + str(within) + r"})))"
 
         def each(pattern: str, *groups: str) -> Column:
-            return F.arrays_zip(*(F.regexp_extract_all(x, F.lit(pattern + behind), i).alias(g) for i, g in enumerate(groups, 1)))
+            """The groups of each match and what stands behind it: the text is searched once, its matches are taken apart."""
+            found = F.regexp_extract_all(x, F.lit(rf"(?=((?:{pattern})(?s:.{{0,{within}}})))(?:{pattern})"), 1)
+            parts = lambda m: [F.regexp_extract(m, "^" + pattern, i).alias(g) for i, g in enumerate(groups, 1)]
+            return F.transform(found, lambda m: F.struct(*parts(m), F.regexp_replace(m, "^" + pattern, "").alias("rest")))
 
         def number(t: Column) -> Column:
-            return t.try_cast("int")
+            return F.nullif(t, F.lit("")).cast("int")  # digits or nothing: a failing cast would cost more than all else
 
         def read(year: Column, month: Column, day: Column, rest: Column) -> Column:
-            clock = r"(\d{1,2})[:.](\d{2})"
-            hour, minute = (number(F.regexp_extract(rest, clock, i)) for i in (1, 2))
-            timed = F.coalesce((hour <= 23) & (minute <= 59), F.lit(False))
-            own = F.try_to_timestamp(F.concat_ws("-", F.coalesce(year, F.year(post)), month, day), F.lit("yyyy-M-d"))
-            rolled = F.when(year.isNull() & (own.cast("date") < post.cast("date")), F.add_months(own.cast("date"), 12)).otherwise(own.cast("date"))
-            midnight = ~timed | ((hour == 0) & (minute == 0))
-            at = F.make_timestamp(F.year(rolled), F.month(rolled), F.day(rolled), F.when(timed, hour).otherwise(0), F.when(timed, minute).otherwise(0), F.lit(0))
-            return F.struct(rolled.alias("day"), midnight.alias("midnight"), at.alias("at"))
+            clock = F.split(F.regexp_extract(rest, r"\d{1,2}[:.]\d{2}", 0), "[:.]")
+            parts = F.struct(year.alias("stated"), F.coalesce(year, F.year(post)).alias("year"), month.alias("month"), day.alias("day"), clock.alias("clock"))
+            return once(once(parts, dated), timed)
+
+        def dated(d: Column) -> Column:
+            first = F.when((d["year"] > 0) & d["month"].between(1, 12), F.make_date(d["year"], d["month"], F.lit(1)))
+            own = once(first, lambda f: F.when(d["day"].between(1, F.day(F.last_day(f))), F.date_add(f, d["day"] - 1)))
+            rolled = once(own, lambda o: F.when(d["stated"].isNull() & (o < post.cast("date")), F.add_months(o, 12)).otherwise(o))
+            hour, minute = (number(F.get(d["clock"], i)) for i in (0, 1))
+            return F.struct(rolled.alias("day"), hour.alias("hour"), minute.alias("minute"))
+
+        def timed(d: Column) -> Column:
+            fits = F.coalesce((d["hour"] <= 23) & (d["minute"] <= 59), F.lit(False))
+            minutes = F.when(fits, d["hour"] * 60 + d["minute"]).otherwise(0)
+            at = F.make_timestamp(F.year(d["day"]), F.month(d["day"]), F.day(d["day"]), F.floor(minutes / 60).cast("int"), (minutes % 60).cast("int"), F.lit(0))
+            return F.struct(d["day"].alias("day"), (minutes == 0).alias("midnight"), at.alias("at"))
 
         def days(z: Column) -> Column:
             a, b = number(z["a"]), F.coalesce(number(z["b"]), number(z["c"]))
             return F.when(b.isNull(), F.array(a)).when((b > a) & (b - a < 31), F.sequence(a, F.greatest(a, b))).otherwise(F.array(a, b))
 
-        named = each(r"(\d{1,2})\s*(?:[-–—/]\s*(\d{1,2})|\s+ve\s+(\d{1,2}))?\s+([a-z]+)(?:\s+(\d{4}))?", "a", "b", "c", "month", "year", "rest")
+        named = each(r"(\d{1,2})\s*(?:[-–—/]\s*(\d{1,2})|\s+ve\s+(\d{1,2}))?\s+([a-z]+)(?:\s+(\d{4}))?", "a", "b", "c", "month", "year")
         named = F.filter(named, lambda z: z["month"].isin(MONTHS))
-        spelled = F.flatten(F.transform(named, lambda z: F.transform(days(z), lambda d: read(number(z["year"]), F.array_position(F.array(*map(F.lit, MONTHS)), z["month"]), d, z["rest"]))))
-        figures = [F.transform(each(p, "day", "month", "year", "rest"), lambda z: read(number(z["year"]), number(z["month"]), number(z["day"]), z["rest"])) for p in (r"(\d{2})\.(\d{2})\.(\d{4})", r"(\d{2})/(\d{2})/(\d{4})")]
+        spelled = F.flatten(F.transform(named, lambda z: F.transform(days(z), lambda d: read(number(z["year"]), F.array_position(F.array(*map(F.lit, MONTHS)), z["month"]).cast("int"), d, z["rest"]))))
+        figures = [F.transform(each(p, "day", "month", "year"), lambda z: read(number(z["year"]), number(z["month"]), number(z["day"]), z["rest"])) for p in (r"(\d{2})\.(\d{2})\.(\d{4})", r"(\d{2})/(\d{2})/(\d{4})")]
         since = F.greatest(post, now).cast("date")
         ranked = F.transform(F.filter(F.concat(spelled, *figures), lambda c: c["day"].isNotNull()), lambda c, i: F.struct((c["day"] < since).alias("past"), c["day"].alias("day"), c["midnight"].alias("midnight"), i.alias("i"), c["at"].alias("at")))
         return local_to_utc(F.array_min(ranked)["at"], zone)
 
-    return F.get(F.transform(F.array(parts), pick), 0)
+    return once(parts, pick)
 
 
 def date_key(text: Column | str) -> Column:

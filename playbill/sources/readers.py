@@ -1,4 +1,4 @@
-"""Readers of landed files: JSON arrays and envelopes, XML items, whole pages. A missing path is an empty frame."""
+"""Readers of landed files: JSON arrays and envelopes, XML items, whole pages; rows dealt over tasks. A missing path is an empty frame."""
 
 from __future__ import annotations
 
@@ -14,6 +14,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
 
 
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows dealt evenly over tasks, two a core by default.
+
+    Spark reads a file by no more tasks than it has row groups: a small file whose rows cost much would keep one core busy.
+    """
+    return df.repartition(tasks or 2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def documents(spark: SparkSession, path: str) -> DataFrame:
     """path, body: each file as one text."""
     if not exists(spark, path):
