@@ -11,9 +11,13 @@ from playbill.functions.text import clean_settled, clean_text, strip_html, strip
 from playbill.functions.urls import absolute
 
 
-def title(html: Column | str, settled: bool = False) -> Column:
-    """Text of the first h1, else of the title element; null if both are blank. settled: text.settle() has been over the page."""
-    x, strip = col(html), strip_settled if settled else strip_html
+def _strip(settled: bool, closed: bool):
+    return strip_settled if settled else lambda x: strip_html(x, closed)
+
+
+def title(html: Column | str, settled: bool = False, closed: bool = False) -> Column:
+    """Text of the first h1, else of the title element; null if both are blank. settled: text.settle() has been over the page; closed: see text.unescape_all()."""
+    x, strip = col(html), _strip(settled, closed)
     return F.coalesce(*(filled(strip(F.regexp_extract(x, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}>", 1))) for tag in ("h1", "title")))
 
 
@@ -31,9 +35,9 @@ def label_value(html: Column | str, *labels: str, settled: bool = False) -> Colu
     return F.coalesce(*(filled(F.regexp_extract(text, rf"(?imu)^\s*{label}\s*:\s*(.+)$", 1)) for label in labels))
 
 
-def body_text(html: Column | str, most: int = 250, settled: bool = False) -> Column:
+def body_text(html: Column | str, most: int = 250, settled: bool = False, closed: bool = False) -> Column:
     bare = F.regexp_replace(col(html), r"(?is)<(script|style)\b.*?</\1>|<!--.*?-->", " ")
-    return truncate((strip_settled if settled else strip_html)(bare), most)
+    return truncate(_strip(settled, closed)(bare), most)
 
 
 def first_image(html: Column | str, base: Column | str) -> Column:

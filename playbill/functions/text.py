@@ -48,13 +48,14 @@ def _code_point(number: Column) -> Column:
     )
 
 
-def unescape_all(text: Column | str) -> Column:
+def unescape_all(text: Column | str, closed: bool = False) -> Column:
     """Every named and numeric entity resolved once, as HTML does it; native. Null stays null.
 
     The text is cut at ampersands, and what begins a piece is looked up; names without a semicolon
-    count where HTML knows them so, the longest first. What is no entity stays as it is.
+    count where HTML knows them so, the longest first, but with closed none counts without one, as
+    in XML. What is no entity stays as it is.
     """
-    return _entities(text, lambda char: char)
+    return _entities(text, lambda char: char, closed)
 
 
 def settle(text: Column | str) -> Column:
@@ -69,16 +70,16 @@ def settle(text: Column | str) -> Column:
     return F.when(F.contains(col(text), F.lit("&")), found).otherwise(col(text))
 
 
-def _entities(text: Column | str, write) -> Column:
+def _entities(text: Column | str, write, closed_only: bool = False) -> Column:
     closed, opened = _entity_table(n + ";" for n in _NAMED), _entity_table(_OPEN)
 
     def piece(x: Column, i: Column) -> Column:
-        number = F.regexp_extract(x, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+        number = F.regexp_extract(x, r"^#(?:[xX][0-9a-fA-F]+|[0-9]+);" + ("" if closed_only else "?"), 0)
         digits = F.regexp_extract(number, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
         value = F.when(F.length(digits) > 8, F.lit(0x110000)).otherwise(F.conv(F.concat(F.lit("0"), digits), 10, 10).cast("long"))
         value = F.when(number.rlike("^#[xX]") & (F.length(digits) <= 8), F.conv(F.concat(F.lit("0"), digits), 16, 10).cast("long")).otherwise(value)
         name = F.regexp_extract(x, "^[A-Za-z][A-Za-z0-9]{1,31};", 0)
-        short = F.regexp_extract(x, "^(?:" + "|".join(_OPEN) + ")", 0)
+        short = F.lit("") if closed_only else F.regexp_extract(x, "^(?:" + "|".join(_OPEN) + ")", 0)
         found = F.when(name != "", F.try_element_at(closed, name))
         rest = lambda head: F.substr(x, F.length(head) + 1)
         return (
@@ -109,14 +110,14 @@ def collapse(text: Column | str) -> Column:
     return F.trim(F.regexp_replace(col(text), r"(?U)\s+", " "))
 
 
-def clean_text(text: Column | str) -> Column:
-    """Entities resolved once and white space collapsed. Null stays null."""
-    return collapse(unescape_all(text))
+def clean_text(text: Column | str, closed: bool = False) -> Column:
+    """Entities resolved once (closed: see unescape_all) and white space collapsed. Null stays null."""
+    return collapse(unescape_all(text, closed))
 
 
-def strip_html(text: Column | str) -> Column:
+def strip_html(text: Column | str, closed: bool = False) -> Column:
     """Tags become spaces, then clean_text."""
-    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "))
+    return clean_text(F.regexp_replace(col(text), "<[^>]+>", " "), closed)
 
 
 def clean_settled(text: Column | str) -> Column:
@@ -129,10 +130,10 @@ def strip_settled(text: Column | str) -> Column:
     return clean_settled(F.regexp_replace(col(text), "<[^>]+>", " "))
 
 
-def strip_blocks(text: Column | str) -> Column:
+def strip_blocks(text: Column | str, closed: bool = False) -> Column:
     """HTML to lines: block tags end a line, other tags go, blank lines go."""
     broken = F.regexp_replace(col(text), r"(?i)<\s*(br|/p|/div|/li|/h[1-6]|/tr|p|div|li|ul|ol)\b[^>]*>", "\n")
-    plain = unescape_all(F.regexp_replace(broken, "<[^>]+>", ""))
+    plain = unescape_all(F.regexp_replace(broken, "<[^>]+>", ""), closed)
     lines = F.transform(F.split(plain, "\n"), lambda x: collapse(x))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
