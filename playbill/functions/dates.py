@@ -14,6 +14,10 @@ MONTHS = ["ocak", "subat", "mart", "nisan", "mayis", "haziran", "temmuz", "agust
 MONTH_SHORT = ["Oca", "Şub", "Mar", "Nis", "May", "Haz", "Tem", "Ağu", "Eyl", "Eki", "Kas", "Ara"]
 ENGLISH_MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 LONG_DATE = r"(\d{1,2})\s+([A-Za-zÇĞİÖŞÜçğıöşü]+),?\s+(\d{4})"
+# The same, only with the names that month_number() knows.
+_FORMS = {"c": "cçÇ", "g": "gğĞ", "i": "iıİ", "o": "oöÖ", "s": "sşŞ", "u": "uüÜ"}
+_NAMES = ["".join(f"[{_FORMS.get(c, c)}{c.upper()}]" + ("(?:" if i == 2 and len(m) > 3 else "") for i, c in enumerate(m)) + (")?" if len(m) > 3 else "") for m in MONTHS]
+NAMED_DATE = rf"(\d{{1,2}})\s+({'|'.join(_NAMES)}),?\s+(\d{{4}})"
 
 
 def month_number(name: Column | str) -> Column:

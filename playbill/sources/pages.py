@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from playbill.functions import html as H
 from playbill.functions.columns import col, filled, first_filled
-from playbill.functions.dates import LONG_DATE, ZONE, event_date, feed_instant
+from playbill.functions.dates import NAMED_DATE, ZONE, event_date, feed_instant
 from playbill.functions.text import clean_settled, settle, slug_title, strip_settled
 from playbill.functions.urls import absolute
 from playbill.operators.dedup import fallback_union, first_by
@@ -40,9 +40,9 @@ def settled(pages: DataFrame) -> DataFrame:
 
 
 def date_time(text: Column) -> tuple[Column, Column]:
-    """A long date with a time at most 50 characters behind it, else a dotted date."""
-    long = F.regexp_extract(text, LONG_DATE, 0)
-    clock = F.regexp_extract(text, LONG_DATE + r".{0,50}?(\d{1,2}[:.]\d{2})", 4)
+    """A long date (its word is a month's name) with a time at most 50 characters behind it, else a dotted date."""
+    long = F.regexp_extract(text, NAMED_DATE, 0)
+    clock = F.regexp_extract(text, NAMED_DATE + r".{0,50}?(\d{1,2}[:.]\d{2})", 4)
     return F.when(long != "", long).otherwise(F.regexp_extract(text, r"\d{1,2}\.\d{1,2}\.\d{4}", 0)), F.replace(clock, F.lit("."), F.lit(":"))
 
 

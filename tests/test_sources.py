@@ -252,3 +252,14 @@ def test_entities_in_scans(spark):
     full = pages.fill_from_details(found, detail, required=True).withColumn("city", F.lit("İstanbul"))
     (row,) = builders.from_web(full, 120, AS_OF).collect()
     assert (row.title, row.occurrences[0].venue_name) == ("Büyük Konser", "Meydan Ç")
+
+
+def test_dates_of_pages_name_a_month(spark):
+    from playbill.functions.dates import MONTHS
+    from playbill.sources.pages import date_time
+
+    texts = ["29 tothontith 4647", "12 Bilet 2026 14:00, 5 Ağustos 2026 saat 20.30", "3 SUBAT, 2026", "7 Şub 2026", "8 martin 2026 9.10.2026", *(f"1 {m} 2026" for m in MONTHS)]
+    day, clock = date_time(F.col("t"))
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i").select(day.alias("d"), clock.alias("c")).collect()
+    assert [tuple(r) for r in got[:5]] == [("", ""), ("5 Ağustos 2026", "20:30"), ("3 SUBAT, 2026", ""), ("7 Şub 2026", ""), ("9.10.2026", "")]
+    assert [r["d"] for r in got[5:]] == texts[5:]
