@@ -14,9 +14,9 @@ Q, SMALL_Q, MAX_EDITS = 8, 5, 0.1
 #: Characters of benchmark items handled in one pass over the documents; more take more passes.
 PASS_CHARS = 4_000_000
 #: Characters of text looked at together; longer texts are looked at in overlapping pieces.
-TEXT_CHARS = 1 << 21
+TEXT_CHARS = 1 << 19
 #: Shared q-grams looked at together.
-HITS = 1 << 18
+HITS = 1 << 17
 BITS = 22
 BASE = 0xD1342543DE82EF95
 
@@ -187,6 +187,8 @@ class Items:
             mine[k] = min(c, mine.get(k, c))
 
 
+#: Rows of a batch whose texts are Python objects at one time.
+ROWS = 512
 MATCHES = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int64())])
 
 
@@ -219,7 +221,7 @@ class Part:
 def _matcher(shared):
     def run(batches):
         part = shared.value
-        for batch in batches:
+        for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids, texts = batch.column(0).to_pylist(), [normal(t.as_py()) for t in batch.column(1)]
             rows = [(d, i, c) for d, m in zip(ids, part.many(texts), strict=True) for i, c in m]
             if rows:

@@ -7,6 +7,7 @@ import textwrap
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -609,3 +610,20 @@ def test_likeness_is_all_templates(spark):
                 want.add((i, f, round(len(own & tg) / len(tg), 9)))
     pieces = spark.createDataFrame(list(enumerate(wins)), "n int, ws array<string>")
     assert {(r.n, r.known, round(r.likeness, 9)) for r in licenses.likeness(pieces).collect()} == want
+
+
+def test_decontamination_holds_few_texts_at_a_time():
+    seen = []
+
+    class Shared:
+        class value:
+            @staticmethod
+            def many(texts):
+                seen.append(len(texts))
+                return [[(7, 0)] if t == "a" else [] for t in texts]
+
+    ids = list(range(5000))
+    batch = pa.RecordBatch.from_pydict({"doc_id": ids, "text": ["A" if i % 1000 == 0 else None for i in ids]})
+    got = [tuple(r.values()) for b in decontaminate._matcher(Shared)([batch]) for r in b.to_pylist()]
+    assert got == [(i, 7, 0) for i in range(0, 5000, 1000)]
+    assert sum(seen) == 5000 and max(seen) <= decontaminate.ROWS
