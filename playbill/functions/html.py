@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from playbill.functions.columns import col, filled, first_filled
+from playbill.functions.columns import col, filled, first_filled, once
 from playbill.functions.prices import offers_fold
 from playbill.functions.text import clean_settled, clean_text, strip_html, strip_settled, truncate
 from playbill.functions.urls import absolute
@@ -77,14 +77,23 @@ def _number(text: Column) -> Column:
 
 def _offers_of(node: Column) -> Column:
     """Offers of a JSON-LD node (a JSON text): an object or a list of them."""
-    raw = F.get_json_object(node, "$.offers")
-    return F.when(raw.isNotNull(), F.coalesce(F.from_json(raw, f"array<{OFFER}>"), F.array(F.from_json(raw, OFFER))))
+    raw = F.when(_may_hold(node, "offers"), F.get_json_object(node, "$.offers"))
+    return once(raw, lambda x: F.when(x.isNotNull(), F.coalesce(F.from_json(x, f"array<{OFFER}>"), F.array(F.from_json(x, OFFER)))))
+
+
+def _may_hold(node: Column, word: str) -> Column:
+    """Whether a JSON text can have the word in a key or text, in any case: it is there, or something is escaped."""
+    return F.contains(F.lower(node), F.lit(word)) | F.contains(node, F.lit("\\u"))
 
 
 def _nodes(block: Column) -> Column:
     """The nodes of a JSON-LD block: itself, a list's elements, an item list's items."""
-    listed = F.coalesce(F.from_json(block, "array<string>"), F.array(block))
-    items = F.transform(listed, lambda n: F.when(F.lower(F.get_json_object(n, "$['@type']")).isin("itemlist", "list"), F.from_json(F.get_json_object(n, "$.itemListElement"), "array<string>")))
+    listed = F.coalesce(F.when(block.rlike(r"^\s*\["), F.from_json(block, "array<string>")), F.array(block))
+    return once(listed, _with_items)
+
+
+def _with_items(listed: Column) -> Column:
+    items = F.transform(listed, lambda n: F.when(_may_hold(n, "list") & F.lower(F.get_json_object(n, "$['@type']")).isin("itemlist", "list"), F.from_json(F.get_json_object(n, "$.itemListElement"), "array<string>")))
     inner = F.flatten(F.transform(F.filter(items, lambda i: i.isNotNull()), lambda i: F.transform(i, lambda e: F.coalesce(F.get_json_object(e, "$.item"), e))))
     return F.concat(inner, listed)
 
@@ -121,13 +130,16 @@ def jsonld_price(html: Column | str, min_length: int = 200) -> Column:
 
 def json_text(payload: Column | str, path: str) -> Column:
     """Cleaned text at a path: an object's rendered, text, name or title; a list's first such; else the scalar."""
-    raw = F.get_json_object(col(payload), path)
 
     def scalar(x: Column) -> Column:
-        return F.coalesce(*(F.get_json_object(x, f"$.{k}") for k in ("rendered", "text", "name", "title")), F.when(~x.rlike(r"^\s*[\[{]"), x))
+        held = F.coalesce(*(F.get_json_object(x, f"$.{k}") for k in ("rendered", "text", "name", "title")))
+        return F.when(x.rlike(r"^\s*\{"), held).when(~x.rlike(r"^\s*\["), x)
+
+    def read(raw: Column) -> Column:
+        first = F.get(F.filter(F.transform(F.from_json(raw, "array<string>"), scalar), lambda s: F.coalesce(F.trim(s), F.lit("")) != ""), 0)
+        return F.when(raw.rlike(r"^\s*\["), first).otherwise(scalar(raw))
 
-    first = F.get(F.filter(F.transform(F.from_json(raw, "array<string>"), scalar), lambda s: F.coalesce(F.trim(s), F.lit("")) != ""), 0)
-    return filled(strip_html(F.when(raw.rlike(r"^\s*\["), first).otherwise(scalar(raw))))
+    return once(once(F.get_json_object(col(payload), path), read), lambda x: filled(strip_html(x)))
 
 
 def variant_text(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from playbill.functions.columns import cases, col, lookup
+from playbill.functions.columns import cases, col, lookup, once
 from playbill.functions.text import normalize_for_match
 from playbill.schema import PRICE
 
@@ -166,11 +166,14 @@ def resolve_prices(offers: DataFrame, keys: list[str]) -> DataFrame:
 
 def offers_fold(offers: Column | str) -> Column:
     """struct(min, max, currency) of an array of (price, low, high, currency): least of price and low, last high, first currency."""
-    arr = col(offers)
-    lows = F.flatten(F.transform(arr, lambda o: F.array(o["price"], o["low"])))
-    highs = F.filter(F.transform(arr, lambda o: o["high"]), lambda x: x.isNotNull())
-    units = F.filter(F.transform(arr, lambda o: o["currency"]), lambda x: x.isNotNull())
-    return F.struct(F.array_min(F.filter(lows, lambda x: x.isNotNull())).alias("min"), F.try_element_at(highs, F.lit(-1)).alias("max"), F.coalesce(F.get(units, 0), F.lit("TRY")).alias("currency"))
+
+    def fold(arr: Column) -> Column:  # the offers are read once
+        lows = F.flatten(F.transform(arr, lambda o: F.array(o["price"], o["low"])))
+        highs = F.filter(F.transform(arr, lambda o: o["high"]), lambda x: x.isNotNull())
+        units = F.filter(F.transform(arr, lambda o: o["currency"]), lambda x: x.isNotNull())
+        return F.struct(F.array_min(F.filter(lows, lambda x: x.isNotNull())).alias("min"), F.try_element_at(highs, F.lit(-1)).alias("max"), F.coalesce(F.get(units, 0), F.lit("TRY")).alias("currency"))
+
+    return once(col(offers), fold)
 
 
 def rank_offers(offers: DataFrame, keys: list[str]) -> DataFrame:
