@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +20,10 @@ SCHEMA = "country string, segment string, segment_rank int, page int, place int,
 LEVELS = ("country", "segment", "page")
 
 
+#: At most so many partitions: of more pages each reads several, as starting a task costs more than reading a page.
+MOST_PARTITIONS = 64
+
+
 @dataclass
 class Page(InputPartition):
     country: str
@@ -27,6 +31,8 @@ class Page(InputPartition):
     rank: int
     page: int
     path: str
+    #: Pages that the same task reads after this.
+    more: list[Page] = field(default_factory=list)
 
 
 def _date(item: dict) -> str | None:
@@ -43,7 +49,7 @@ def _items(answer: object) -> list[dict]:
 
 
 class PageReader(DataSourceReader):
-    """Plans a partition for each page that can hold a wanted row.
+    """Plans the pages that can hold a wanted row, a partition each, or several where there are many.
 
     Countries and segments that the query doesn't ask for are not listed. A segment ends before
     its first missing page, at totalPages of its first page, and at max_pages. Pages are in
@@ -142,11 +148,15 @@ class PageReader(DataSourceReader):
                 start, end = self._span(folders) if self.by_date and (self.low or self.high) else (0, len(folders))
                 rank = self.order.index(segment) if self.order else ordered.index(segment)
                 made += [Page(country, segment, rank, n, folders[n]) for n in range(start, end)]
-        return made or [Page("", "", 0, 0, "")]
+        size = max(1, -(-len(made) // MOST_PARTITIONS))
+        return [replace(made[i], more=made[i + 1 : i + size]) for i in range(0, len(made), size)] or [Page("", "", 0, 0, "")]
+
+    def read(self, partition: Page) -> Iterator[tuple]:
+        for page in (partition, *partition.more):
+            if page.path:
+                yield from self._rows(page)
 
-    def read(self, page: Page) -> Iterator[tuple]:
-        if not page.path:
-            return
+    def _rows(self, page: Page) -> Iterator[tuple]:
         items = _items(self._answer(page.path))
         here = (page.country, page.segment, page.rank, page.page)
         if not items:

@@ -114,3 +114,13 @@ def test_landed_arrays(spark, tmp_path):
         json.loads(f.read_text())
     got = json_split.json_elements(spark, str(tmp_path / "a")).select(F.get_json_object("item", "$.id").cast("int").alias("i")).collect()
     assert sorted(r.i for r in got) == list(range(1000))
+
+
+def test_many_pages_share_partitions(tmp_path, monkeypatch):
+    monkeypatch.setattr(paged, "MOST_PARTITIONS", 4)
+    for n in range(30):
+        put(tmp_path, "TR", "Music", n, [item(f"{n}-{k}", "2026-01-01") for k in range(2)], 30)
+    reader = paged.PageReader({"path": f"file://{tmp_path}"})
+    parts = reader.partitions()
+    assert len(parts) == 4
+    assert [(r[3], r[5]) for p in parts for r in reader.read(p)] == [(n, f"{n}-{k}") for n in range(30) for k in range(2)]
