@@ -43,7 +43,7 @@ def product_feed_events(t, spark):
         _pick("p_partkey", "", "20:30").alias("custom_label_5"), F.when(F.col("p_partkey") % 7 == 0, "").otherwise(_text("Salon ", F.col("p_brand"))).alias("custom_label_7"),
     )
     path = scratch(spark, "feed")
-    rows.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
+    readers.spread(rows).write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(path)
     return _shown(builders.from_product_feed(readers.xml_items(spark, path), AS_OF, "biletinial.com", "7"))
 
 
@@ -73,7 +73,7 @@ def ticketing_events(t, spark):
     again = c.where("c_custkey % 10 = 0").select(F.lit("TR"), F.lit("ZZ"), day, "c_custkey", item(F.lit("listed again")))
     path = scratch(spark, "discovery")
     paged.land_pages(listed.union(again), path, 50, "day", "c_custkey")
-    return _shown(builders.from_ticketing_api(paged.discovery_items(spark, path).withColumn("path", F.concat_ws("/", "segment", "page"))))
+    return _shown(builders.from_ticketing_api(readers.spread(paged.discovery_items(spark, path)).withColumn("path", F.concat_ws("/", "segment", "page"))))
 
 
 @query(
@@ -113,4 +113,4 @@ def rss_events(t, spark):
         _text(F.col("p_name"), "  Konseri &ouml;").alias("title"), _text("https://r.example/", key).alias("link"), _text("<p><b>Giri&#351;</b> ", (F.col("p_partkey") % 50 + 1).cast("string"), " TL &ccedil;</p>").alias("description"),
         F.concat(F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" 17:00:00 +0000")).alias("pubDate"), F.lit("x").alias("category"), _text("Park ", F.col("p_brand")).alias("venue"),
     )
-    return _shown(builders.from_rss(rows, "İstanbul", 60, AS_OF))
+    return _shown(builders.from_rss(readers.spread(rows), "İstanbul", 60, AS_OF))
