@@ -137,7 +137,7 @@ SHOP = "https://shop.example"
 
 def _pages(t, html: Column, *columns: Column) -> DataFrame:
     """A page a part."""
-    return t("part").select(F.col("p_brand").alias("site"), F.lit(0).alias("site_rank"), F.col("p_partkey").cast("int").alias("page_rank"), F.lit(SHOP).alias("base_url"), html.alias("html"), *columns)
+    return readers.spread(t("part")).select(F.col("p_brand").alias("site"), F.lit(0).alias("site_rank"), F.col("p_partkey").cast("int").alias("page_rank"), F.lit(SHOP).alias("base_url"), html.alias("html"), *columns)
 
 
 def _text(*parts: str | Column) -> Column:
@@ -269,4 +269,4 @@ def token_labels(t, spark):
     registry = t("part").select(F.col("p_brand").alias("label"), F.upper("p_name").alias("token")).union(t("customer").select(F.concat(F.lit("x"), "c_mktsegment"), F.substring("c_mktsegment", 1, 4)))
     o = t("orders").join(t("part").select("p_partkey", "p_name"), F.col("p_partkey") == F.col("o_orderkey") % 500, "left").join(t("customer").select("c_custkey", "c_mktsegment"), F.col("c_custkey") == F.col("o_custkey"), "left")
     rows = o.where("p_name is not null").select("o_orderkey", F.array(F.concat(F.lit("HALLE  "), "p_name"), F.col("o_orderpriority"), F.col("c_mktsegment")).alias("texts"))
-    return provenance.labels_by_token(rows, ["o_orderkey"], "texts", registry)
+    return provenance.labels_by_token(readers.spread(rows), ["o_orderkey"], "texts", registry)
