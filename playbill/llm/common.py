@@ -6,9 +6,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def hash_sample(df: DataFrame, n: int, salt: str, *keys: str) -> DataFrame:
     """At most n rows, those with the smallest hashes of the keys; about n if there are as many.
 
@@ -22,6 +23,18 @@ def hash_sample(df: DataFrame, n: int, salt: str, *keys: str) -> DataFrame:
     return df.orderBy(h, *keys).limit(n)
 
 
+#: Most bytes of a batch of rows that goes to Python. Spark's own 64 MB are held several times over by each task, in the JVM's buffers and in Python.
+BATCH_BYTES = 1 << 22
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let batches for Python end at BATCH_BYTES in this session, unless they end earlier; a larger row is a batch of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
+    if held > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def run_starts(*keys: np.ndarray) -> np.ndarray:
     """Indices at which a new run of equal keys begins."""
     if not len(keys[0]):

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playbill.llm.common import small_batches
+
 #: Characters of a q-gram, of one for items too short for it, and edits allowed for each character of an item.
 Q, SMALL_Q, MAX_EDITS = 8, 5, 0.1
 #: Characters of benchmark items handled in one pass over the documents; more take more passes.
@@ -261,6 +263,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     how often its q-grams repeat.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     out = spark.createDataFrame([], "doc_id long, item_id long, edits long")
     for i, part in enumerate(_item_passes(benchmark, item_id_col, item_col, q, max_edits)):

@@ -8,6 +8,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from playbill.llm.common import small_batches
+
 #: Hashes of frequent lines sent to every task: 16 bytes each, so at most 32 MB. Beyond it they are joined.
 BROADCAST_LINES = 2_000_000
 SPACE = b" \t\n\x0b\x0c\r"
@@ -100,6 +102,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
+    small_batches(docs.sparkSession)
     # names of our own that no column of docs begins with
     mark = "_" * (1 + max(len(c) - len(c.lstrip("_")) for c in docs.columns))
     kept_name, lines_name, dropped_name, doc_name, drop_name = (mark + x for x in ("kept", "n_lines", "n_dropped", "doc", "drop"))

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playbill.llm.common import small_batches
 from playbill.storage import scratch
 from playbill.llm.token_store import Shard, id_width, shard_writer
 from playbill.llm.tokens import default_tokenizer
@@ -154,6 +155,7 @@ def pack(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: str = "te
     shuffled.
     """
     spark, root = docs.sparkSession, root.rstrip("/")
+    small_batches(spark)
     tokenizer = tokenizer or default_tokenizer()
     width = id_width(tokenizer, end_id)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

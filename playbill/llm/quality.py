@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BooleanType, DoubleType, StructType
 
-from playbill.llm.common import hash_sample
+from playbill.llm.common import hash_sample, small_batches
 from playbill.schema import fresh
 from playbill.storage import materialize
 
@@ -278,6 +278,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     named like the results are replaced, all others stay as they are. Repeated rows each return.
     No rows in, no rows out. `labelled`, `pseudo` and `rounds` are fit()'s bounds.
     """
+    small_batches(docs.sparkSession)
     made = ("p_text", "p_meta", "quality_score", "keep")
     own = [c for c in (keep_columns or docs.columns) if c not in made]
     model = fit(docs, labels, id_col=id_col, text_col=text_col, labelled=labelled, pseudo=pseudo, rounds=rounds)
