@@ -44,8 +44,22 @@ def lookup(x: Column | str, table: dict[str, str], default: Column | None = None
 
 
 def ordered_distinct(items: Column, key) -> Column:
-    """Elements whose key appears for the first time; elements with a null key go."""
-    keyed = F.filter(F.transform(items, lambda x: F.struct(key(x).alias("k"), x.alias("x"))), lambda s: s["k"].isNotNull())
-    keys = F.transform(keyed, lambda s: s["k"])
-    firsts = F.filter(F.transform(keyed, lambda s, i: F.struct(s["x"].alias("x"), (F.array_position(keys, s["k"]) == i + 1).alias("first"))), lambda s: s["first"])
-    return F.transform(firsts, lambda s: s["x"])
+    """Elements whose key appears for the first time; elements with a null key go.
+
+    Keys are worked out once and sorted, so long arrays cost n log n. Keys and elements are of types that can be sorted.
+    """
+    keyed = F.filter(F.transform(items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))), lambda s: s["k"].isNotNull())
+    firsts = once(F.array_sort(keyed), lambda a: F.filter(a, lambda s, i: (i == 0) | (F.get(a, i - 1)["k"] != s["k"])))
+    placed = F.array_sort(F.transform(firsts, lambda s: F.struct(s["i"].alias("i"), s["x"].alias("x"))))
+    return F.transform(placed, lambda s: s["x"])
+
+
+def stretches(items: Column, key) -> Column:
+    """Array of struct(key, items): neighbouring elements of equal key (null is one like any other) as arrays, in order; linear."""
+
+    def cut(a: Column) -> Column:
+        new = lambda i: (i == 0) | ~key(F.get(a, i)).eqNullSafe(key(F.get(a, i - 1)))
+        starts = F.filter(F.sequence(F.lit(0), F.size(a)), lambda i: (i < F.size(a)) & new(i))
+        return once(starts, lambda at: F.transform(at, lambda p, j: F.struct(key(F.get(a, p)).alias("key"), F.slice(a, p + 1, F.coalesce(F.get(at, j + 1), F.size(a)) - p).alias("items"))))
+
+    return once(items, cut)
