@@ -103,9 +103,13 @@ def stated_price(low: Column | str, high: Column | str, strategy: str, confidenc
     """The price struct of two numbers: one missing is the other, the smaller is the minimum; none is _missing."""
     a, b = (F.when((v >= 0) & (v <= MOST_AMOUNT), F.round(v, 2)) for v in (col(low).cast("double"), col(high).cast("double")))
     first, second = F.coalesce(a, b), F.coalesce(b, a)
-    name = F.when(first.isNull(), strategy + "_missing").otherwise(strategy)
     unit = F.upper(F.coalesce(col(currency), F.lit("TRY"))) if currency is not None else F.lit("TRY")
-    return _price(F.least(first, second), F.greatest(first, second), unit, name, F.when(first.isNull(), 0.0).otherwise(confidence), legal_mode, F.lit(None).cast("string"))
+
+    def read(s: Column) -> Column:  # the numbers are worked out once
+        name = F.when(s["low"].isNull(), strategy + "_missing").otherwise(strategy)
+        return _price(s["low"], s["high"], unit, name, F.when(s["low"].isNull(), 0.0).otherwise(confidence), legal_mode, F.lit(None).cast("string"))
+
+    return once(F.struct(F.least(first, second).alias("low"), F.greatest(first, second).alias("high")), read)
 
 
 def first_known(*prices: Column) -> Column:
