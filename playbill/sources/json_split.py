@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from playbill.storage import materialize
 END = "}"
 #: Parts of files (of spark.sql.files.maxPartitionBytes each) whose states go to every task: about 100 bytes a part.
 MOST_PARTS = 500_000
+#: Rows that a task holds as Python's objects at a time.
+ROWS = 256
 ESCAPED = re.compile(r"\\.", re.DOTALL)
 NESTING = re.compile(r"[{}\[\],]")
 TOKEN = re.compile(r'\\.|["{}\[\],]', re.DOTALL)
@@ -23,19 +26,17 @@ SUMMARY = "path string, part long, flips boolean, depths array<long>, commas arr
 STATE = "path string, part long, in_string boolean, depth long, element long"
 
 
-def _parts(batches, names: int) -> Iterator[tuple[tuple, Iterator[str]]]:
-    """Fragments in order, grouped by the first `names` columns (each part's rows come one after the other)."""
-    last, held = None, []
+def _rows(batches) -> Iterator[tuple]:
+    """Rows of batches, ROWS of them at a time as Python's objects."""
     for batch in batches:
-        columns = [c.to_pylist() for c in batch.columns]
-        for row in zip(*columns, strict=True):
-            if row[:names] != last:
-                if held:
-                    yield last, held
-                last, held = row[:names], []
-            held.append(row[names])
-    if held:
-        yield last, held
+        for s in range(0, batch.num_rows, ROWS):
+            yield from zip(*(c.to_pylist() for c in batch.slice(s, ROWS).columns), strict=True)
+
+
+def _parts(batches, names: int) -> Iterator[tuple[tuple, Iterator[str]]]:
+    """Fragments in order, grouped by the first `names` columns (each part's rows come one after the other); never a whole part at once."""
+    for key, rows in groupby(_rows(batches), key=lambda r: r[:names]):
+        yield key, (r[names] for r in rows)
 
 
 def _summaries(batches):
@@ -74,6 +75,9 @@ def _cutter(whole: bool):
     """The elements that lie in a part (whole), or the pieces of those that go beyond it."""
     schema = pa.schema([("path", pa.string()), ("place", pa.int64()), ("part", pa.int64()), ("text", pa.string())])
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+
     def run(batches):
         for (path, part, in_string, depth, element), fragments in _parts(batches, 5):
             if in_string is None:
@@ -102,12 +106,15 @@ def _cutter(whole: bool):
                             if whole == begun:
                                 rows.append((path, element, part, "".join(held)))
                             element, held, start, begun = element + 1, [], m.end(), c == ","
-                if depth >= 1:
+                if depth >= 1 and whole <= begun:
                     held.append(text[start:])
+                if len(rows) >= ROWS:
+                    yield batch_of(rows)
+                    rows = []
             if depth >= 1 and not whole:
                 rows.append((path, element, part, "".join(held)))
-            for s in range(0, len(rows), 4096):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[s : s + 4096], strict=True), schema.types, strict=True)], schema=schema)
+            if rows:
+                yield batch_of(rows)
 
     return run
 
@@ -146,9 +153,10 @@ def land_arrays(rows: DataFrame, path: str) -> None:
     def bracketed(batches):
         began = False
         for batch in batches:
-            texts = [f"{',' if began or k else '['}\n{x}" for k, x in enumerate(batch.column(0).to_pylist())]
-            began |= bool(texts)
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
+            for s in range(0, batch.num_rows, ROWS):
+                texts = [f"{',' if began or k else '['}\n{x}" for k, x in enumerate(batch.column(0).slice(s, ROWS).to_pylist())]
+                began = True
+                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["value"])
         yield pa.RecordBatch.from_arrays([pa.array(["\n]" if began else "[]"])], ["value"])
 
     rows.toDF("value").mapInArrow(bracketed, "value string").write.option("lineSep", " ").text(path)

@@ -124,3 +124,31 @@ def test_many_pages_share_partitions(tmp_path, monkeypatch):
     parts = reader.partitions()
     assert len(parts) == 4
     assert [(r[3], r[5]) for p in parts for r in reader.read(p)] == [(n, f"{n}-{k}") for n in range(30) for k in range(2)]
+
+
+def test_parts_are_streamed():
+    """A part's fragments and elements go through a task a few at a time, however long the part is."""
+    import pyarrow as pa
+
+    taken = 0
+
+    def batches(columns):
+        nonlocal taken
+        for k in range(40):
+            n = 1000
+            values = [("[" if not k and not i else ",") + json.dumps({"n": k * n + i, "t": "x" * 20})[:-1] for i in range(n)]
+            taken += 1
+            yield pa.RecordBatch.from_arrays([*(pa.array([c] * n) for c in columns), pa.array(values)], [f"c{i}" for i in range(len(columns) + 1)])
+
+    made, first = [], 0
+    for batch in json_split._cutter(True)(batches(("p", 0, False, 0, 0))):
+        first = first or taken
+        assert batch.num_rows <= 1000
+        made += batch.column(3).to_pylist()
+    assert first == 1 and [json.loads(x)["n"] for x in made] == list(range(39_999))  # no bracket ends the last
+    summary = list(json_split._summaries(batches(("p", 0))))
+    assert len(summary) == 1 and summary[0].column(3).to_pylist() == [[1, 0]]
+    parts = json_split._parts(batches(("p", 0)), 2)
+    taken = 0
+    next(next(parts)[1])
+    assert taken == 1
