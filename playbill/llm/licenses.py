@@ -6,26 +6,25 @@ Everything is DataFrame functions and the JVM's ml transformers; no Python runs
 from __future__ import annotations
 
 import re
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from playbill.llm.common import hash_sample
-from playbill.storage import materialize
+from playbill.storage import discard, materialize
 
 UNKNOWN = "unknown"
 #: Words of a window of a line or a paragraph, and how many the next one repeats.
 WINDOW, OVERLAP = 64, 32
 #: Most words of a template; longer paragraphs of a licence are several templates.
 PIECE = 40
-FEATURES = 1 << 14
-#: Documents whose paragraphs teach the unknown class, by hash of id, and most of their windows
-#: that are fitted and that calibrate it, by hash. Both bound the fit; every document is scanned.
-SAMPLE_DOCS, FITTED, CALIBRATING = 1500, 4000, 20_000
+#: Weight that all unknown windows together have in the fit at most, whatever their number; an example of a licence has 1.
+UNKNOWN_WEIGHT = 4000
+#: Distinct feature sets of a task of the fit.
+FIT_ROWS = 20_000
 #: Share of held-out unknown windows that the threshold calls unknown at least.
 CALIBRATION = 0.999
 #: Share of the known classes' probability from which a family is looked at.
@@ -281,30 +280,45 @@ def windows(docs: DataFrame, found: list[str] | None = None) -> DataFrame:
     return cut.where(any_of(F.col("ws")))
 
 
+@cache
+def vocabulary() -> tuple[str, ...]:
+    """All words and word pairs of the templates: what confirms a window, and the classifier's features."""
+    return tuple(dict.fromkeys(g for _, ws, _ in marked_templates(unnamed=True) for g in _grams(ws)))
+
+
 def _vectors(df: DataFrame) -> DataFrame:
-    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(df.withColumn("grams", grams(F.col("ws"))))
+    """df (ws) with features: which words and pairs of the vocabulary a window has."""
+    known = CountVectorizerModel.from_vocabulary(list(vocabulary()), inputCol="grams", outputCol="features").setBinary(True)
+    return known.transform(df.withColumn("grams", grams(F.col("ws")))).drop("grams")
+
+
+def _keys(ws: list[str]) -> list[str]:
+    """The rarest words and pairs of a template, so many that every window with CONFIRM of them all has one."""
+    rare = sorted(_grams(ws), key=lambda g: (all(w in COMMON for w in g.split()), " " not in g))
+    return rare[: int(len(rare) * (1 - CONFIRM) + 1e-9) + 1]
 
 
 def likeness(pieces: DataFrame, *by: str, unnamed: bool = False) -> DataFrame:
     """pieces (ws) with template family `known`, named and likeness, for each template that a window confirms.
 
-    Templates with marks are looked up by one of them, and named is true; only the few without are
-    compared with every window. Of the column `by`, if given, the family must be an element.
+    Templates with marks are looked up by one of them, and named is true; those without by their rarest
+    words and pairs. Of the column `by`, if given, the family must be an element.
     unnamed: marks of the licences' paragraphs aren't asked for (what resembles a licence, whichever).
     """
     made = marked_templates(unnamed)
     if unnamed:
         made = [(family, ws, [] if MARKS.intersection(marks) else marks) for family, ws, marks in made]
-    rows = [(family, ws, marks, marks[0] if marks else "") for family, ws, marks in made]
-    known = pieces.sparkSession.createDataFrame(rows, "known string, tw array<string>, marks array<string>, mark string").select("known", "marks", "mark", F.array_distinct(grams(F.col("tw"))).alias("tg"))
-    marks = F.array(*map(F.lit, sorted({"", *(r[3] for r in rows)})))
-    own = pieces.withColumn("own", F.array_distinct(grams(F.col("ws"))))
-    own = own.withColumn("mark", F.explode(F.array_intersect(F.concat("own", F.array(F.lit(""))), marks)))
-    near = own.join(F.broadcast(known), "mark")  # a fixed list of templates
+    rows = [(family, ws, marks, marks[:1] or _keys(ws)) for family, ws, marks in made]
+    known = pieces.sparkSession.createDataFrame(rows, "known string, tw array<string>, marks array<string>, keys array<string>")
+    known = known.select("known", "marks", "keys", F.array_distinct(grams(F.col("tw"))).alias("tg"), F.explode("keys").alias("key"))
+    own = pieces.withColumn("own", F.array_distinct(grams(F.col("ws")))).select("*", F.explode("own").alias("key"))
+    near = own.join(F.broadcast(known), "key")  # a fixed list of templates
     if by:
         near = near.where(F.array_contains(by[0], F.col("known")))
-    near = near.where(F.size(F.array_except("marks", "own")) == 0).withColumn("likeness", F.size(F.array_intersect("own", "tg")) / F.size("tg"))
-    return near.where(F.col("likeness") >= CONFIRM).withColumn("named", F.col("mark") != "").drop("own", "tg", "marks", "mark")
+    # of several keys that a window has, the first counts
+    near = near.where(F.get(F.array_intersect("keys", "own"), F.lit(0)) == F.col("key")).where(F.size(F.array_except("marks", "own")) == 0)
+    near = near.withColumn("likeness", F.size(F.array_intersect("own", "tg")) / F.size("tg")).where(F.col("likeness") >= CONFIRM)
+    return near.withColumn("named", F.size("marks") > 0).drop("own", "tg", "marks", "keys", "key")
 
 
 class LicenseModel:
@@ -322,39 +336,86 @@ class LicenseModel:
         return scored.select(*pieces.columns, known.alias("probability"), F.when(known >= self.threshold, likely).otherwise(F.array().cast("array<string>")).alias("families"))
 
 
-def train(docs: DataFrame) -> LicenseModel:
-    """Fit on the templates, alone and between words of other text, against windows of a bounded sample.
-
-    docs: id, text. The sample is the SAMPLE_DOCS documents with the smallest id hashes; its
-    windows that no template resembles, licence words or not, are the unknown class: half of the
-    documents are fitted (FITTED windows at most), half calibrate (CALIBRATING at most), all chosen
-    by hash. The threshold is the CALIBRATION quantile of the probability of any licence on the
-    half that wasn't fitted, 0.5 at least.
-    """
-    spark = docs.sparkSession
-    ids = hash_sample(docs.where("text is not null").select("id"), SAMPLE_DOCS, "licenses", "id").distinct()
-    sample = windows(docs.join(F.broadcast(ids), "id", "left_semi")).where("size(ws) > 2").groupBy("id", "ws").agg(F.min("paragraph").alias("paragraph"))
-    sample = materialize(sample.withColumn("h", F.xxhash64("ws")).withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2))), "license-sample")
-    suspect = sample.where(F.arrays_overlap("ws", F.array(*map(F.lit, anchors()))))
-    stated = likeness(suspect, unnamed=True).select("id", "h").union(sample.where(F.array_join("ws", " ").rlike(STATED)).select("id", "h")).distinct()
-    other = sample.join(stated, ["id", "h"], "left_anti")
-    fitted, held = (other.where(F.col("half") == k).orderBy("h", "id", "ws").limit(n).select("ws", "h", "id") for k, n in ((0, FITTED), (1, CALIBRATING)))
-    unknown = materialize(fitted, "license-unknown")
+def examples(spark: SparkSession) -> DataFrame:
+    """label and features of the fixed examples: templates alone and between frequent words; the words of the templates singly and the frequent words alone are unknown."""
+    frequent = sorted(COMMON)
+    around = [(way, frequent[way * 13 :] + frequent[: way * 13]) for way in range(8)]
     rows = [(float(FAMILIES.index(f)), ws) for f, ws, _ in marked_templates(unnamed=True)]
     notices = spark.createDataFrame(rows, "label double, tw array<string>")
-    # a template between words of other text, in as many ways as there are numbers
-    around = [(i, r.ws) for i, r in enumerate(unknown.where(f"size(ws) > {WINDOW // 2}").orderBy("h", "id", "ws").limit(8).collect())]
-    ways = notices.withColumn("way", F.explode(F.array(*map(F.lit, range(8)))))
-    mixed = ways.join(F.broadcast(spark.createDataFrame(around, "way int, ow array<string>")), "way", "left")
+    around = spark.createDataFrame(around, "way int, ow array<string>")
     part = lambda a, n: F.slice("ow", a, n)
-    shapes = F.when((F.col("way") < 2) | F.col("ow").isNull(), F.col("tw")).when(F.col("way") == 2, F.concat(part(1, 12), "tw")).when(F.col("way") == 3, F.concat(part(1, 30), "tw")).when(F.col("way") == 4, F.concat("tw", part(1, 24))).when(F.col("way") == 5, F.concat("tw", part(1, 40))).otherwise(F.concat(part(1, 16), "tw", part(17, 16)))
-    single = notices.select(F.explode("tw").alias("w")).distinct().select(F.lit(0.0).alias("label"), F.array("w").alias("ws"))
-    examples = _vectors(mixed.select("label", shapes.alias("ws")).union(unknown.select(F.lit(0.0), "ws")).union(single))
-    model = LogisticRegression(maxIter=60, regParam=0.002, family="multinomial").fit(materialize(examples.select("label", "features"), "license-examples"))
-    scored = materialize(LicenseModel(model, 0.0).predict(held.select("ws")).select("probability"), "license-held")
-    n = scored.count()
-    above = [r.probability for r in scored.orderBy(F.desc("probability")).limit(int(n * (1 - CALIBRATION)) + 1).collect()]
-    return LicenseModel(model, max(0.5, above[-1] if above else 0.0))
+    shapes = F.when(F.col("way") < 2, F.col("tw")).when(F.col("way") == 2, F.concat(part(1, 12), "tw")).when(F.col("way") == 3, F.concat(part(1, 30), "tw")).when(F.col("way") == 4, F.concat("tw", part(1, 24))).when(F.col("way") == 5, F.concat("tw", part(1, 40))).otherwise(F.concat(part(1, 16), "tw", part(17, 16)))
+    mixed = notices.crossJoin(F.broadcast(around)).select("label", shapes.alias("ws"))
+    single = notices.select(F.explode("tw").alias("w")).distinct().select(F.lit(0.0), F.array("w"))
+    alone = around.select(F.lit(0.0), F.explode(F.array(part(1, 12), part(1, 24), part(1, 40))))
+    return _vectors(mixed.union(single).union(alone)).select("label", "features")
+
+
+def unknown_windows(pieces: DataFrame) -> DataFrame:
+    """features, n and half of all windows of paragraphs that state no licence and resemble none of the templates.
+
+    pieces: id, paragraph and ws. Lines of a wrapped notice that resemble nothing by themselves are
+    left out with their paragraph. Windows with the same features are one row and n the number of
+    documents that have them, so the fit sees all. Half is 0 or 1, by the smallest of their ids.
+    """
+    stated = pieces.where(F.array_join("ws", " ").rlike(STATED)).select("id", "paragraph")
+    stated = materialize(likeness(pieces, unnamed=True).select("id", "paragraph").union(stated).distinct(), "license-stated")
+    match = F.col("w.id").eqNullSafe(F.col("s.id")) & (F.col("w.paragraph") == F.col("s.paragraph"))
+    each = _vectors(pieces).select("id", "paragraph", "features").alias("w").join(stated.alias("s"), match, "left_anti").select("id", "features").distinct()
+    half = F.pmod(F.xxhash64(F.lit("half"), F.min("id")), F.lit(2)).alias("half")
+    return materialize(each.groupBy("features").agg(F.count("*").alias("n"), half), "license-unknown")
+
+
+def _upper(scores: DataFrame) -> float:
+    """The CALIBRATION quantile of probability, weighed by n, 0.5 at least.
+
+    Exact, by counts in 1,024 bins of the range that is left, so that rows neither meet nor are sorted.
+    """
+    total = scores.agg(F.sum("n")).first()[0] or 0
+    rank, low, high = int(total * (1 - CALIBRATION)) + 1, 0.5, 1.0
+    while True:
+        at = F.least(F.floor((F.col("probability") - low) / ((high - low) / 1024)), F.lit(1023))
+        bins = scores.where(F.col("probability").between(low, high)).groupBy(at.alias("at")).agg(F.sum("n").alias("n"), F.min("probability").alias("low"), F.max("probability").alias("high"))
+        for b in bins.orderBy(F.desc("at")).collect():
+            if b.n >= rank:
+                break
+            rank -= b.n
+        else:
+            return 0.5
+        if b.low == b.high:
+            return b.low
+        low, high = b.low, b.high
+
+
+def fit(pieces: DataFrame) -> LicenseModel:
+    """Fit on the templates, alone and between frequent words, against all unknown windows.
+
+    pieces: id, paragraph and ws of the windows with one of the anchors(), the only ones that are ever
+    scored. Those of paragraphs that resemble no template, licence words or not, are the unknown class. However many they are, they
+    weigh UNKNOWN_WEIGHT together at most. The threshold is the CALIBRATION quantile of their
+    probability of any licence, 0.5 at least: each half of them is scored by a model fitted on the other
+    half, the model that is returned is fitted on all.
+    """
+    unknown = unknown_windows(pieces)
+    fixed = materialize(examples(pieces.sparkSession).coalesce(1), "license-examples")  # a fixed list
+    halves = {r.half: r for r in unknown.groupBy("half").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
+
+    def fitted(*chosen: int) -> LogisticRegressionModel:
+        have = [halves[k] for k in chosen if k in halves]
+        total, rows = sum(r.n for r in have), sum(r["rows"] for r in have)
+        weighed = unknown.where(F.col("half").isin(*chosen)).select(F.lit(0.0).alias("label"), "features", (F.col("n") * min(1.0, UNKNOWN_WEIGHT / max(total, 1))).alias("weight"))
+        table = fixed.withColumn("weight", F.lit(1.0)).union(weighed.coalesce(rows // FIT_ROWS + 1))
+        return LogisticRegression(maxIter=60, regParam=0.002, family="multinomial", weightCol="weight").fit(table)
+
+    known = (1 - vector_to_array("probability")[0]).alias("probability")
+    held = [fitted(1 - k).transform(unknown.where(F.col("half") == k)).select(known, "n") for k in sorted(halves)]
+    threshold = _upper(materialize(reduce(DataFrame.union, held), "license-held")) if held else 0.5
+    return LicenseModel(fitted(0, 1), threshold)
+
+
+def train(docs: DataFrame) -> LicenseModel:
+    """fit() to all windows of docs: id, text."""
+    return fit(materialize(windows(docs, anchors()), "license-windows"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -374,9 +435,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     numbers; rows that share an id (or have none) are one document. No rows in, no rows out.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    model = train(base)
-    scored = model.predict(windows(base, anchors())).withColumn("stated", F.array_join("ws", " ").rlike(STATED))
-    found = materialize(scored.where((F.size("families") > 0) | F.col("stated")), "license-windows")
+    pieces = materialize(windows(base, anchors()), "license-windows")
+    scored = fit(pieces).predict(pieces).withColumn("stated", F.array_join("ws", " ").rlike(STATED))
+    found = materialize(scored.where((F.size("families") > 0) | F.col("stated")), "license-found")
+    discard(pieces)
     each = likeness(found.where("size(families) > 0"), "families").groupBy("id", "paragraph", "ws", "probability", "known").agg(F.max("likeness").alias("likeness"), F.max("named").alias("named"))
     unnamed = each.where("not named").groupBy("id", "paragraph", "ws").agg(F.min_by(F.struct("known", "probability", "likeness"), F.struct(-F.col("likeness"), "known")).alias("best"))
     columns = ["id", "paragraph", "known", "probability", "likeness"]

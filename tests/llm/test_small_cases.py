@@ -580,6 +580,44 @@ def test_license_forms(spark):
     assert not wrong and not [d for d in got if d < 100], wrong
 
 
+def test_license_model_learns_from_every_document(spark):
+    """Look-alikes in the documents that a sample of 1,500 by hash would miss are unknown; every document's windows count."""
+    from playbill.llm.common import hash_sample
+
+    ids = spark.range(2000)
+    sampled = {r.id for r in hash_sample(ids, 1500, "licenses", "id").collect()}
+    rows = [(i, "Fish of the sea are free of salt" if i in sampled else "This program is free software you can") for i in range(2000)]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    model = licenses.train(docs)
+    (got,) = model.predict(spark.createDataFrame([(licenses._plain(rows[min(set(range(2000)) - sampled)][1]),)], "ws array<string>")).collect()
+    assert got.families == [] and got.probability < 0.5, got
+    unknown = licenses.unknown_windows(licenses.windows(docs, licenses.anchors())).collect()
+    assert sorted(r.n for r in unknown) == [2000 - len(sampled), len(sampled)]
+
+
+def test_license_unknown_windows_are_whole(spark):
+    """All windows of the paragraphs without a notice, each feature set once a document; wrapped notices go with their paragraph."""
+    notice = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated\ndocumentation files (the Software), to deal in the Software without restriction"
+    texts = ["a public walk", "a public walk\n\nA public walk", notice, notice + "\n\nThe program of the fair", None, "", "no such word", "Released under the Gate License.", "A public\nwalk"]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "a public walk"), (None, "a public walk")]
+    pieces = licenses.windows(spark.createDataFrame(rows, "id long, text string"), licenses.anchors())
+    got = {tuple(sorted(licenses.vocabulary()[i] for i in r.features.indices)): r.n for r in licenses.unknown_windows(pieces).collect()}
+    known = set(licenses.vocabulary())
+    want = {tuple(sorted(known.intersection(licenses._grams(licenses._plain(t))))): n for t, n in (("a public walk", 4), ("the program of the fair", 1))}
+    assert got == want
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_license_threshold_is_exact(spark, seed):
+    rng = random.Random(seed)
+    value = [lambda: rng.random(), lambda: 1 - rng.random() ** 8 / 1e6, lambda: rng.choice([0.2, 0.75, 0.750001])][seed]
+    rows = [(value(), rng.randint(1, 40)) for _ in range(3000)]
+    flat = sorted((p for p, n in rows for _ in range(n)), reverse=True)
+    want = max(0.5, flat[int(len(flat) * (1 - licenses.CALIBRATION))])
+    assert licenses._upper(spark.createDataFrame(rows, "probability double, n long")) == want
+    assert licenses._upper(spark.createDataFrame([], "probability double, n long")) == 0.5
+
+
 def test_license_templates():
     """Every paragraph that names its licence keeps a template; no template's marks are another family's words."""
     made = licenses.marked_templates()
