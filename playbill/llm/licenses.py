@@ -355,15 +355,15 @@ def unknown_windows(pieces: DataFrame) -> DataFrame:
     """features, n and half of all windows of paragraphs that state no licence and resemble none of the templates.
 
     pieces: id, paragraph and ws. Lines of a wrapped notice that resemble nothing by themselves are
-    left out with their paragraph. Windows with the same features are one row and n the number of
-    documents that have them, so the fit sees all. Half is 0 or 1, by the smallest of their ids.
+    left out with their paragraph. Windows with the same features are one row a half and n the number of
+    documents that have them, so the fit sees all. Half is 0 or 1, by the document's id.
     """
     stated = pieces.where(F.array_join("ws", " ").rlike(STATED)).select("id", "paragraph")
     stated = materialize(likeness(pieces, unnamed=True).select("id", "paragraph").union(stated).distinct(), "license-stated")
     match = F.col("w.id").eqNullSafe(F.col("s.id")) & (F.col("w.paragraph") == F.col("s.paragraph"))
     each = _vectors(pieces).select("id", "paragraph", "features").alias("w").join(stated.alias("s"), match, "left_anti").select("id", "features").distinct()
-    half = F.pmod(F.xxhash64(F.lit("half"), F.min("id")), F.lit(2)).alias("half")
-    return materialize(each.groupBy("features").agg(F.count("*").alias("n"), half), "license-unknown")
+    half = F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).alias("half")
+    return materialize(each.groupBy("features", half).agg(F.count("*").alias("n")), "license-unknown")
 
 
 def _upper(scores: DataFrame) -> float:
@@ -393,7 +393,7 @@ def fit(pieces: DataFrame) -> LicenseModel:
     pieces: id, paragraph and ws of the windows with one of the anchors(), the only ones that are ever
     scored. Those of paragraphs that resemble no template, licence words or not, are the unknown class. However many they are, they
     weigh UNKNOWN_WEIGHT together at most. The threshold is the CALIBRATION quantile of their
-    probability of any licence, 0.5 at least: each half of them is scored by a model fitted on the other
+    probability of any licence, 0.5 at least: each half of the documents is scored by a model fitted on the other
     half, the model that is returned is fitted on all.
     """
     unknown = unknown_windows(pieces)
